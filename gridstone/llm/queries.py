@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -17,6 +18,28 @@ def _byte_bpe() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .substring_dedup import remove_repeats
+
+    found = remove_repeats(_docs(spark, sf_dir), length=20)
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .decontaminate import find_contamination
+
+    found = find_contamination(_docs(spark, sf_dir).select("doc_id", "text"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"), n=10)
+    n_hit = F.aggregate("hit_spans", F.lit(0).cast("long"), lambda n, s: n + (s["end"] - s["start"]))
+    return found.select(
+        "doc_id",
+        "n_words",
+        n_hit.alias("n_hit"),
+        F.size("hit_items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("hit_items", ","), 256).alias("items_sha256"),
+        (n_hit > 0).alias("contaminated"),
+    )
+
+
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .token_counts import count_tokens
 
@@ -31,6 +54,8 @@ def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_substring_dedup": op1_substring_dedup,
+        "op3_decontamination": op3_decontamination,
         "op6_token_counts": op6_token_counts,
         "op7_sharding": op7_sharding,
     }

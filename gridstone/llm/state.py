@@ -41,5 +41,5 @@ def n_parts(spark: SparkSession, df: DataFrame | None = None, bytes_each: int =
     base = int(spark.conf.get("spark.sql.shuffle.partitions"))
     if df is None:
         return base
-    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     return max(base, min(size // bytes_each, 1_000_000))
