@@ -40,6 +40,12 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .packing import pack_documents
+
+    return pack_documents(_docs(spark, sf_dir), _byte_bpe(), capacity=1024, end_id=2)
+
+
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .token_counts import count_tokens
 
@@ -52,12 +58,22 @@ def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(_docs(spark, sf_dir), [1.0] * 24)
 
 
+def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .quality import held_out, score_quality, train
+
+    docs = _docs(spark, sf_dir).select("doc_id", "text")
+    scored = score_quality(docs, train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
+    return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", F.when(F.col("score") >= 0.3, 1).otherwise(0).alias("predicted"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_substring_dedup": op1_substring_dedup,
         "op3_decontamination": op3_decontamination,
+        "op5_best_fit_packing": op5_best_fit_packing,
         "op6_token_counts": op6_token_counts,
         "op7_sharding": op7_sharding,
+        "op8_quality_classifier": op8_quality_classifier,
     }
 
 
