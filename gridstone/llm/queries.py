@@ -40,6 +40,17 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .pii import KINDS, find_pii
+
+    found = find_pii(_docs(spark, sf_dir).select("doc_id", "text"))
+    named = lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))
+    base = F.filter("pii", lambda s: s["base"])
+    kinds = F.transform(base, lambda s: s["kind"])
+    counts = [(F.size(kinds) - F.size(F.array_remove(kinds, k))).cast("long").alias(f"n_{k}") for k in KINDS]
+    return found.select("doc_id", *counts, F.sha2(F.array_join(F.transform(base, named), ","), 256).alias("base_sha256"), F.array_join(F.transform("pii", named), ",").alias("spans"))
+
+
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .packing import pack_documents
 
@@ -66,14 +77,22 @@ def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", F.when(F.col("score") >= 0.3, 1).otherwise(0).alias("predicted"))
 
 
+def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .license_scan import scan_licenses
+
+    return scan_licenses(_docs(spark, sf_dir))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_substring_dedup": op1_substring_dedup,
         "op3_decontamination": op3_decontamination,
+        "op4_pii": op4_pii,
         "op5_best_fit_packing": op5_best_fit_packing,
         "op6_token_counts": op6_token_counts,
         "op7_sharding": op7_sharding,
         "op8_quality_classifier": op8_quality_classifier,
+        "op10_license_scan": op10_license_scan,
     }
 
 
