@@ -25,6 +25,12 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .weighted_sampling import fingerprint_documents
+
+    return fingerprint_documents(_docs(spark, sf_dir), samples=32)
+
+
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .decontaminate import find_contamination
 
@@ -86,6 +92,7 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_substring_dedup": op1_substring_dedup,
+        "op2_fingerprints": op2_fingerprints,
         "op3_decontamination": op3_decontamination,
         "op4_pii": op4_pii,
         "op5_best_fit_packing": op5_best_fit_packing,
