@@ -83,6 +83,12 @@ def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", F.when(F.col("score") >= 0.3, 1).otherwise(0).alias("predicted"))
 
 
+def op9_near_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .near_join import near_classes
+
+    return near_classes(_docs(spark, sf_dir), n=5, threshold=0.8)
+
+
 def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .license_scan import scan_licenses
 
@@ -99,6 +105,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op6_token_counts": op6_token_counts,
         "op7_sharding": op7_sharding,
         "op8_quality_classifier": op8_quality_classifier,
+        "op9_near_join": op9_near_join,
         "op10_license_scan": op10_license_scan,
     }
 
