@@ -75,7 +75,10 @@ def yaw(q: Column) -> Column:
 
 def slerp(a: Column, b: Column, t: Column, near: float = 0.9995) -> Column:
     """Shortest-path spherical interpolation of unit quaternion arrays; above
-    ``near`` the straight line, brought back to unit length."""
+    ``near`` the straight line, brought back to unit length.
+
+    ``a`` and ``b`` stand in the expression many times: give columns of an
+    earlier select, not long expressions."""
     parts = [(F.get(a, i), F.get(b, i)) for i in range(4)]
     raw = sum((p * q for p, q in parts[1:]), parts[0][0] * parts[0][1])
     sign = F.when(raw < 0, -1.0).otherwise(1.0)
