@@ -1,8 +1,9 @@
 """Document fingerprints by improved consistent weighted sampling.
 
 A document is a bag of words with their counts as weights.  For each sample
-and word, two gamma(2, 1) draws r, c and a uniform b come from a hash of word
-and sample alone.  With weight w:
+and word, two gamma(2, 1) draws r, c (by inverse distribution, from a table of
+quantiles) and a uniform b come from a hash of word and sample alone.  With
+weight w:
 
     t = floor(ln w / r + b),   ln y = r (t - b),   ln a = ln c - ln y - r
 
@@ -16,32 +17,62 @@ quantiles into buckets, each bucket also gets the last rows of the one before.
 
 from __future__ import annotations
 
+import json
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .license_scan import _lower, _words
 from .state import n_parts
 
-LANES = 8
+LANES = 4
+LEVELS = 1024
 _BITS, _FINE = 28, 26
 
 
-def _uniform(h: Column, at: int) -> Column:
-    return (F.shiftrightunsigned(h, 21 * at).bitwiseAND(F.lit((1 << 21) - 1)).cast("double") + 0.5) / float(1 << 21)
+def _gamma_quantiles() -> list[float]:
+    """Quantiles of gamma(2, 1) at the middles of LEVELS equal shares, by
+    Newton's method on 1 - (1 + x) exp(-x)."""
+    out, x = [], 0.01
+    for i in range(LEVELS):
+        p = (i + 0.5) / LEVELS
+        for _ in range(60):
+            x = max(1e-9, x - (1 - (1 + x) * math.exp(-x) - p) / (x * math.exp(-x)))
+        out.append(x)
+    return out
+
+
+def _constant(values: list[float]) -> Column:
+    """An array that the optimiser folds into one literal."""
+    return F.from_json(F.lit(json.dumps(values)), "array<double>")
+
 
+def _sample(word: Column, log_weight: Column, number: Column, gamma: Column, log_factor: Column) -> Column:
+    """(ln a in fixed point) << 28 | 28 bits that tell (word, t) apart.
 
-def _sample(word: Column, log_weight: Column, number: Column) -> Column:
-    """(ln a in fixed point) << 28 | 28 bits of a hash of (word, sample, t)."""
-    one = F.xxhash64(word, number)
-    two = F.xxhash64(one, F.lit(1))
-    r = -F.ln(_uniform(one, 0) * _uniform(one, 1))
-    c = -F.ln(_uniform(two, 0) * _uniform(two, 1))
-    b = _uniform(one, 2)
+    One hash of word and sample gives r by the table of gamma quantiles, b,
+    and c by its share p: c is sqrt(p) times a smooth factor of p, taken from
+    the table, so that small c, which decide, stay exact.
+    """
+    h = F.xxhash64(word, number)
+    r = F.get(gamma, h.bitwiseAND(F.lit(LEVELS - 1)).cast("int"))
+    b = F.shiftrightunsigned(h, 10).bitwiseAND(F.lit((1 << 22) - 1)).cast("double") / float(1 << 22)
+    p = (F.shiftrightunsigned(h, 32).cast("double") + 0.5) / float(1 << 32)
+    log_c = F.ln(p) * 0.5 + F.get(log_factor, F.shiftrightunsigned(h, 54).cast("int"))
     t = F.floor(log_weight / r + b)
-    ln_a = F.ln(c) - r * (t - b) - r
+    ln_a = log_c - r * (t - b) - r
     order = F.greatest(F.lit(0), F.least(F.lit((1 << 34) - 1), ((ln_a + 128.0) * float(1 << _FINE)).cast("long")))
-    return F.shiftleft(order.cast("long"), _BITS).bitwiseOR(F.xxhash64(one, t).bitwiseAND(F.lit((1 << _BITS) - 1)))
+    apart = F.shiftrightunsigned(h, 28).bitwiseXOR(t * F.lit(2654435761)).bitwiseAND(F.lit((1 << _BITS) - 1))
+    return F.shiftleft(order.cast("long"), _BITS).bitwiseOR(apart)
+
+
+def _words(text: Column) -> Column:
+    """Lower-cased runs between blanks, tabs and line ends."""
+    flat = F.lower(text)
+    for c in "\t\n\r\x0b\x0c":
+        flat = F.replace(flat, F.lit(c), F.lit(" "))
+    return F.array_remove(F.split(flat, " "), "")
 
 
 def _buckets(ids: DataFrame, n: int) -> tuple[list[float], dict[int, int]]:
@@ -61,8 +92,7 @@ def fingerprint_documents(docs: DataFrame, key: str = "doc_id", text: str = "tex
     """key, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited,
     near_next of each row.
 
-    Words: A-Z lower-cased, runs of 0-9, a-z and characters beyond ASCII.  The
-    edited text is the text with its last floor(n_chars / 2) code points
+    Words: lower-cased runs between blanks, tabs and line ends.  The edited text is the text with its last floor(n_chars / 2) code points
     replaced by the first as many (or all) of the next document's, in falling
     order of key, after the last the first.  near_*: share of equal samples.
 
@@ -89,10 +119,13 @@ def fingerprint_documents(docs: DataFrame, key: str = "doc_id", text: str = "tex
     placed = placed.select("bucket", "own", "k", "rn", "t", n_chars.cast("long").alias("n_chars"), F.concat(F.substring(F.col("t"), F.lit(1), n_chars - half), F.substring(F.col("next"), F.lit(1), half)).alias("edited"))
 
     sides = placed.select("bucket", "rn", F.posexplode(F.when(F.col("own"), F.array("t", "edited")).otherwise(F.array("t"))).alias("side", "x"))
-    words = sides.select("bucket", "rn", "side", F.explode_outer(_words(_lower(F.col("x")))).alias("word")).select("bucket", "rn", "side", F.xxhash64("word").alias("word"))
+    words = sides.select("bucket", "rn", "side", F.explode_outer(_words(F.col("x"))).alias("word")).select("bucket", "rn", "side", F.xxhash64("word").alias("word"))
     weights = words.groupBy("bucket", "rn", "side", "word").agg(F.ln(F.count(F.lit(1)).cast("double")).alias("lw"))
     rounds = weights.withColumn("round", F.explode(F.array(*map(F.lit, range(samples // LANES)))))
-    drawn = rounds.select("bucket", "rn", "side", "round", *(_sample(F.col("word"), F.col("lw"), F.col("round") * LANES + j).alias(f"s{j}") for j in range(LANES)))
+    quantiles = _gamma_quantiles()
+    gamma = _constant(quantiles)
+    log_factor = _constant([math.log(x / math.sqrt((i + 0.5) / LEVELS)) for i, x in enumerate(quantiles)])
+    drawn = rounds.select("bucket", "rn", "side", "round", *(_sample(F.col("word"), F.col("lw"), F.col("round") * LANES + j, gamma, log_factor).alias(f"s{j}") for j in range(LANES)))
     least = drawn.groupBy("bucket", "rn", "side", "round").agg(*(F.min(f"s{j}").alias(f"s{j}") for j in range(LANES)))
     digits = F.concat(*(F.lpad(F.hex(F.col(f"s{j}").bitwiseAND(F.lit((1 << _BITS) - 1))), 7, "0") for j in range(LANES)))
     pieces = least.select("bucket", "rn", "side", "round", digits.alias("d"))
