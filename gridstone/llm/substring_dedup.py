@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .state import n_parts
-from .textcore import SPACED, U64, Slice, ngrams, ngrams2, slices
+from .textcore import SPACED, U64, Slice, mix, ngrams, ngrams2, slices
 
 K = 6
 CHUNK_WORDS = 2_000_000
@@ -80,7 +80,7 @@ def _by_doc(docs: np.ndarray, pos: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(ids.astype(np.int64)), packed.cast(pa.binary())], schema=_FOUND)
 
 
-def _send(parts: np.ndarray, n: int, columns: list[np.ndarray | None]) -> Iterator[pa.RecordBatch]:
+def _send(parts: np.ndarray, columns: list[np.ndarray | None]) -> Iterator[pa.RecordBatch]:
     """Rows of arrays for each part; ``parts`` is sorted."""
     if len(parts):
         at = np.flatnonzero(np.diff(parts, prepend=-1))
@@ -88,10 +88,11 @@ def _send(parts: np.ndarray, n: int, columns: list[np.ndarray | None]) -> Iterat
         yield pa.RecordBatch.from_arrays([pa.array(parts[at]), *(pa.array(r, pa.binary()) for r in rows)], schema=_SCHEMA)
 
 
-def _known(docs: np.ndarray, pos: np.ndarray, n: int, turn: int) -> Iterator[pa.RecordBatch]:
-    """What the task knows already, passed through some part."""
-    if len(docs):
-        yield pa.RecordBatch.from_arrays([pa.array([turn % n], pa.int32()), pa.nulls(1, pa.binary()), pa.nulls(1, pa.binary()), pa.array([docs.astype("<i8").tobytes()], pa.binary()), pa.array([pos.astype("<i4").tobytes()], pa.binary())], schema=_SCHEMA)
+def _known(docs: np.ndarray, pos: np.ndarray, n: int) -> Iterator[pa.RecordBatch]:
+    """What the task knows already, passed through parts by document."""
+    parts = _parts(mix(docs.astype(U64)), n)
+    order = np.argsort(parts, kind="stable")
+    yield from _send(parts[order], [None, None, docs[order], pos[order]])
 
 
 def _joined(batches: Iterator[pa.RecordBatch]) -> tuple[list[np.ndarray], list[np.ndarray]]:
@@ -118,7 +119,7 @@ def _twice(same: np.ndarray) -> np.ndarray:
 def _anchor_pass(length: int, n: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept: list[tuple[np.ndarray, ...]] = []
-        words = turn = 0
+        words = 0
 
         def flush() -> Iterator[pa.RecordBatch]:
             a, d, p = (np.concatenate(x) for x in zip(*kept, strict=True))
@@ -126,9 +127,9 @@ def _anchor_pass(length: int, n: int):
             a, d, p = a[order], d[order], p[order]
             same = np.append(False, a[1:] == a[:-1]) if len(a) else np.zeros(0, bool)
             local = _twice(same)
-            yield from _known(d[local], p[local], n, turn)
+            yield from _known(d[local], p[local], n)
             a, d, p = a[~same], d[~same], p[~same]
-            yield from _send(_parts(a, n), n, [a, None, d, p])
+            yield from _send(_parts(a, n), [a, None, d, p])
 
         for batch in batches:
             ids = batch.column(0).fill_null(-1).to_numpy(zero_copy_only=False)
@@ -142,7 +143,6 @@ def _anchor_pass(length: int, n: int):
                 kept.append((a[anchor], ids[x:y][doc].astype(np.int64), (anchor - s.first[doc]).astype(np.int32)))
                 words += len(h)
                 if words > CHUNK_WORDS:
-                    turn += 1
                     yield from flush()
                     kept, words = [], 0
         if kept:
@@ -178,7 +178,7 @@ def _positions(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 def _suffix_pass(length: int, n: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept: list[tuple[np.ndarray, ...]] = []
-        have = turn = 0
+        have = 0
 
         def flush() -> Iterator[pa.RecordBatch]:
             w, c, part, d, p = (np.concatenate(x) for x in zip(*kept, strict=True))
@@ -186,11 +186,11 @@ def _suffix_pass(length: int, n: int):
             w, c, part, d, p = (x[order] for x in (w, c, part, d, p))
             same = _same_leaf(w, c, d, p)
             repeat = same[0]
-            yield from _known(d[repeat], p[repeat], n, turn)
+            yield from _known(d[repeat], p[repeat], n)
             w, c, part, d, p = (x[~same[1]] for x in (w, c, part, d, p))
             order = np.argsort(part, kind="stable")
             w, c, part, d, p = (x[order] for x in (w, c, part, d, p))
-            yield from _send(part, n, [w, c, d, p])
+            yield from _send(part, [w, c, d, p])
 
         for batch in batches:
             pos, counts = _positions(batch.column(2))
@@ -213,7 +213,6 @@ def _suffix_pass(length: int, n: int):
                 kept.append((ngrams(h, length)[first], check, _parts(a[anchor], n), ids[x:y][doc], (first - s.first[doc]).astype(np.int32)))
                 have += len(first)
                 if have > CHUNK_WORDS // 2:
-                    turn += 1
                     yield from flush()
                     kept, have = [], 0
         if kept:
