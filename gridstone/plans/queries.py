@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ..functions import identity, scalar
+from ..functions import identity, scalar, trees
 from ..operators import asof, features, integrity, labels, policy, runs, scenes, selection, timegrid
 from ..sinks import publish
 from ..sources import manifests
@@ -567,6 +567,20 @@ def props_lerp(spark, sf_dir):
     return ev.select("event_id", F.round(F.element_at(scalar.mapped_lerp(F.col("m"), F.col("n"), F.lit(0.5)), "k"), 6).alias("k"))
 
 
+@query(f"""WITH {_EV}, k AS (SELECT event_id, CAST(json_extract(props, '$.k') AS DOUBLE) AS v, lead(CAST(json_extract(props, '$.k') AS DOUBLE)) OVER (PARTITION BY user_id ORDER BY ts_ns) AS n FROM ev)
+SELECT event_id, round(v + (n - v) * 0.25, 6) AS k, CAST(0 AS INTEGER) AS n_left FROM k WHERE n IS NOT NULL""")
+def tree_blend(spark, sf_dir):
+    ev = events(spark, sf_dir).withColumn("following", F.lead("props").over(Window.partitionBy("user_id").orderBy("ts_ns"))).where("following is not null")
+    found = ev.select("event_id", trees.blended("props", "following", F.lit(0.25)).alias("m"))
+    return found.select("event_id", F.round(F.element_at("m.blended", "k"), 6).alias("k"), F.size("m.uninterpolated").alias("n_left"))
+
+
+@query(f"""WITH {_EV} SELECT event_id, 'k' AS path, CAST(json_extract(props, '$.k') AS DOUBLE) AS value FROM ev""")
+def largest_leaf(spark, sf_dir):
+    found = events(spark, sf_dir).select("event_id", trees.numeric_leaves("props").alias("l")).select("event_id", trees.largest_leaf(F.col("l")).alias("b"))
+    return found.select("event_id", "b.path", "b.value")
+
+
 @query("""SELECT c_custkey, sha256('{"key":' || c_custkey || ',"name":"' || c_name || '","segment":"' || c_mktsegment || '"}') AS digest FROM customer""")
 def canonical_hashes(spark, sf_dir):
     c = table(spark, sf_dir, "customer")
