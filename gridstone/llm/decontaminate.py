@@ -16,6 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .state import bounded_batches
 from .textcore import PLAIN, U64, Slice, ngrams, slices
 
 _HITS = "hit_spans array<struct<start:int,end:int>>, hit_items array<string>"
@@ -88,6 +89,7 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, n: int = 10, text:
     named like the new ones are replaced; all others are kept as they are.
     """
     spark = docs.sparkSession
+    bounded_batches(spark)
     items = benchmark.select(F.col(item).cast("string").alias("id"), F.coalesce(F.col(item_text), F.lit("")).alias("t"))
     size, longest = items.agg(F.coalesce(F.sum(F.octet_length("t")), F.lit(0)), F.coalesce(F.max(F.octet_length("t")), F.lit(0))).first()
     blocks = max(1, -(-(size) // block_bytes))

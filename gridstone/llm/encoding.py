@@ -32,8 +32,8 @@ _LETTER[0x41:0x5B] = _LETTER[0x61:0x7B] = True
 _POINT = np.zeros(256, bool)
 for _c in b"!\"#$%&()*+,-./:;=?@[\\]^_`{}~":
     _POINT[_c] = True
-SLOTS = 1 << 22
-MOST_IDS = 24_000_000
+SLOTS = 1 << 21
+MOST_IDS = 8_000_000
 
 
 def library(path: str):
@@ -53,11 +53,12 @@ class PieceEncoder:
 
     def __init__(self, path: str):
         self.tokenizer = library(path)
+        self.kind = np.uint16 if self.tokenizer.get_vocab_size() <= 1 << 16 else np.uint32
         self._clear()
 
     def _clear(self) -> None:
         self.keys, self.place = np.zeros(SLOTS, U64), np.zeros(SLOTS, np.int64)
-        self.pool, self.used = np.zeros(1 << 16, np.uint32), 0
+        self.pool, self.used = np.zeros(1 << 16, self.kind), 0
 
     def _learn(self, keys: np.ndarray, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Encode distinct pieces and keep them: (start in the pool, size) of each."""
@@ -65,8 +66,8 @@ class PieceEncoder:
         size = np.fromiter(map(len, got), np.int64, len(got))
         total = int(size.sum())
         while self.used + total > len(self.pool):
-            self.pool = np.concatenate([self.pool, np.zeros(len(self.pool), np.uint32)])
-        self.pool[self.used : self.used + total] = np.fromiter((i for ids in got for i in ids), np.uint32, total)
+            self.pool = np.concatenate([self.pool, np.zeros(len(self.pool), self.kind)])
+        self.pool[self.used : self.used + total] = np.fromiter((i for ids in got for i in ids), self.kind, total)
         begin = self.used + np.cumsum(size) - size
         self.used += total
         small = size < 1 << 20  # a longer piece is not kept

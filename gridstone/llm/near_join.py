@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .state import n_parts, written
+from .state import bounded_batches, n_parts, written
 from .textcore import PLAIN, U64, Slice, mix, ngrams, slices
 
 CHUNK_NODES, CHUNK_GRAMS = 2048, 1 << 20
@@ -217,6 +217,7 @@ def near_classes(docs: DataFrame, n: int = 5, threshold: float = 0.8, trees: int
     no rows; other columns are not read.
     """
     spark = docs.sparkSession
+    bounded_batches(spark)
     t = Fraction(threshold).limit_denominator(1000)
     depth = depth_for(threshold, trees, deepest, recall)
     source = docs.select(F.col(key).alias("k"), F.coalesce(F.col(text), F.lit("")).alias("text"))

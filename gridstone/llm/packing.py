@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from .encoding import encoder
 from .sharding import gapless
-from .state import n_parts, written
+from .state import bounded_batches, n_parts, written
 from .textcore import SPACED, slices
 
 Bins = list[tuple[tuple[int, ...], int]]
@@ -118,7 +118,7 @@ def cut_pieces(docs: DataFrame, tokenizer: str, capacity: int, end_id: int, key:
         for batch in batches:
             for x, y, s in slices(batch.column(1), SPACED):
                 ids, n = enc.encode(s.data, s.offsets)
-                ids = np.insert(ids, np.cumsum(n), end_id).astype("<u4")
+                ids = np.insert(ids.astype("<u4"), np.cumsum(n), end_id)
                 n = n + 1
                 pieces = -(-n // capacity)
                 doc = np.repeat(np.arange(y - x), pieces)
@@ -152,6 +152,7 @@ def pack_documents(docs: DataFrame, tokenizer: str, capacity: int = 1024, end_id
     null and rows repeated whole are packed each.  An empty table gives no
     rows; other columns are not read.
     """
+    bounded_batches(docs.sparkSession)
     pieces = written(cut_pieces(docs, tokenizer, capacity, end_id, key, text, with_ids), "pieces")
     counts = {r["length"]: r["count"] for r in pieces.groupBy("length").count().collect()}  # at most ``capacity`` rows
     lanes = n_parts(docs.sparkSession)

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .state import written
+from .state import bounded_batches, written
 from .textcore import SPACED, slices
 
 KINDS = ("email", "ip", "card", "phone")
@@ -165,6 +165,7 @@ def find_pii(docs: DataFrame, text: str = "text", rounds: int = 3, confidence: f
     texts get equal spans, repeated rows are judged each, an empty table gives
     no rows; a column called ``pii`` is replaced, all others are kept.
     """
+    bounded_batches(docs.sparkSession)
     graph = written(_graph(docs, text), "graph")
     patterns = score_patterns(graph, rounds, confidence, support)
     best: dict[str, tuple[float, int]] = {}

@@ -14,6 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .state import bounded_batches
 from .textcore import SPACED, U64, Slice, _table, mix, slices
 
 _LINES = _table([(0, 9), (11, 255)], False)
@@ -172,6 +173,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", key: str =
     Of contradicting labels of one key the rounded mean counts; rows with a
     null key or label teach nothing.
     """
+    bounded_batches(docs.sparkSession)
     known = labels.where(F.col(label).isNotNull() & F.col(key).isNotNull() & ~held_out(F.col(key)))
     known = known.groupBy(F.col(key).alias("k")).agg(F.round(F.avg(label)).cast("double").alias("y"))
     share = min(1.0, most / max(1, known.count()))
@@ -195,6 +197,7 @@ def score_quality(docs: DataFrame, model: Trees, text: str = "text", name: str =
     and the score of that; equal texts score alike; an empty table gives no
     rows; a column called ``name`` is replaced, all others are kept.
     """
+    bounded_batches(docs.sparkSession)
     plain = docs.drop(name)
     at = plain.columns.index(text)
     sent = docs.sparkSession.sparkContext.broadcast(model)

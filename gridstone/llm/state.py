@@ -41,5 +41,16 @@ def n_parts(spark: SparkSession, df: DataFrame | None = None, bytes_each: int =
     base = int(spark.conf.get("spark.sql.shuffle.partitions"))
     if df is None:
         return base
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    sizes = [int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size())]
+    size = sum(x for x in sizes if x < 1 << 60)  # an unknown size is given as the largest there is
     return max(base, min(size // bytes_each, 1_000_000))
+
+
+def bounded_batches(spark: SparkSession, most: int = 512) -> None:
+    """Let Arrow batches hold at most ``most`` rows in this session: texts can
+    be long, and a batch is in memory whole, on either side."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    now = int(spark.conf.get(name))
+    if now <= 0 or now > most:
+        spark.conf.set(name, str(most))

@@ -35,7 +35,7 @@ import pyarrow.compute  # noqa: F401  (pa.compute)
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .state import n_parts
+from .state import bounded_batches, n_parts
 from .textcore import SPACED, U64, Slice, mix, ngrams, ngrams2, slices
 
 K = 6
@@ -292,6 +292,7 @@ def remove_repeats(docs: DataFrame, length: int = 20, key: str = "doc_id", text:
     An empty table gives no rows; other columns are not read.
     """
     spark = docs.sparkSession
+    bounded_batches(spark)
     rows = docs.select(F.col(key).cast("long").alias("doc"), F.col(text).alias("text"))
     n = n_parts(spark, docs.select(text), 4 << 20)
 

@@ -15,7 +15,7 @@ U64 = np.uint64
 _B = U64(0x9E3779B97F4A7C15)
 _Q = U64(0xC2B2AE3D27D4EB4F)
 _Q2 = U64(0x165667B19E3779F9)
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 
 
 def _table(word: list[tuple[int, int]], lower: bool) -> tuple[np.ndarray, np.ndarray]:

@@ -17,6 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from .encoding import encoder
+from .state import bounded_batches
 from .textcore import SPACED, slices
 
 #: Cut before a space with a letter or digit of ASCII on either side: the
@@ -76,6 +77,7 @@ def count_tokens(docs: DataFrame, tokenizer: str, limit: int = 1024, key: str =
     text counts as empty (0 tokens), a null key stays null, repeated rows are
     counted each, an empty table gives no rows, and other columns are not read.
     """
+    bounded_batches(docs.sparkSession)
     kind = docs.select(key).schema[0].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
