@@ -155,6 +155,6 @@ def cut_spans(docs: DataFrame, text: str = "text", spans: str = "hit_spans") ->
                 texts[i] = b"\n".join([*out, raw[upto:]]).decode("utf-8")
             columns = list(batch.columns)
             columns[at] = pa.array(texts, batch.column(at).type)
-            yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names)
+            yield pa.RecordBatch.from_arrays(columns, schema=batch.schema)
 
     return docs.mapInArrow(run, docs.schema)

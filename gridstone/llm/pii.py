@@ -218,6 +218,6 @@ def redact(docs: DataFrame, text: str = "text", spans: str = "pii") -> DataFrame
                     texts[i] = "".join([*out, texts[i][upto:]])
             columns = list(batch.columns)
             columns[at] = pa.array(texts, batch.column(at).type)
-            yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names)
+            yield pa.RecordBatch.from_arrays(columns, schema=batch.schema)
 
     return docs.mapInArrow(run, docs.schema)
