@@ -294,7 +294,7 @@ def remove_repeats(docs: DataFrame, length: int = 20, key: str = "doc_id", text:
     spark = docs.sparkSession
     bounded_batches(spark)
     rows = docs.select(F.col(key).cast("long").alias("doc"), F.col(text).alias("text"))
-    n = n_parts(spark, docs.select(text), 4 << 20)
+    n = n_parts(spark, docs.select(text), 12 << 20)
 
     def found(df: DataFrame, reduce) -> DataFrame:
         dealt = df.repartition(n, "part").mapInArrow(reduce, "doc long, p binary")
