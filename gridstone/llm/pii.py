@@ -15,6 +15,7 @@ further tokens, as of their kind.
 from __future__ import annotations
 
 import re
+import uuid
 from collections import Counter
 from collections.abc import Iterator
 
@@ -35,6 +36,8 @@ _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])++")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _TOKEN = re.compile(r"\S+")
 _TRIM = ".,;:!?\"'()[]{}<>|*#$%&="
+#: Patterns that each task may hold as a broadcast table; more are joined instead, with equal results.
+BLOCK = 200_000
 _SPAN = "array<struct<kind:string,start:int,end:int,base:boolean>>"
 Span = tuple[str, int, int]
 
@@ -133,16 +136,13 @@ def _graph(docs: DataFrame, text: str) -> DataFrame:
     return raw.groupBy("pattern", F.xxhash64("instance").alias("instance"), "kind").agg(F.sum("n").alias("n"))
 
 
-def score_patterns(graph: DataFrame, rounds: int = 3, confidence: float = 0.7, support: int = 3, most: int = 10_000) -> DataFrame:
+def score_patterns(graph: DataFrame, rounds: int = 3, confidence: float = 0.7, support: int = 3) -> DataFrame:
     """pattern, kind, confidence of the trusted patterns.
 
-    A pattern needs ``support`` distinct seeds, and a 1/``most`` share of all
-    (pattern, seed) edges, so there are at most ``most`` of them at any size.
+    A pattern needs ``support`` distinct seeds, at any size of the graph.
     """
     seeds = graph.where(F.col("kind").isNotNull()).select("pattern", "instance", F.col("kind").alias("k"), F.lit(1.0).alias("s"), "n")
-    edges = seeds.count()
-    least = max(support, -(-edges // most))
-    supported = seeds.groupBy("pattern", "k").agg(F.countDistinct("instance").alias("seeds")).where(F.col("seeds") >= least)
+    supported = seeds.groupBy("pattern", "k").agg(F.countDistinct("instance").alias("seeds")).where(F.col("seeds") >= support)
     total = graph.groupBy("pattern").agg(F.sum("n").alias("total")).join(supported.select("pattern").distinct(), "pattern", "left_semi")
     others = graph.where(F.col("kind").isNull()).select("pattern", "instance", "n", F.explode(F.array(*map(F.lit, KINDS))).alias("k"))
     others = others.join(supported.select("pattern", "k"), ["pattern", "k"], "left_semi")
@@ -156,6 +156,31 @@ def score_patterns(graph: DataFrame, rounds: int = 3, confidence: float = 0.7, s
     return trust.where((F.col("c") >= confidence) & (F.col("sure") / F.col("total") >= confidence / 2)).select("pattern", F.col("k").alias("kind"), F.col("c").alias("confidence"))
 
 
+def _marked(plain: DataFrame, text: str, best: DataFrame, name: str) -> DataFrame:
+    """``plain`` with ``name``: spans (start, end, kind) that trusted patterns
+    mark, by joins; for more patterns than a task can hold.  Equal texts are
+    looked up once, by their hash."""
+    by = name + "_by"
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for x, _, some in _flagged(batch.column(0)):
+                found = []
+                for i in np.flatnonzero(some).tolist():
+                    t = batch.column(0)[x + i].as_py()
+                    h = batch.column(1)[x + i].as_py()
+                    found += [(h, a, b, k, p) for a, b in _others(t, base_spans(t)) for k, p in enumerate(_contexts(t, a))]
+                if found:
+                    types = [pa.string(), pa.int32(), pa.int32(), pa.int32(), pa.string()]
+                    yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*found, strict=True), types, strict=True)], [by, "start", "end", "k", "pattern"])
+
+    keyed = plain.withColumn(by, F.sha2(text, 256))
+    sought = keyed.select(text, by).mapInArrow(run, f"`{by}` string, start int, end int, k int, pattern string")
+    hits = sought.join(best, "pattern").groupBy(by, "start", "end").agg(F.max_by("kind", "k").alias("kind"))
+    spans = hits.groupBy(by).agg(F.collect_list(F.struct("start", "end", "kind")).alias(name))
+    return keyed.join(spans, by, "left").select(*(F.col(f"`{c}`") for c in plain.columns), name)
+
+
 def find_pii(docs: DataFrame, text: str = "text", rounds: int = 3, confidence: float = 0.7, support: int = 3) -> DataFrame:
     """``docs`` with ``pii``: spans (kind, start, end, base) in code points,
     end exclusive, sorted by kind as in KINDS, start and end.
@@ -168,22 +193,28 @@ def find_pii(docs: DataFrame, text: str = "text", rounds: int = 3, confidence: f
     bounded_batches(docs.sparkSession)
     graph = written(_graph(docs, text), "graph")
     patterns = score_patterns(graph, rounds, confidence, support)
-    best: dict[str, tuple[float, int]] = {}
-    for r in patterns.collect():  # at most about 10,000, by their share of all edges
-        best[r["pattern"]] = max(best.get(r["pattern"], (0.0, 0)), (r["confidence"], -KINDS.index(r["kind"])))
-    sent = docs.sparkSession.sparkContext.broadcast({p: KINDS[-k] for p, (_, k) in best.items()})
+    order = F.create_map(*(F.lit(x) for i, k in enumerate(KINDS) for x in (k, -i)))
+    best = patterns.groupBy("pattern").agg(F.max_by("kind", F.struct("confidence", order[F.col("kind")])).alias("kind"))
+    best = written(best, "best")
     plain = docs.drop("pii")
-    at = plain.columns.index(text)
+    few = best.limit(BLOCK + 1).count() <= BLOCK
+    name = f"marked_{uuid.uuid4().hex}"  # no column of docs
+    given = plain if few else _marked(plain, text, best, name)
+    sent = docs.sparkSession.sparkContext.broadcast({r["pattern"]: r["kind"] for r in best.collect()} if few else {})
+    at, last = plain.columns.index(text), len(plain.columns)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trusted = sent.value
         for batch in batches:
+            more = None if few else batch.column(last)
             for x, y, some in _flagged(batch.column(at)):
                 out: list[list[dict]] = [[] for _ in range(y - x)]
                 for i in np.flatnonzero(some).tolist():
                     t = batch.column(at)[x + i].as_py()
                     base = base_spans(t)
                     spans = [(KINDS.index(k), a, b, True) for k, a, b in base]
+                    if more is not None:
+                        spans += [(KINDS.index(s["kind"]), s["start"], s["end"], False) for s in more[x + i].as_py() or ()]
                     for a, b in _others(t, base) if trusted else ():
                         kind = next((trusted[p] for p in reversed(_contexts(t, a)) if p in trusted), None)
                         if kind:
@@ -191,9 +222,9 @@ def find_pii(docs: DataFrame, text: str = "text", rounds: int = 3, confidence: f
                     out[i] = [{"kind": KINDS[k], "start": a, "end": b, "base": own} for k, a, b, own in sorted(spans)]
                 rows = batch.slice(x, y - x)
                 kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32()), ("base", pa.bool_())]))
-                yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(out, kind)], [*rows.schema.names, "pii"])
+                yield pa.RecordBatch.from_arrays([*rows.columns[:last], pa.array(out, kind)], [*rows.schema.names[:last], "pii"])
 
-    return plain.mapInArrow(run, plain.withColumn("pii", F.lit(None).cast(_SPAN)).schema)
+    return given.mapInArrow(run, plain.withColumn("pii", F.lit(None).cast(_SPAN)).schema)
 
 
 def redact(docs: DataFrame, text: str = "text", spans: str = "pii") -> DataFrame:

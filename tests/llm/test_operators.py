@@ -215,6 +215,25 @@ def test_bootstrapping_finds_unseen_identifiers(spark):
     assert pii.find_pii(clean.drop("pii")).where("exists(pii, x -> x.base)").count() == 0
 
 
+def test_pii_support_holds_beside_unrelated_seeds(spark):
+    """Three seeds make a pattern trusted however many other seeds there are."""
+    few = spark.createDataFrame([("badge: ", i, "email", 1) for i in range(3)] + [("two: ", i, "email", 1) for i in range(2)], "pattern string, instance long, kind string, n long")
+    many = spark.range(60_000).select(F.concat(F.lit("p"), "id").alias("pattern"), F.col("id").alias("instance"), F.lit("ip").alias("kind"), F.lit(1).cast("long").alias("n"))
+    assert {r["pattern"] for r in pii.score_patterns(few).collect()} == {"badge: "}
+    assert {r["pattern"] for r in pii.score_patterns(few.union(many)).collect()} == {"badge: "}
+
+
+def test_pii_joined_patterns_equal_the_broadcast(spark, odd, empty, monkeypatch):
+    data = [(i, f"Mail to: u{i}@example.com\nhost addr 10.0.0.{i} and Mail to: tok{i}xyz, addr abc{i}defgh") for i in range(12)]
+    data += [(3, data[3][1]), (90, None), (91, ""), (92, "to: only99token")]
+    docs = spark.createDataFrame(data, "doc_id long, text string").repartition(3)
+    seen = lambda: sorted((r["doc_id"], r["text"] or "", [tuple(s) for s in r["pii"]]) for r in pii.find_pii(docs, confidence=0.2).collect())
+    want = seen()
+    monkeypatch.setattr(pii, "BLOCK", 0)
+    assert seen() == want and any(not s[3] for r in want for s in r[2])
+    assert pii.find_pii(odd).count() == 6 and pii.find_pii(empty).count() == 0
+
+
 def test_pii_odd_cases(odd, empty):
     assert pii.find_pii(odd).count() == 6 and pii.find_pii(empty).count() == 0
 
