@@ -23,6 +23,7 @@ def match_grid(df: DataFrame, key: str, ts: str, order: Sequence[str], fps: Frac
     tolerance.  batch_ts (and error, batch minus target) is null for a miss.
     Where no batch can reach two targets, each target takes its nearest batch
     by joins alone; else a greedy loop a recording gives every batch away once.
+    A recording with more than MOST_TARGETS targets fails the job.
     """
     if fps <= 0 or tolerance < 0:
         raise ValueError("fps must be positive and the tolerance not negative")
@@ -32,6 +33,15 @@ def match_grid(df: DataFrame, key: str, ts: str, order: Sequence[str], fps: Frac
     return _by_joins(df, key, ts, order, fps, tolerance) if 2 * tolerance < spacing else _greedy(df, key, ts, order, fps, tolerance)
 
 
+def _reach(fps: Fraction) -> int:
+    """Distance from the anchor of the first target beyond MOST_TARGETS."""
+    return (2 * MOST_TARGETS * _NS * fps.denominator + fps.numerator) // (2 * fps.numerator)
+
+
+def _too_many() -> str:
+    return f"target count exceeds safety limit {MOST_TARGETS}; lower fps or split the recording"
+
+
 def _target(index, anchor, fps: Fraction):
     num, den = 2 * _NS * fps.denominator, fps.numerator
     wide = lambda c: c.cast("decimal(38,0)")
@@ -42,9 +52,10 @@ def _by_joins(df: DataFrame, key: str, ts: str, order: Sequence[str], fps: Fract
     spans = df.groupBy(key).agg(F.min_by(ts, F.struct(*order)).alias("anchor"), F.max(ts).alias("end"))
     wide = lambda c: c.cast("decimal(38,0)")
     guess = lambda x: F.call_function("div", wide(x) * F.lit(fps.numerator).cast("decimal(18,0)"), F.lit(_NS * fps.denominator).cast("decimal(30,0)"))
-    last = guess(F.col("end") + tolerance - F.col("anchor"))
+    span = F.col("end") + tolerance - F.col("anchor")
+    last = F.when(wide(span) >= F.lit(str(_reach(fps))).cast("decimal(38,0)"), F.raise_error(F.lit(_too_many()))).otherwise(guess(span))
     grid = spans.select(key, "anchor", "end", F.explode(F.sequence(F.lit(0).cast("long"), F.greatest(last, F.lit(0)) + 1)).alias("target_index"))
-    grid = grid.withColumn("target_ts", _target(F.col("target_index"), F.col("anchor"), fps)).where((F.col("target_ts") <= F.col("end") + tolerance) & (F.col("target_index") < MOST_TARGETS))
+    grid = grid.withColumn("target_ts", _target(F.col("target_index"), F.col("anchor"), fps)).where(F.col("target_ts") <= F.col("end") + tolerance)
     near = df.select(key, ts).join(spans.select(key, "anchor"), key).where(F.col(ts) >= F.col("anchor") - tolerance)
     low = F.greatest(guess(F.greatest(F.col(ts) - F.col("anchor"), F.lit(0))), F.lit(0).cast("long"))
     near = near.select(key, ts, "anchor", F.explode(F.array(low, low + 1)).alias("target_index"))
@@ -70,7 +81,9 @@ def greedy_grid(stamps: list[int], fps: Fraction, tolerance: int) -> list[tuple[
         return i
 
     out, anchor, end, index = [], stamps[0], ordered[-1] + tolerance, 0
-    while index < MOST_TARGETS:
+    if anchor + _reach(fps) <= end:
+        raise ValueError(_too_many())
+    while True:
         target = anchor + (2 * index * _NS * fps.denominator + fps.numerator) // (2 * fps.numerator)
         if target > end:
             break

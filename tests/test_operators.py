@@ -64,6 +64,21 @@ def test_grid_forms_equal_the_loop(spark):
     assert rows(got, "k", "target_index", "target_ts", "batch_ts") == sorted([(k, *x) for k, xs in want.items() for x in xs], key=lambda r: tuple((x is None, str(x)) for x in r))
 
 
+def test_grid_fails_beyond_the_most_targets(spark, monkeypatch):
+    """No target is left out silently, in either form."""
+    df = spark.createDataFrame([("r", 0, 0), ("r", 1, timegrid.MOST_TARGETS * S)], "k string, i long, t long")
+    for tolerance in (0, S):
+        with pytest.raises(Exception, match="exceeds safety limit"):
+            timegrid.match_grid(df, "k", "t", ["i"], Fraction(1), tolerance).where("target_index > 9999998").collect()
+    monkeypatch.setattr(timegrid, "MOST_TARGETS", 5)
+    assert len(grid(spark, [0, 5 * S - 1], Fraction(1), 0)) == 5
+    with pytest.raises(Exception, match="exceeds safety limit 5"):
+        grid(spark, [0, 5 * S], Fraction(1), 0)
+    assert len(timegrid.greedy_grid([0, 4 * S], Fraction(1), S - 1)) == 5
+    with pytest.raises(ValueError, match="exceeds safety limit 5"):
+        timegrid.greedy_grid([0, 4 * S], Fraction(1), S)
+
+
 def test_grid_rejects_bad_input(spark):
     with pytest.raises(ValueError):
         timegrid.greedy_grid([1, 1], Fraction(2), 0)
