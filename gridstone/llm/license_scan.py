@@ -1,12 +1,15 @@
 """License scans: base phrases, and an exact set-similarity join with templates.
 
-Each line of a text is a block.  A block matches a template when it holds at
+Each line of a text is a block, and so is each run of consecutive words, over
+line ends too, of a template's number of words divided by ``threshold``: a
+notice wrapped over lines is whole in one of them.  A block matches a template when it holds at
 least ``threshold`` of the template's distinct words.  Template words are put
 in order of their frequency over all documents, rarest first; a block can only
 match if it has one of the template's first |T| - need + 1 words (prefix
 filter), at least ``need`` words of any template (length filter) and enough
 words left on both sides at the first shared one (positional filter).  What
-passes is verified exactly.  DataFrame expressions only.
+passes is verified exactly.  Runs of words are made only around places of the
+prefix filter's words.  DataFrame expressions only.
 """
 
 from __future__ import annotations
@@ -57,7 +60,7 @@ def scan_licenses(docs: DataFrame, key: str = "doc_id", text: str = "text", thre
     n_base: places where a phrase of PHRASES stands as consecutive words, with
     the smallest and largest start (null without any).  labels: the phrases'
     and the templates'.  score: 1 where a phrase stands, else the greatest
-    share of a matching template's words in one line, else 0.
+    share of a matching template's words in one block, else 0.
 
     A null text is empty; a null key is a key like others; rows equal in key
     and text get equal results, one row each; an empty table gives no rows;
@@ -65,7 +68,8 @@ def scan_licenses(docs: DataFrame, key: str = "doc_id", text: str = "text", thre
     """
     spark = docs.sparkSession
     rows = docs.select(F.col(key).alias("k"), _lower(F.col(text)).alias("t")).withColumn("w", _words(F.col("t")))
-    sets = [(label, sorted(set(re.findall(WORD, body.lower())))) for label, bodies in templates.items() for body in bodies]
+    bodies = [(label, re.findall(WORD, body.lower())) for label, found in templates.items() for body in found]
+    sets = [(label, sorted(set(words))) for label, words in bodies]
     vocabulary = sorted({w for _, words in sets for w in words})
     counted = rows.select(F.explode(F.array_intersect("w", F.array(*map(F.lit, vocabulary)))).alias("x")).groupBy("x").count()
     frequency = {r["x"]: r["count"] for r in counted.collect()}  # at most the templates' words
@@ -76,9 +80,9 @@ def scan_licenses(docs: DataFrame, key: str = "doc_id", text: str = "text", thre
         order = sorted(ranked[w] for w in words)
         need = _needed(len(order), threshold)
         for at, rank in enumerate(order[: len(order) - need + 1]):
-            index.append((rank, i, label, at, len(order), need, order))
+            index.append((rank, i, label, at, len(order), need, order, math.ceil(len(bodies[i][1]) / max(threshold, 0.1) - 1e-9)))
         first_words |= {w for w in words if ranked[w] in order[: len(order) - need + 1]}
-    prefixes = spark.createDataFrame(index, "rank int, template int, label string, at int, n int, need int, words array<int>")
+    prefixes = spark.createDataFrame(index, "rank int, template int, label string, at int, n int, need int, words array<int>, wide int")
     ranks = F.create_map(*(F.lit(x) for w, i in ranked.items() for x in (w, i)))
     ordered = lambda w: F.array_sort(F.transform(F.array_intersect(w, F.array(*map(F.lit, vocabulary))), lambda x: F.element_at(ranks, x)))
 
@@ -89,7 +93,22 @@ def scan_licenses(docs: DataFrame, key: str = "doc_id", text: str = "text", thre
     left = F.least(F.col("n") - F.col("at"), F.size("own") - F.col("pos"))
     pairs = pairs.where((F.size("own") >= F.col("need")) & (left >= F.col("need") - F.least("at", "pos")))
     shared = F.size(F.array_intersect("own", "words"))
-    matched = pairs.where(shared >= F.col("need")).groupBy("k", "h").agg(F.collect_set("label").alias("found"), F.max(shared / F.col("n")).alias("share"))
+    in_lines = pairs.where(shared >= F.col("need")).select("k", "h", "label", (shared / F.col("n")).alias("share"))
+
+    # around each place of a prefix word: the ranks of the words that a run with it can hold, 0 for other words
+    most = max(x[7] for x in index)
+    wrapped = rows.where(F.contains("t", F.lit("\n")) & F.arrays_overlap("w", F.array(*map(F.lit, sorted(first_words)))))
+    spots = F.filter(F.transform("w", lambda x, i: F.when(F.array_contains(F.array(*map(F.lit, sorted(first_words))), x), i)), lambda i: i.isNotNull())
+    around = wrapped.select("k", F.xxhash64("t").alias("h"), "w", F.explode(spots).alias("i"))
+    start = F.greatest(F.col("i") - (most - 1), F.lit(0))
+    around = around.select("k", "h", (F.col("i") - start).alias("i"), F.element_at("w", F.col("i") + 1).alias("x"), F.slice("w", start + 1, F.col("i") - start + most).alias("near"))
+    near = F.transform("near", lambda x: F.coalesce(F.try_element_at(ranks, x), F.lit(-1)))
+    around = around.select("k", "h", "i", F.element_at(ranks, F.col("x")).alias("rank"), near.alias("near")).distinct()
+    there = around.join(F.broadcast(prefixes), "rank").where(F.size(F.array_intersect("near", "words")) >= F.col("need"))
+    runs = F.sequence(F.greatest(F.col("i") - F.col("wide") + 1, F.lit(0)), F.col("i"))
+    held = F.array_max(F.transform(runs, lambda a: F.size(F.array_intersect("words", F.slice("near", a + 1, F.col("wide"))))))
+    in_runs = there.select("k", "h", "label", "n", "need", held.alias("held")).where(F.col("held") >= F.col("need")).select("k", "h", "label", (F.col("held") / F.col("n")).alias("share"))
+    matched = in_lines.unionByName(in_runs).groupBy("k", "h").agg(F.collect_set("label").alias("found"), F.max("share").alias("share"))
 
     alternatives = "|".join(PHRASES)
     padded = F.concat(F.lit(" "), F.array_join("w", " "), F.lit(" "))

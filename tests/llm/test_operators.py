@@ -499,3 +499,13 @@ def test_license_scan(spark, odd, empty):
         assert r["score"] == pytest.approx(1.0 if places else share)
     assert got[7]["labels"] == "gpl-2"
     assert license_scan.scan_licenses(odd).count() == 6 and license_scan.scan_licenses(empty).count() == 0
+
+
+def test_license_scan_finds_wrapped_notices(spark):
+    mit = "# Permission is hereby granted, free of charge, to any person obtaining a copy\n# of this software and associated documentation files"
+    bsd = "Redistribution and use in source and binary forms, with or without\r\nmodification, are permitted provided that the following conditions are met"
+    apart = "Licensed under\n" + "other words here\n" * 5 + "the Apache Lizense, Version 2.0"
+    data = [(1, mit), (2, "x " * 400 + "\n" + bsd + "\n" + "y " * 400), (3, bsd.replace(" ", "\n")), (4, apart), (5, bsd), (5, bsd), (6, "by CC\n\nunder 4 0"), (None, mit)]
+    got = rows(license_scan.scan_licenses(spark.createDataFrame(data, "doc_id long, text string").repartition(2)), "doc_id", "labels", "score")
+    want = [(1, "mit-notice", 1.0), (2, "bsd", 1.0), (3, "bsd", 1.0), (4, "", 0.0), (5, "bsd", 1.0), (5, "bsd", 1.0), (6, "cc-by-4.0", 5 / 6), (None, "mit-notice", 1.0)]
+    assert got == sorted(want, key=lambda r: tuple((x is None, str(x)) for x in r))
