@@ -19,6 +19,7 @@ import os
 
 import numpy as np
 
+from .state import held
 from .textcore import U64, _B, _inverse, _pow, mix
 
 _SOLID = np.zeros(256, bool)
@@ -132,11 +133,6 @@ class PieceEncoder:
         return ids, np.diff(upto)
 
 
-_encoders: dict[str, PieceEncoder] = {}
-
-
 def encoder(path: str) -> PieceEncoder:
     """One a worker process and vocabulary file."""
-    if path not in _encoders:
-        _encoders[path] = PieceEncoder(path)
-    return _encoders[path]
+    return held(("encoder", path), lambda: PieceEncoder(path))

@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .state import bounded_batches
+from .state import bounded_batches, release
 from .textcore import SPACED, U64, Slice, _table, mix, slices
 
 _LINES = _table([(0, 9), (11, 255)], False)
@@ -181,6 +181,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", key: str =
     rows = docs.select(F.col(key).alias("k"), text).join(F.broadcast(chosen), "k")  # at most about ``most`` rows
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         for batch in batches:
             for x, y, s in slices(batch.column(1), SPACED):
                 yield pa.RecordBatch.from_arrays([batch.column(0)[x:y].cast(pa.string()), batch.column(2)[x:y], pa.array(list(statistics(s)), pa.list_(pa.float64()))], ["k", "y", "x"])
@@ -203,6 +204,7 @@ def score_quality(docs: DataFrame, model: Trees, text: str = "text", name: str =
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         for batch in batches:
             for x, y, s in slices(batch.column(at), SPACED):
                 yield pa.RecordBatch.from_arrays([*batch.slice(x, y - x).columns, pa.array(sent.value.score(statistics(s)))], [*batch.schema.names, name])

@@ -2,26 +2,45 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+_held: dict[object, object] = {}
+
+
+def held(name: object, make: Callable[[], object]) -> object:
+    """What ``make`` gives, kept in this Python worker for tasks to come.  One
+    thing at a time: workers serve all operators, and would gather their tables."""
+    if name not in _held:
+        _held.clear()
+        _held[name] = make()
+    return _held[name]
+
+
+def release() -> None:
+    """Let go what another operator's task left in this worker."""
+    _held.clear()
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only where that setting is absent (tests on one machine) a temporary
-    folder is made and set.
+    Where that is unset and the session is of one machine (master ``local``, as
+    in tests) a temporary folder is made and set.  On a cluster its absence is
+    an error: a folder of one machine loses what the others write.
     """
-    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if found:
-        return found.rstrip("/")
-    kept = spark.sparkContext.getCheckpointDir()
-    if kept is None:
+    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.sparkContext.getCheckpointDir()
+    if not found:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         spark.sparkContext.setCheckpointDir(f"file://{tempfile.mkdtemp(prefix='gridstone-')}")
-        kept = spark.sparkContext.getCheckpointDir()
-    return kept.rstrip("/")
+        found = spark.sparkContext.getCheckpointDir()
+    return found.rstrip("/")
 
 
 def written(df: DataFrame, name: str) -> DataFrame:

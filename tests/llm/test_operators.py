@@ -435,9 +435,10 @@ def brute_classes(pairs):
     return [(i, find(i), links[i]) for i in ids]
 
 
-@pytest.mark.parametrize("chunk", [2048, 4])
-def test_near_join(docs, pairs, chunk, monkeypatch):
+@pytest.mark.parametrize("chunk, piece", [(256, 4096), (4, 3)])
+def test_near_join(docs, pairs, chunk, piece, monkeypatch):
     monkeypatch.setattr(near_join, "CHUNK_NODES", chunk)
+    monkeypatch.setattr(near_join, "PIECE", piece)
     got = rows(near_join.near_classes(docs))
     assert sorted(got) == brute_classes(pairs)
     kept = near_join.first_of_class(docs, near_join.near_classes(docs))
@@ -471,6 +472,37 @@ def test_depth_reaches_the_target_recall():
     assert 1 - (1 - 0.8**depth) ** 32 >= 0.99999 > 1 - (1 - 0.8 ** (depth + 1)) ** 32
 
 
+def test_spanning_forest_joins_all_that_agree():
+    rng = np.random.default_rng(5)
+    labels = rng.integers(0, 3, (60, 16)).astype(np.uint8)
+    row, start, agree = near_join._spanning(labels, 9)
+    same = (labels[:, None] == labels[None]).sum(2)
+    assert (same[row, start] == agree).all() and (agree >= 9).all()
+    label = list(range(60))
+    for _ in range(60):
+        for i in range(60):
+            label[i] = min(label[j] for j in range(60) if same[i, j] >= 9)
+    tied = list(range(60))
+    for _ in range(60):
+        for a, b in zip(row.tolist(), start.tolist(), strict=True):
+            tied[a] = tied[b] = min(tied[a], tied[b])
+    assert tied == label and len(row) == 60 - len(set(label))
+
+
+def test_forest_stops_at_the_measured_recall(spark, docs, monkeypatch):
+    """Near copies alone need no shorter prefixes; links at the threshold do."""
+    asked = []
+    level = near_join._level
+    monkeypatch.setattr(near_join, "_level", lambda leaves, nodes, depth, *a: asked.append(depth) or level(leaves, nodes, depth, *a))
+    text = [f"w{i}" for i in range(400)]
+    for edits, depths in ((1, [8]), (7, [8, 7])):
+        del asked[:]
+        texts = [" ".join(text)] + [" ".join("x" if k % (400 // edits) == 3 + i else w for k, w in enumerate(text)) for i in range(12)]
+        got = rows(near_join.near_classes(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")))
+        assert sorted(got) == brute_classes(list(enumerate(texts)))
+        assert asked[: len(depths)] == depths and (edits > 1 or len(asked) == 1)
+
+
 def test_license_scan(spark, odd, empty):
     data = [
         (1, "Licensed under the Apache License, Version 2.0.\nx"), (2, "MIT  license and the mit-License; cc by cc by-nc"), (3, "licensed under apache license version 2\nfoo"),
