@@ -1,43 +1,55 @@
 """Personal data: exact base spans, and more by bootstrapped contexts.
 
-Base spans (email, ip, card, phone) are the seeds.  The words before a seed
-are lexical patterns; other tokens with digits behind the same words are
-instances of them.  Spark scores the pattern-instance graph in rounds:
-
-* a pattern's confidence in a kind is the mean score of its instances;
-* an instance's score is 1 for a seed, else 1 - prod(1 - confidence) over its
-  patterns.
-
-Patterns of high confidence that stand before enough distinct seeds then mark
-further tokens, as of their kind.
+Base spans (email, ip, card, phone) and long mixed runs of letters and digits
+(secret) are the seeds.  The one and two words before a mention, on its line,
+are its lexical patterns.  Rounds over the corpus, scored in Spark:
+
+1. A pattern with ``support`` distinct known instances of a kind is a
+   candidate; all mentions behind candidates make up the pattern-instance graph.
+2. A candidate's confidence in a kind is the share of its distinct instances
+   that are known for that kind, by their scores; what is trusted already gave
+   them, so none is known by the candidate's own help.  Instances of another
+   kind and plain lower-case words count against it, other unknown ones half.
+   Confident candidates are trusted.
+3. An unknown instance scores 1 - prod(1 - confidence) over its trusted
+   patterns.  Those that score enough are known from now on: the words before
+   them elsewhere in the corpus are the candidates of the next round.
+
+Without newly known instances the rounds end.  Every mention behind a trusted
+pattern that is no plain word is then marked as of its kind.
 """
 
 from __future__ import annotations
 
+import hashlib
 import re
 import uuid
-from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .state import bounded_batches, written
-from .textcore import SPACED, slices
+from .state import bounded_batches, release, written
+from .textcore import SPACED_LOWER, U64, Slice, mix, slices
 
 KINDS = ("email", "ip", "card", "phone")
+#: Kinds of which only the method marks spans: secrets (keys, tokens) beside the base kinds.
+LEARNT = (*KINDS, "secret")
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 # A run of digits that fails from its first digit fails from each: none is tried inside a run.
 _IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])++")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
-_TOKEN = re.compile(r"\S+")
-_TRIM = ".,;:!?\"'()[]{}<>|*#$%&="
+_SECRET = re.compile(r"[0-9A-Za-z]{32,}")
+_GROUP = re.compile(r"[\s]+([0-9+().,/-]*[0-9][0-9+().,/-]*)(?=\s|$)")
+_TRIM = ".,;:!?\"'`()[]{}<>|*#$%&="
 #: Patterns that each task may hold as a broadcast table; more are joined instead, with equal results.
 BLOCK = 200_000
+#: Bits of the filter that stands for any number of patterns or instances; what passes is joined exactly.
+FILTER_BITS = 26
 _SPAN = "array<struct<kind:string,start:int,end:int,base:boolean>>"
 Span = tuple[str, int, int]
 
@@ -77,105 +89,230 @@ def base_spans(t: str) -> list[Span]:
     return out
 
 
-def _contexts(t: str, start: int) -> list[str]:
-    """The one and the two words before ``start`` on its line, lower-cased."""
-    line = t[max(0, start - 80) : start].rpartition("\n")[2]
-    words = line.lower().split()
-    glued = bool(line) and not line[-1].isspace()
-    if glued:  # a token such as key:value
-        words = words or [""]
-    words = words[-2:]
-    mark = "" if glued else " "
-    return [" ".join(words[-k:]) + mark for k in range(1, len(words) + 1) if words[-k:] and any(w.strip(_TRIM) for w in words[-k:])]
-
-
-def _others(t: str, taken: list[Span]) -> Iterator[tuple[int, int]]:
-    """Tokens with a digit, of 6 or more characters, clear of ``taken``."""
-    spans = sorted((a, b) for _, a, b in taken)
-    i = 0
-    for m in _TOKEN.finditer(t):
-        if len(m[0]) < 6 or not any(c in "0123456789" for c in m[0]):
-            continue
-        a = m.start() + len(m[0]) - len(m[0].lstrip(_TRIM))
-        b = m.end() - (len(m[0]) - len(m[0].rstrip(_TRIM)))
-        for sep in ":=":
-            cut = t.rfind(sep, a, b)
-            if a < cut < b - 5:
-                a = cut + 1
-        while i < len(spans) and spans[i][1] <= a:
-            i += 1
-        if b - a >= 6 and not (i < len(spans) and spans[i][0] < b):
-            yield a, b
-
-
-def _flagged(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray]]:
-    """(from, to, which texts hold a digit or @) for runs of texts."""
-    for x, y, s in slices(column, SPACED):
-        upto = np.concatenate([[0], np.cumsum((s.data == 0x40) | (s.data - np.uint8(0x30) < 10))])[s.offsets]
-        yield x, y, np.diff(upto) > 0
-
-
-def _graph(docs: DataFrame, text: str) -> DataFrame:
-    """pattern, instance (a hash), kind (null: not a seed), n, from all texts."""
+def _secrets(t: str) -> Iterator[Span]:
+    for m in _SECRET.finditer(t):
+        digits = sum(c in "0123456789" for c in m[0])
+        if 0 < digits < len(m[0]):
+            yield "secret", m.start(), m.end()
+
+
+def seed_spans(t: str) -> list[Span]:
+    """Base spans, and secrets clear of them."""
+    base = base_spans(t)
+    return base + [s for s in _secrets(t) if not any(a < s[2] and s[1] < b for _, a, b in base)]
+
+
+def _id(t: str) -> int:
+    """Of a whole mention, whatever its length."""
+    return int.from_bytes(hashlib.blake2b(t.lower().encode(), digest_size=8).digest(), "little", signed=True)
+
+
+def _plain(t: str) -> bool:
+    return t.isalpha() and t.islower()
+
+
+class _Lines:
+    """Words of texts for the search of contexts: runs without white space, cut
+    behind ``:`` and ``=``; with the hashes of the patterns before each word."""
+
+    def __init__(self, s: Slice):
+        data, offsets = s.data, s.offsets
+        n = len(data)
+        solid = s.table[0][data]
+        mark = (data == 0x3A) | (data == 0x3D)
+        edge = np.zeros(n + 1, bool)
+        edge[offsets] = True
+        before = np.append(False, solid[:-1] & ~mark[:-1]) & ~edge[:n] if n else solid
+        s.start = np.flatnonzero(solid & ~before)
+        behind = np.append(solid[1:], False) & ~edge[1:] & ~mark if n else solid
+        s.end = np.flatnonzero(solid & ~behind) + 1
+        s.first = np.searchsorted(s.start, offsets)
+        self.s, self.h = s, s.hashes
+        upto = np.concatenate([[0], np.cumsum(data == 0x0A)])
+        line = upto[s.start]
+        name = np.zeros(256, bool)
+        name[0x30:0x3A] = name[0x41:0x5B] = name[0x61:0x7B] = name[0x80:] = True
+        said = np.concatenate([[0], np.cumsum(name[data])])
+        said = said[s.end] > said[s.start]
+        m = len(s.start)
+        doc = np.repeat(np.arange(len(offsets) - 1), np.diff(s.first))
+        one, two = np.zeros(m, bool), np.zeros(m, bool)
+        one[1:] = (line[1:] == line[:-1]) & (doc[1:] == doc[:-1])
+        two[2:] = one[2:] & one[1:-1] & (said[1:-1] | said[:-2])
+        one[1:] &= said[:-1]
+        with np.errstate(over="ignore"):
+            h1 = np.append(U64(0), self.h[:-1])[:m]
+            h2 = np.append(np.zeros(min(2, m), U64), self.h[:-2])[:m]
+            #: pattern of the one and of the two words before; 0: none
+            self.patterns = np.where(np.stack([one, two], 1), np.stack([mix(h1 ^ U64(0xA5A5)), mix(h2 * U64(0x9E3779B97F4A7C15) + h1)], 1) | U64(1), U64(0)).view(np.int64)
+        self.chars = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])
+
+    def word_at(self, doc: int, char: int) -> int:
+        """The word of text ``doc`` in which its code point ``char`` stands."""
+        byte = np.searchsorted(self.chars, self.chars[self.s.offsets[doc]] + char, "right") - 1
+        return int(np.searchsorted(self.s.start, byte, "right")) - 1
+
+    def begin(self, doc: int, word: int) -> int:
+        return int(self.chars[self.s.start[word]] - self.chars[self.s.offsets[doc]])
+
+    def mention(self, t: str, doc: int, word: int) -> tuple[int, int]:
+        """What stands at ``word``, without punctuation around it; groups of
+        digits behind one that holds a digit belong to it."""
+        a = self.begin(doc, word)
+        b = int(self.chars[self.s.end[word]] - self.chars[self.s.offsets[doc]])
+        if any("0" <= c <= "9" for c in t[a:b]):
+            while (m := _GROUP.match(t, b)) and "\n" not in t[b : m.start(1)]:
+                b = m.end(1)
+        own = t[a:b]
+        return a + len(own) - len(own.lstrip(_TRIM)), b - (len(own) - len(own.rstrip(_TRIM)))
+
+
+def _flagged(s: Slice) -> np.ndarray:
+    """Which texts hold a digit or @: others have no seed."""
+    upto = np.concatenate([[0], np.cumsum((s.data == 0x40) | (s.data - np.uint8(0x30) < 10))])[s.offsets]
+    return np.diff(upto) > 0
+
+
+_EDGES = "pattern long, k int, instance long, first long, kind string, plain boolean"
+_EDGE_TYPES = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.string(), pa.bool_()]
+
+
+def _edges(docs: DataFrame, text: str, wanted: Callable[[_Lines], np.ndarray] | None) -> DataFrame:
+    """Distinct (pattern, k, instance, first, kind, plain) of mentions.
+
+    Without ``wanted``: of seeds.  Else of the words it marks: (words, 2), by
+    pattern.  first: hash of the mention's first word."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         for batch in batches:
-            found: Counter = Counter()
-            for x, _, some in _flagged(batch.column(0)):
-                for i in np.flatnonzero(some).tolist():
+            found: set[tuple] = set()
+            for x, _, s in slices(batch.column(0), SPACED_LOWER):
+                if wanted is None:
+                    texts = np.flatnonzero(_flagged(s))
+                    lines, want = None, None
+                else:
+                    lines = _Lines(s)
+                    want = wanted(lines)
+                    texts = np.unique(np.searchsorted(s.first, np.flatnonzero(want.any(1)), "right") - 1)
+                for i in texts.tolist():
                     t = batch.column(0)[x + i].as_py()
-                    base = base_spans(t)
-                    for kind, a, b in [*base, *((None, a, b) for a, b in _others(t, base))]:
-                        for pattern in _contexts(t, a):
-                            found[pattern, t[a:b][:256], kind] += 1
+                    seeds = seed_spans(t)
+                    if wanted is None and seeds and lines is None:
+                        lines = _Lines(s)
+                    taken = {lines.word_at(i, a): (kind, a, b) for kind, a, b in seeds}
+                    words = taken if wanted is None else (np.flatnonzero(want[s.first[i] : s.first[i + 1]].any(1)) + s.first[i]).tolist()
+                    for w in words:
+                        kind, a, b = taken.get(w) or (None, *lines.mention(t, i, w))
+                        if b > a:
+                            for k in (0, 1):
+                                if lines.patterns[w, k] and (wanted is None or want[w, k]):
+                                    found.add((int(lines.patterns[w, k]), k, _id(t[a:b]), int(lines.h[w].view(np.int64)), kind, _plain(t[a:b])))
             if found:
-                p, i, k = zip(*found, strict=True)
-                yield pa.RecordBatch.from_arrays([pa.array(p), pa.array(i), pa.array(k, pa.string()), pa.array(found.values(), pa.int64())], ["pattern", "instance", "kind", "n"])
+                yield pa.RecordBatch.from_arrays([pa.array(c, y) for c, y in zip(zip(*found, strict=True), _EDGE_TYPES, strict=True)], [c.split()[0] for c in _EDGES.split(", ")])
+
+    return docs.select(text).mapInArrow(run, _EDGES).groupBy("pattern", "instance").agg(F.max("k").alias("k"), F.min("first").alias("first"), F.min("kind").alias("kind"), F.min("plain").alias("plain"))
 
-    raw = docs.select(text).mapInArrow(run, "pattern string, instance string, kind string, n long")
-    return raw.groupBy("pattern", F.xxhash64("instance").alias("instance"), "kind").agg(F.sum("n").alias("n"))
 
+def _filter(df: DataFrame, column: str) -> np.ndarray:
+    """A filter of 2**FILTER_BITS bits (8 MiB) over a column of longs, however
+    many: its words are made in Spark, at most 2**20 come to the driver."""
+    spread = F.xxhash64(column)
+    word = spread.bitwiseAND(F.lit((1 << (FILTER_BITS - 6)) - 1)).alias("word")
+    bit = F.expr("shiftleft(1L, cast(shiftrightunsigned(spread, 58) as int))")
+    rows = df.select(spread.alias("spread"), word).groupBy("word").agg(F.bit_or(bit).alias("bits"))
+    out = np.zeros(1 << (FILTER_BITS - 6), np.int64)
+    for r in rows.toLocalIterator():
+        out[r["word"]] = r["bits"]
+    return out
 
-def score_patterns(graph: DataFrame, rounds: int = 3, confidence: float = 0.7, support: int = 3) -> DataFrame:
-    """pattern, kind, confidence of the trusted patterns.
 
-    A pattern needs ``support`` distinct seeds, at any size of the graph.
-    """
-    seeds = graph.where(F.col("kind").isNotNull()).select("pattern", "instance", F.col("kind").alias("k"), F.lit(1.0).alias("s"), "n")
-    supported = seeds.groupBy("pattern", "k").agg(F.countDistinct("instance").alias("seeds")).where(F.col("seeds") >= support)
-    total = graph.groupBy("pattern").agg(F.sum("n").alias("total")).join(supported.select("pattern").distinct(), "pattern", "left_semi")
-    others = graph.where(F.col("kind").isNull()).select("pattern", "instance", "n", F.explode(F.array(*map(F.lit, KINDS))).alias("k"))
-    others = others.join(supported.select("pattern", "k"), ["pattern", "k"], "left_semi")
-    known = seeds.groupBy("pattern", "k").agg(F.sum("n").cast("double").alias("sure"))
-    trust = supported.join(known, ["pattern", "k"]).join(total, "pattern").withColumn("c", F.col("sure") / F.col("total"))
+def _xxhash64(x: np.ndarray) -> np.ndarray:
+    """Spark's xxhash64 of longs, seed 42."""
+    p1, p2, p3, p4, p5 = (U64(p) for p in (0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5))
+    turn = lambda v, r: v << U64(r) | v >> U64(64 - r)
+    with np.errstate(over="ignore"):
+        h = (U64(42) + p5 + U64(8)) ^ (turn(x.view(U64) * p2, 31) * p1)
+        h = turn(h, 27) * p1 + p4
+        h = (h ^ h >> U64(33)) * p2
+        h = (h ^ h >> U64(29)) * p3
+        return h ^ h >> U64(32)
+
+
+def _passes(bits: np.ndarray, x: np.ndarray) -> np.ndarray:
+    h = _xxhash64(np.ascontiguousarray(x).ravel())
+    word = bits[(h & U64(len(bits) - 1)).astype(np.int64)].view(U64)
+    return ((word >> (h >> U64(58)) & U64(1)) == 1).reshape(x.shape)
+
+
+def _candidates(known: DataFrame, support: int) -> DataFrame:
+    """pattern, kind with enough distinct known instances."""
+    return known.groupBy("pattern", "kind").agg(F.count_distinct("instance").alias("n")).where(F.col("n") >= support).select("pattern", "kind")
+
+
+def trusted_patterns(docs: DataFrame, text: str = "text", rounds: int = 3, confidence: float = 0.7, support: int = 3) -> DataFrame:
+    """pattern (a hash), k (0: one word, 1: two), kind, confidence."""
+    spark = docs.sparkSession
+    seeds = written(_edges(docs, text, None), "seeds")
+    known = seeds.select("instance", "kind", F.lit(1.0).alias("score")).groupBy("instance").agg(F.min(F.struct("kind", "score")).alias("x")).select("instance", "x.*")
+    contexts = seeds.select("pattern", "instance", "kind")
+    trusted = None
     for _ in range(rounds):
-        scored = others.join(trust.select("pattern", "k", "c"), ["pattern", "k"]).groupBy("instance", "k").agg((1 - F.exp(F.sum(F.ln(F.greatest(1 - F.col("c"), F.lit(1e-9)))))).alias("s"))
-        more = others.join(scored, ["instance", "k"]).groupBy("pattern", "k").agg(F.sum(F.col("s") * F.col("n")).alias("soft"))
-        trust = written(trust.drop("soft", "c").join(more, ["pattern", "k"], "left").withColumn("c", (F.col("sure") + F.coalesce("soft", F.lit(0.0))) / F.col("total")), "patterns")
-    # soft scores feed on c itself: a pattern that seeds alone make plausible is asked for
-    return trust.where((F.col("c") >= confidence) & (F.col("sure") / F.col("total") >= confidence / 2)).select("pattern", F.col("k").alias("kind"), F.col("c").alias("confidence"))
+        wanted = _candidates(contexts, support)
+        wanted = written(wanted if trusted is None else wanted.join(trusted, ["pattern", "kind"], "left_anti"), "candidates")
+        if not wanted.limit(1).count():
+            break
+        sent = spark.sparkContext.broadcast(_filter(wanted, "pattern"))
+        graph = _edges(docs, text, lambda lines, sent=sent: (lines.patterns != 0) & _passes(sent.value, lines.patterns)).join(wanted.select("pattern").distinct(), "pattern", "left_semi")
+        graph = written(graph, "graph")
+        total = graph.join(known.select("instance", F.col("kind").alias("own")), "instance", "left")
+        total = total.groupBy("pattern").agg(F.max("k").alias("k"), F.sum(F.when(F.col("own").isNull() & ~F.col("plain"), 0.5).otherwise(1.0)).alias("total"))
+        # no instance owes its score to a pattern that is still a candidate
+        worth = graph.join(known.withColumnRenamed("kind", "own"), "instance")
+        worth = worth.groupBy("pattern", F.col("own").alias("kind")).agg(F.sum("score").alias("worth"))
+        scored = wanted.join(worth, ["pattern", "kind"]).join(total, "pattern").withColumn("confidence", F.col("worth") / F.greatest("total", "worth"))
+        won = written(scored.where(F.col("confidence") >= confidence).select("pattern", "k", "kind", "confidence"), "trusted")
+        trusted = won if trusted is None else trusted.unionByName(won)
+
+        unknown = graph.where(~F.col("plain")).select("pattern", "instance", "first").join(known.select("instance"), "instance", "left_anti")
+        doubt = F.sum(F.ln(1 - F.least("confidence", F.lit(0.999))))
+        new = unknown.join(won, "pattern").groupBy("instance", "kind").agg((1 - F.exp(doubt)).alias("score"), F.min("first").alias("first"))
+        new = new.where(F.col("score") >= confidence).groupBy("instance").agg(F.max_by(F.struct("kind", "score", "first"), F.struct("score", "kind")).alias("x"))
+        new = written(new.select("instance", "x.*"), "known")
+        if not new.limit(1).count():
+            break
+        sent = spark.sparkContext.broadcast(_filter(new, "first"))
+        met = _edges(docs, text, lambda lines, sent=sent: (lines.patterns != 0) & _passes(sent.value, lines.h.view(np.int64))[:, None])
+        met = met.select("pattern", "instance").join(new.select("instance", "kind"), "instance").select("pattern", "instance", "kind")
+        known = written(known.unionByName(new.select("instance", "kind", "score")), "known")
+        contexts = written(contexts.unionByName(met), "contexts")
+    return spark.createDataFrame([], "pattern long, k int, kind string, confidence double") if trusted is None else trusted
 
 
 def _marked(plain: DataFrame, text: str, best: DataFrame, name: str) -> DataFrame:
-    """``plain`` with ``name``: spans (start, end, kind) that trusted patterns
-    mark, by joins; for more patterns than a task can hold.  Equal texts are
-    looked up once, by their hash."""
+    """``plain`` with ``name``: spans (start, end, kind) behind trusted
+    patterns, by joins; for more patterns than a task can hold.  Equal texts
+    are looked up once, by their hash."""
     by = name + "_by"
+    sent = plain.sparkSession.sparkContext.broadcast(_filter(best, "pattern"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         for batch in batches:
-            for x, _, some in _flagged(batch.column(0)):
+            for x, _, s in slices(batch.column(0), SPACED_LOWER):
+                lines = _Lines(s)
+                want = (lines.patterns != 0) & _passes(sent.value, lines.patterns)
                 found = []
-                for i in np.flatnonzero(some).tolist():
-                    t = batch.column(0)[x + i].as_py()
-                    h = batch.column(1)[x + i].as_py()
-                    found += [(h, a, b, k, p) for a, b in _others(t, base_spans(t)) for k, p in enumerate(_contexts(t, a))]
+                for w, k in zip(*(c.tolist() for c in np.nonzero(want)), strict=True):
+                    i = int(np.searchsorted(s.first, w, "right")) - 1
+                    a, b = lines.mention(batch.column(0)[x + i].as_py(), i, w)
+                    found.append((batch.column(1)[x + i].as_py(), a, b, k, int(lines.patterns[w, k])))
                 if found:
-                    types = [pa.string(), pa.int32(), pa.int32(), pa.int32(), pa.string()]
+                    types = [pa.string(), pa.int32(), pa.int32(), pa.int32(), pa.int64()]
                     yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*found, strict=True), types, strict=True)], [by, "start", "end", "k", "pattern"])
 
     keyed = plain.withColumn(by, F.sha2(text, 256))
-    sought = keyed.select(text, by).mapInArrow(run, f"`{by}` string, start int, end int, k int, pattern string")
+    sought = keyed.select(text, by).mapInArrow(run, f"`{by}` string, start int, end int, k int, pattern long")
     hits = sought.join(best, "pattern").groupBy(by, "start", "end").agg(F.max_by("kind", "k").alias("kind"))
     spans = hits.groupBy(by).agg(F.collect_list(F.struct("start", "end", "kind")).alias(name))
     return keyed.join(spans, by, "left").select(*(F.col(f"`{c}`") for c in plain.columns), name)
@@ -183,43 +320,58 @@ def _marked(plain: DataFrame, text: str, best: DataFrame, name: str) -> DataFram
 
 def find_pii(docs: DataFrame, text: str = "text", rounds: int = 3, confidence: float = 0.7, support: int = 3) -> DataFrame:
     """``docs`` with ``pii``: spans (kind, start, end, base) in code points,
-    end exclusive, sorted by kind as in KINDS, start and end.
+    end exclusive, sorted by kind as in LEARNT, start and end.
 
     Base spans are the leftmost matches of each kind; base is false for what
-    patterns added, which never touches a base span.  A null text is empty.  Equal
+    the method added (secrets that are seeds, and mentions behind trusted
+    patterns), which never touches a base span.  A null text is empty.  Equal
     texts get equal spans, repeated rows are judged each, an empty table gives
     no rows; a column called ``pii`` is replaced, all others are kept.
     """
     bounded_batches(docs.sparkSession)
-    graph = written(_graph(docs, text), "graph")
-    patterns = score_patterns(graph, rounds, confidence, support)
-    order = F.create_map(*(F.lit(x) for i, k in enumerate(KINDS) for x in (k, -i)))
+    patterns = trusted_patterns(docs, text, rounds, confidence, support)
+    order = F.create_map(*(F.lit(x) for i, k in enumerate(LEARNT) for x in (k, -i)))
     best = patterns.groupBy("pattern").agg(F.max_by("kind", F.struct("confidence", order[F.col("kind")])).alias("kind"))
     best = written(best, "best")
     plain = docs.drop("pii")
     few = best.limit(BLOCK + 1).count() <= BLOCK
     name = f"marked_{uuid.uuid4().hex}"  # no column of docs
     given = plain if few else _marked(plain, text, best, name)
-    sent = docs.sparkSession.sparkContext.broadcast({r["pattern"]: r["kind"] for r in best.collect()} if few else {})
+    told = sorted((r["pattern"], LEARNT.index(r["kind"])) for r in best.collect()) if few else []
+    sent = docs.sparkSession.sparkContext.broadcast((np.array([p for p, _ in told], np.int64), np.array([k for _, k in told], np.int64)))
     at, last = plain.columns.index(text), len(plain.columns)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        trusted = sent.value
+        release()
+        trusted, kinds = sent.value
         for batch in batches:
             more = None if few else batch.column(last)
-            for x, y, some in _flagged(batch.column(at)):
+            for x, y, s in slices(batch.column(at), SPACED_LOWER):
+                some = _flagged(s)
+                marks: dict[int, dict[int, int]] = {}
+                lines = None
+                if len(trusted):
+                    lines = _Lines(s)
+                    for k in (0, 1):  # the pattern of two words goes first
+                        place = np.minimum(np.searchsorted(trusted, lines.patterns[:, k]), len(trusted) - 1)
+                        for w in np.flatnonzero(trusted[place] == lines.patterns[:, k]).tolist():
+                            marks.setdefault(int(np.searchsorted(s.first, w, "right")) - 1, {})[w] = int(kinds[place[w]])
                 out: list[list[dict]] = [[] for _ in range(y - x)]
-                for i in np.flatnonzero(some).tolist():
+                for i in range(y - x):
+                    given = more[x + i].as_py() if more is not None else None
+                    if not (some[i] or i in marks or given):
+                        continue
                     t = batch.column(at)[x + i].as_py()
-                    base = base_spans(t)
-                    spans = [(KINDS.index(k), a, b, True) for k, a, b in base]
-                    if more is not None:
-                        spans += [(KINDS.index(s["kind"]), s["start"], s["end"], False) for s in more[x + i].as_py() or ()]
-                    for a, b in _others(t, base) if trusted else ():
-                        kind = next((trusted[p] for p in reversed(_contexts(t, a)) if p in trusted), None)
-                        if kind:
-                            spans.append((KINDS.index(kind), a, b, False))
-                    out[i] = [{"kind": KINDS[k], "start": a, "end": b, "base": own} for k, a, b, own in sorted(spans)]
+                    seeds = seed_spans(t) if some[i] else []
+                    spans = [(LEARNT.index(k), a, b, k in KINDS) for k, a, b in seeds]
+                    taken = sorted((a, b) for _, a, b in seeds)
+                    found = [(LEARNT.index(z["kind"]), z["start"], z["end"]) for z in given or ()]
+                    found += [(kind, *lines.mention(t, i, w)) for w, kind in sorted(marks.get(i, {}).items())]
+                    for kind, a, b in sorted(found, key=lambda z: (z[1], z[2])):
+                        if b > a and not _plain(t[a:b]) and not any(c < b and a < d for c, d in taken):
+                            taken.append((a, b))
+                            spans.append((kind, a, b, False))
+                    out[i] = [{"kind": LEARNT[k], "start": a, "end": b, "base": own} for k, a, b, own in sorted(spans)]
                 rows = batch.slice(x, y - x)
                 kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32()), ("base", pa.bool_())]))
                 yield pa.RecordBatch.from_arrays([*rows.columns[:last], pa.array(out, kind)], [*rows.schema.names[:last], "pii"])

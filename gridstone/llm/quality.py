@@ -186,7 +186,8 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", key: str =
             for x, y, s in slices(batch.column(1), SPACED):
                 yield pa.RecordBatch.from_arrays([batch.column(0)[x:y].cast(pa.string()), batch.column(2)[x:y], pa.array(list(statistics(s)), pa.list_(pa.float64()))], ["k", "y", "x"])
 
-    got = sorted((r["k"], r["y"], tuple(r["x"])) for r in rows.mapInArrow(run, "k string, y double, x array<double>").collect())
+    one = rows.mapInArrow(run, "k string, y double, x array<double>").groupBy("k").agg(F.min(F.struct("y", "x")).alias("r"))  # rows repeated under one key teach once
+    got = sorted((r["k"], r["r"]["y"], tuple(r["r"]["x"])) for r in one.collect())
     x = np.array([r[2] for r in got]).reshape(len(got), len(FEATURES))
     return grow(x, np.array([r[1] for r in got]))
 

@@ -31,6 +31,8 @@ def _table(word: list[tuple[int, int]], lower: bool) -> tuple[np.ndarray, np.nda
 
 #: [^\x20\x09-\x0D]+ unchanged
 SPACED = _table([(0, 8), (14, 31), (33, 255)], False)
+#: the same runs, A-Z lower-cased
+SPACED_LOWER = _table([(0, 8), (14, 31), (33, 255)], True)
 #: A-Z lower-cased, then [^\x00-\x2F\x3A-\x60\x7B-\x7F]+
 PLAIN = _table([(0x30, 0x39), (0x41, 0x5A), (0x61, 0x7A), (0x80, 0xFF)], True)
 

@@ -215,12 +215,63 @@ def test_bootstrapping_finds_unseen_identifiers(spark):
     assert pii.find_pii(clean.drop("pii")).where("exists(pii, x -> x.base)").count() == 0
 
 
+def test_pii_newly_known_instances_induce_patterns(spark):
+    """Round one finds written-out addresses behind ``mail:``; the words before
+    them elsewhere become trusted in round two and find what no seed stood near."""
+    seeds = [f"mail: user{i}@example.org" for i in range(30)]
+    unseen = [f"mail: jo.{c}(at)example" for c in "abcdef"]
+    again = [f"reached under handle jo.{c}(at)example then" for c in "abcdef"]
+    new = ["reached under handle Zed.Q then", "reached under handle nobody then", "the word mail alone"]
+    docs = spark.createDataFrame(list(enumerate([*seeds, *unseen, *again, *new])), "doc_id long, text string").repartition(3)
+    marked = lambda **k: {r["doc_id"]: [r["text"][s["start"] : s["end"]] for s in r["pii"] if not s["base"]] for r in pii.find_pii(docs, **k).collect()}
+    got = marked()
+    assert [got[i] for i in range(30, 36)] == [[f"jo.{c}(at)example"] for c in "abcdef"]
+    assert [got[i] for i in range(36, 42)] == [[f"jo.{c}(at)example"] for c in "abcdef"]
+    assert got[42] == ["Zed.Q"] and got[43] == [] and got[44] == []
+    assert marked(rounds=1)[42] == []  # one round alone can't
+
+
+def test_pii_pattern_does_not_support_itself(spark):
+    """Half of what stands behind ``see`` is unknown: no number of rounds makes it trusted."""
+    texts = [f"see a{i}@b.org" for i in range(5)] + [f"see Item-{i}" for i in range(20)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for rounds in (1, 3, 6):
+        assert pii.trusted_patterns(docs, rounds=rounds).count() == 0
+
+
 def test_pii_support_holds_beside_unrelated_seeds(spark):
     """Three seeds make a pattern trusted however many other seeds there are."""
-    few = spark.createDataFrame([("badge: ", i, "email", 1) for i in range(3)] + [("two: ", i, "email", 1) for i in range(2)], "pattern string, instance long, kind string, n long")
-    many = spark.range(60_000).select(F.concat(F.lit("p"), "id").alias("pattern"), F.col("id").alias("instance"), F.lit("ip").alias("kind"), F.lit(1).cast("long").alias("n"))
-    assert {r["pattern"] for r in pii.score_patterns(few).collect()} == {"badge: "}
-    assert {r["pattern"] for r in pii.score_patterns(few.union(many)).collect()} == {"badge: "}
+    few = [f"badge: a{i}@b.org" for i in range(3)] + [f"two: c{i}@b.org" for i in range(2)]
+    many = [f"p{i}: 10.{i // 250}.{i % 250}.7" for i in range(20_000)]
+    for texts in (few, few + many):
+        got = pii.trusted_patterns(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+        assert [(r["k"], r["kind"], r["confidence"]) for r in got] == [(0, "email", 1.0)]
+
+
+def test_pii_filter_passes_all_members(spark):
+    ids = np.random.default_rng(1).integers(-(1 << 62), 1 << 62, 5000)
+    bits = pii._filter(spark.createDataFrame([(int(i),) for i in ids], "x long"), "x")
+    assert pii._passes(bits, ids).all() and pii._passes(bits, ids + 1).mean() < 0.01
+
+
+def test_pii_query_equals_brute_force(spark):
+    from gridstone.llm import queries
+
+    sf = "/root/testdata/sf0.001"
+    texts = {r["doc_id"]: r["text"] or "" for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    got = queries.op4_pii(spark, sf).collect()
+    assert sorted(r["doc_id"] for r in got) == sorted(texts)
+    for r in got:
+        base = brute_base(texts[r["doc_id"]])
+        named = [f"{k}:{a}:{b}" for kind in pii.KINDS for k, a, b in base if k == kind]
+        assert [r[f"n_{k}"] for k in pii.KINDS] == [sum(x[0] == k for x in base) for k in pii.KINDS]
+        assert r["base_sha256"] == sha(",".join(named))
+        spans = r["spans"].split(",") if r["spans"] else []
+        assert [s for s in spans if s.split(":")[0] in pii.KINDS and s in named] == named
+        for s in spans:
+            kind, a, b = s.split(":")
+            if s not in named:
+                assert not any(int(a) < y and x < int(b) for _, x, y in base)
 
 
 def test_pii_joined_patterns_equal_the_broadcast(spark, odd, empty, monkeypatch):
