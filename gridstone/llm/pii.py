@@ -5,11 +5,12 @@ Base spans (email, ip, card, phone) and long mixed runs of letters and digits
 are its lexical patterns.  Rounds over the corpus, scored in Spark:
 
 1. A pattern with ``support`` distinct known instances of a kind is a
-   candidate; all mentions behind candidates make up the pattern-instance graph.
+   candidate, unless plain words are more than 1 - ``confidence`` of its
+   mentions; all mentions behind candidates make up the pattern-instance graph.
 2. A candidate's confidence in a kind is the share of its distinct instances
    that are known for that kind, by their scores; what is trusted already gave
    them, so none is known by the candidate's own help.  Instances of another
-   kind and plain lower-case words count against it, other unknown ones half.
+   kind and plain words count against it, other unknown ones half.
    Confident candidates are trusted.
 3. An unknown instance scores 1 - prod(1 - confidence) over its trusted
    patterns.  Those that score enough are known from now on: the words before
@@ -108,7 +109,8 @@ def _id(t: str) -> int:
 
 
 def _plain(t: str) -> bool:
-    return t.isalpha() and t.islower()
+    """Letters, and characters beyond ASCII, alone."""
+    return all(c > "\x7f" or c.isalpha() for c in t)
 
 
 class _Lines:
@@ -147,6 +149,18 @@ class _Lines:
             self.patterns = np.where(np.stack([one, two], 1), np.stack([mix(h1 ^ U64(0xA5A5)), mix(h2 * U64(0x9E3779B97F4A7C15) + h1)], 1) | U64(1), U64(0)).view(np.int64)
         self.chars = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])
 
+    def plain(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(is a mention: holds a letter or digit; is a plain word) of words,
+        punctuation around them aside."""
+        data, a, b = self.s.data, self.s.start[words], self.s.end[words]
+        digit = data - np.uint8(0x30) < 10
+        letter = (data | np.uint8(0x20)) - np.uint8(0x61) < 26
+        letters = np.concatenate([[0], np.cumsum(letter | (data >= 0x80))])
+        digits = np.concatenate([[0], np.cumsum(digit)])
+        n, m = letters[b] - letters[a], digits[b] - digits[a]
+        first, last = np.searchsorted(letters, letters[a] + 1), np.searchsorted(letters, letters[b])
+        return n + m > 0, (m == 0) & (n > 0) & (last - first + 1 == n)
+
     def word_at(self, doc: int, char: int) -> int:
         """The word of text ``doc`` in which its code point ``char`` stands."""
         byte = np.searchsorted(self.chars, self.chars[self.s.offsets[doc]] + char, "right") - 1
@@ -173,12 +187,13 @@ def _flagged(s: Slice) -> np.ndarray:
     return np.diff(upto) > 0
 
 
-_EDGES = "pattern long, k int, instance long, first long, kind string, plain boolean"
-_EDGE_TYPES = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.string(), pa.bool_()]
+_EDGES = "pattern long, k int, instance long, first long, kind int, plain boolean"
+_EDGE_TYPES = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.bool_()]
+SOME_MENTIONS = 1 << 20
 
 
 def _edges(docs: DataFrame, text: str, wanted: Callable[[_Lines], np.ndarray] | None) -> DataFrame:
-    """Distinct (pattern, k, instance, first, kind, plain) of mentions.
+    """Distinct (pattern, k, instance, first, kind, plain) of mentions; kind: place in LEARNT.
 
     Without ``wanted``: of seeds.  Else of the words it marks: (words, 2), by
     pattern.  first: hash of the mention's first word."""
@@ -200,7 +215,7 @@ def _edges(docs: DataFrame, text: str, wanted: Callable[[_Lines], np.ndarray] |
                     seeds = seed_spans(t)
                     if wanted is None and seeds and lines is None:
                         lines = _Lines(s)
-                    taken = {lines.word_at(i, a): (kind, a, b) for kind, a, b in seeds}
+                    taken = {lines.word_at(i, a): (LEARNT.index(kind), a, b) for kind, a, b in seeds}
                     words = taken if wanted is None else (np.flatnonzero(want[s.first[i] : s.first[i + 1]].any(1)) + s.first[i]).tolist()
                     for w in words:
                         kind, a, b = taken.get(w) or (None, *lines.mention(t, i, w))
@@ -245,21 +260,60 @@ def _passes(bits: np.ndarray, x: np.ndarray) -> np.ndarray:
     return ((word >> (h >> U64(58)) & U64(1)) == 1).reshape(x.shape)
 
 
-def _candidates(known: DataFrame, support: int) -> DataFrame:
-    """pattern, kind with enough distinct known instances."""
-    return known.groupBy("pattern", "kind").agg(F.count_distinct("instance").alias("n")).where(F.col("n") >= support).select("pattern", "kind")
+def _counts(docs: DataFrame, text: str, bits) -> DataFrame:
+    """pattern, n, plain: mentions behind the patterns of a filter, and how
+    many of them are plain words; summed in each task before they go on."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
+        kept: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        have = 0
+
+        def merged() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+            patterns, n, plain = (np.concatenate(x) for x in zip(*kept, strict=True))
+            patterns, at = np.unique(patterns, return_inverse=True)
+            return patterns, np.bincount(at, n).astype(np.int64), np.bincount(at, plain).astype(np.int64)
+
+        for batch in batches:
+            for _, _, s in slices(batch.column(0), SPACED_LOWER):
+                lines = _Lines(s)
+                word, k = np.nonzero((lines.patterns != 0) & _passes(bits.value, lines.patterns))
+                mention, plain = lines.plain(word)
+                kept.append((lines.patterns[word, k][mention], np.ones(int(mention.sum()), np.int64), plain[mention].astype(np.int64)))
+                have += len(word)
+                if have > SOME_MENTIONS:
+                    kept = [merged()]
+                    have = len(kept[0][0])
+                    if have > SOME_MENTIONS // 2:
+                        yield pa.RecordBatch.from_arrays([pa.array(x) for x in kept[0]], ["pattern", "n", "plain"])
+                        kept, have = [], 0
+        if kept:
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in merged()], ["pattern", "n", "plain"])
+
+    return docs.select(text).mapInArrow(run, "pattern long, n long, plain long").groupBy("pattern").agg(F.sum("n").alias("n"), F.sum("plain").alias("plain"))
+
+
+def _candidates(docs: DataFrame, text: str, known: DataFrame, trusted: DataFrame | None, confidence: float, support: int) -> DataFrame:
+    """pattern, kind with enough distinct known instances, not trusted yet,
+    that stand before plain words seldom enough."""
+    some = known.groupBy("pattern", "kind").agg(F.count_distinct("instance").alias("n")).where(F.col("n") >= support).select("pattern", "kind")
+    some = written(some if trusted is None else some.join(trusted, ["pattern", "kind"], "left_anti"), "supported")
+    if not some.limit(1).count():
+        return some
+    sent = docs.sparkSession.sparkContext.broadcast(_filter(some, "pattern"))
+    seldom = _counts(docs, text, sent).where(F.col("plain") <= F.col("n") * (1 - confidence))
+    return written(some.join(seldom.select("pattern"), "pattern", "left_semi"), "candidates")
 
 
 def trusted_patterns(docs: DataFrame, text: str = "text", rounds: int = 3, confidence: float = 0.7, support: int = 3) -> DataFrame:
-    """pattern (a hash), k (0: one word, 1: two), kind, confidence."""
+    """pattern (a hash), k (0: one word, 1: two), kind (place in LEARNT), confidence."""
     spark = docs.sparkSession
     seeds = written(_edges(docs, text, None), "seeds")
     known = seeds.select("instance", "kind", F.lit(1.0).alias("score")).groupBy("instance").agg(F.min(F.struct("kind", "score")).alias("x")).select("instance", "x.*")
     contexts = seeds.select("pattern", "instance", "kind")
     trusted = None
     for _ in range(rounds):
-        wanted = _candidates(contexts, support)
-        wanted = written(wanted if trusted is None else wanted.join(trusted, ["pattern", "kind"], "left_anti"), "candidates")
+        wanted = _candidates(docs, text, contexts, trusted, confidence, support)
         if not wanted.limit(1).count():
             break
         sent = spark.sparkContext.broadcast(_filter(wanted, "pattern"))
@@ -286,7 +340,7 @@ def trusted_patterns(docs: DataFrame, text: str = "text", rounds: int = 3, confi
         met = met.select("pattern", "instance").join(new.select("instance", "kind"), "instance").select("pattern", "instance", "kind")
         known = written(known.unionByName(new.select("instance", "kind", "score")), "known")
         contexts = written(contexts.unionByName(met), "contexts")
-    return spark.createDataFrame([], "pattern long, k int, kind string, confidence double") if trusted is None else trusted
+    return spark.createDataFrame([], "pattern long, k int, kind int, confidence double") if trusted is None else trusted
 
 
 def _marked(plain: DataFrame, text: str, best: DataFrame, name: str) -> DataFrame:
@@ -330,14 +384,13 @@ def find_pii(docs: DataFrame, text: str = "text", rounds: int = 3, confidence: f
     """
     bounded_batches(docs.sparkSession)
     patterns = trusted_patterns(docs, text, rounds, confidence, support)
-    order = F.create_map(*(F.lit(x) for i, k in enumerate(LEARNT) for x in (k, -i)))
-    best = patterns.groupBy("pattern").agg(F.max_by("kind", F.struct("confidence", order[F.col("kind")])).alias("kind"))
+    best = patterns.groupBy("pattern").agg(F.max_by("kind", F.struct("confidence", -F.col("kind"))).alias("kind"))
     best = written(best, "best")
     plain = docs.drop("pii")
     few = best.limit(BLOCK + 1).count() <= BLOCK
     name = f"marked_{uuid.uuid4().hex}"  # no column of docs
     given = plain if few else _marked(plain, text, best, name)
-    told = sorted((r["pattern"], LEARNT.index(r["kind"])) for r in best.collect()) if few else []
+    told = sorted((r["pattern"], r["kind"]) for r in best.collect()) if few else []
     sent = docs.sparkSession.sparkContext.broadcast((np.array([p for p, _ in told], np.int64), np.array([k for _, k in told], np.int64)))
     at, last = plain.columns.index(text), len(plain.columns)
 
@@ -358,14 +411,14 @@ def find_pii(docs: DataFrame, text: str = "text", rounds: int = 3, confidence: f
                             marks.setdefault(int(np.searchsorted(s.first, w, "right")) - 1, {})[w] = int(kinds[place[w]])
                 out: list[list[dict]] = [[] for _ in range(y - x)]
                 for i in range(y - x):
-                    given = more[x + i].as_py() if more is not None else None
-                    if not (some[i] or i in marks or given):
+                    marked = more[x + i].as_py() if more is not None else None
+                    if not (some[i] or i in marks or marked):
                         continue
                     t = batch.column(at)[x + i].as_py()
                     seeds = seed_spans(t) if some[i] else []
                     spans = [(LEARNT.index(k), a, b, k in KINDS) for k, a, b in seeds]
                     taken = sorted((a, b) for _, a, b in seeds)
-                    found = [(LEARNT.index(z["kind"]), z["start"], z["end"]) for z in given or ()]
+                    found = [(z["kind"], z["start"], z["end"]) for z in marked or ()]
                     found += [(kind, *lines.mention(t, i, w)) for w, kind in sorted(marks.get(i, {}).items())]
                     for kind, a, b in sorted(found, key=lambda z: (z[1], z[2])):
                         if b > a and not _plain(t[a:b]) and not any(c < b and a < d for c, d in taken):

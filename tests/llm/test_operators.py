@@ -245,7 +245,19 @@ def test_pii_support_holds_beside_unrelated_seeds(spark):
     many = [f"p{i}: 10.{i // 250}.{i % 250}.7" for i in range(20_000)]
     for texts in (few, few + many):
         got = pii.trusted_patterns(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
-        assert [(r["k"], r["kind"], r["confidence"]) for r in got] == [(0, "email", 1.0)]
+        assert [(r["k"], r["kind"], r["confidence"]) for r in got] == [(0, 0, 1.0)]
+
+
+def test_pii_plain_words_told_from_bytes():
+    rng = random.Random(31)
+    texts = ["".join(rng.choice(["a", "Z", "é", "7", ".", "-", "(", '"', "=", " ", "\n"]) for _ in range(rng.randint(0, 25))) for _ in range(300)]
+    for _, _, s in textcore.slices(pa.array(texts), textcore.SPACED_LOWER):
+        lines = pii._Lines(s)
+        mention, plain = lines.plain(np.arange(len(s.start)))
+        for w in range(len(s.start)):
+            own = bytes(s.data[s.start[w] : s.end[w]]).decode()
+            bare = re.sub(r"^[^\w]+|[^\w]+$", "", own)
+            assert mention[w] == bool(bare) and plain[w] == (bool(bare) and pii._plain(bare)), own
 
 
 def test_pii_filter_passes_all_members(spark):
