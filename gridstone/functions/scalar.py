@@ -96,10 +96,16 @@ def channel_name(name: Column) -> Column:
     return F.regexp_replace(F.when(upper.startswith("CAM_"), upper).otherwise(F.concat(F.lit("CAM_"), upper)), "_+", "_")
 
 
+#: Names of devices that some systems keep for themselves, fixed values.
+RESERVED = "CON|PRN|AUX|NUL|COM[1-9]|LPT[1-9]"
+
+
 def safe_segment(name: Column) -> Column:
-    """Is this usable as one path segment: no separators, no control
-    characters, neither . nor .., no blank or dot at either end?"""
-    return F.coalesce(name.rlike(r"^[^/\\\x00-\x1f\x7f:*?\"<>|]{1,255}$") & ~name.rlike(r"^[\s.]|[\s.]$"), F.lit(False))
+    """Is this usable as one path segment anywhere: no separators, wildcards or
+    control and unassigned characters, no blank at an end, no dot at the last,
+    no device name before the first dot?"""
+    clean = name.rlike(r"^[^/\\<>:\"|?*\p{C}]+$") & ~name.rlike(r"(?U)^\s|\s$") & ~name.endswith(".")
+    return F.coalesce(clean & ~name.rlike(rf"^(?i:{RESERVED})(\.|$)"), F.lit(False))
 
 
 def safe_relative_path(path: Column, suffix: str | None = None) -> Column:
@@ -108,6 +114,26 @@ def safe_relative_path(path: Column, suffix: str | None = None) -> Column:
     return F.coalesce(ok & path.endswith(suffix) if suffix else ok, F.lit(False))
 
 
+#: Kinds of files a repository path may name, fixed values.
+FILE_SUFFIXES = ("mp4", "parquet", "json", "jsonl", "tar")
+
+
+def _below_data(path: Column) -> Column:
+    """data/..., normal, with no empty or dotted segment and nothing that an address would decode."""
+    return path.startswith("data/") & ~path.rlike(r"[\\%?#]") & F.forall(F.split(path, "/"), lambda x: ~x.isin("", ".", ".."))
+
+
+def repo_file_path(path: Column) -> Column:
+    """A file of a known kind below data/, all of whose segments are safe."""
+    kind = path.rlike(rf"[^/]\.({'|'.join(FILE_SUFFIXES)})$")
+    return F.coalesce(_below_data(path) & kind & F.forall(F.split(path, "/"), safe_segment), F.lit(False))
+
+
+def repo_recording_path(path: Column) -> Column:
+    """An .mcap recording below data/."""
+    return F.coalesce(_below_data(path) & path.endswith(".mcap"), F.lit(False))
+
+
 def numeric_leaf(text: Column) -> Column:
     """A canonical 64-bit integer string as a double, else null."""
     return F.when(text.rlike(r"^(0|-?[1-9][0-9]{0,19})$"), F.try_to_number(text, F.lit("S99999999999999999999")).cast("double"))
@@ -117,3 +143,16 @@ def mapped_lerp(a: Column, b: Column, t: Column) -> Column:
     """Interpolate two map<string,double> by their common keys."""
     both = F.map_zip_with(a, b, lambda k, x, y: x + (y - x) * t)
     return F.map_filter(both, lambda k, v: v.isNotNull())
+
+
+def mapped_blend(a: Column, b: Column, t: Column) -> Column:
+    """Blend two map<string,string> by their common keys: numbers are
+    interpolated, equal values kept, others taken from the nearer end (the
+    first one below 0.5)."""
+    def one(k: Column, x: Column, y: Column) -> Column:
+        p, q = x.try_cast("double"), y.try_cast("double")
+        return F.when(p.isNotNull() & q.isNotNull(), (p + (q - p) * t).cast("string")).when(x == y, x).otherwise(F.when(t < 0.5, x).otherwise(y))
+
+    shared = F.array_intersect(F.map_keys(a), F.map_keys(b))
+    keep = lambda m: F.map_filter(m, lambda k, v: F.array_contains(shared, k))
+    return F.map_zip_with(keep(a), keep(b), one)

@@ -2,19 +2,24 @@
 
 from __future__ import annotations
 
+import json
 import re
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 FINDING = "family string, code string, subject string"
-#: Key names and values that must not be published, fixed patterns.
-ISO_DATE = r"(^|[^0-9])(19|20)[0-9]{2}-(0[1-9]|1[0-2])-(0[1-9]|[12][0-9]|3[01])([^0-9]|$)"
-SECRET = r"(?i)(password|passwd|secret|api[_-]?key|access[_-]?token|private[_-]?key)\s*[=:]\s*\S{6,}"
-ABSOLUTE_KEYS = ("time_of_day", "date", "datetime", "utc", "unix", "epoch", "absolute")
+#: Words of key names, and a date in a value, that must not be published: fixed values.
+FORBIDDEN_WORDS = ("date", "epoch", "timestamp", "latitude", "longitude", "lat", "lon", "coordinate", "geometry", "endpoint", "osm", "road_name", "gps_week", "gps_day", "day_of_year")
+ISO_DATE = r"(^|[^0-9])[0-9]{4}-[0-9]{2}-[0-9]{2}([^0-9]|$)"
+#: What a published text should not hold beside: an own check.
+SECRET = r"(?i)(password|passwd|secret|token|api[_-]?key|private[_-]?key)\s*[=:]\s*\S{6,}"
+#: Words that tell absolute time, a list of its own beside FORBIDDEN_WORDS.
+ABSOLUTE_KEYS = ("time_of_day", "date", "datetime", "utc", "unix", "epoch", "absolute", "timestamp", "year", "month", "day", "week", "gps_time", "gps_week", "gps_day", "day_of_year", "day_of_week", "time_of_week", "week_number")
 
 
 def _find(df: DataFrame, family: str, code: str, subject: Column) -> DataFrame:
@@ -80,19 +85,36 @@ def missing_channels(data: DataFrame, sample: Sequence[str], channel: str, requi
     return have.select(*sample, lacking.alias("missing")).where(F.size("missing") > 0)
 
 
+def name_words(name: str) -> str:
+    """Words of a field name joined by _, in lower case: a word ends at what is
+    no letter or digit and before a capital that follows a small one."""
+    words, last = [""], ""
+    for c in name:
+        if not c.isalnum():
+            words.append("")
+        elif c.isupper() and (last.islower() or last.isdigit()):
+            words.append(c.lower())
+        else:
+            words[-1] += c.lower()
+        last = c
+    return "_".join(w for w in words if w)
+
+
+def forbidden_name(name: str, words: Sequence[str] = ABSOLUTE_KEYS) -> bool:
+    own = f"_{name_words(name)}_"
+    return any(f"_{w}_" in own for w in words)
+
+
 def forbidden_columns(df: DataFrame, words: Sequence[str] = ABSOLUTE_KEYS) -> list[str]:
-    """Paths of fields, nested ones too, whose name tells absolute time.
-    camelCase counts as snake_case."""
+    """Paths of fields, nested ones too, whose name holds one of ``words``."""
     from pyspark.sql import types as T
 
     def walk(kind: T.DataType, path: str) -> list[str]:
         if isinstance(kind, T.StructType):
             out = []
             for f in kind.fields:
-                name = re.sub(r"(?<=[a-z0-9])(?=[A-Z])", "_", f.name).lower()
                 at = f"{path}.{f.name}" if path else f.name
-                own = [at] if any(re.search(rf"(^|_){w}(_|$)", name) for w in words) else []
-                out += own + walk(f.dataType, at)
+                out += ([at] if forbidden_name(f.name, words) else []) + walk(f.dataType, at)
             return out
         if isinstance(kind, T.ArrayType):
             return walk(kind.elementType, f"{path}[]")
@@ -101,12 +123,58 @@ def forbidden_columns(df: DataFrame, words: Sequence[str] = ABSOLUTE_KEYS) -> li
     return walk(df.schema, "")
 
 
-def forbidden_text(df: DataFrame, key: str, text: str) -> DataFrame:
+def forbidden_text(df: DataFrame, key: str, text: str, date: str = ISO_DATE, secret: str = SECRET) -> DataFrame:
     """key and what is forbidden in its text: iso_date, credential."""
-    found = F.array_compact(F.array(F.when(F.col(text).rlike(ISO_DATE), "iso_date"), F.when(F.col(text).rlike(SECRET), "credential")))
+    found = F.array_compact(F.array(F.when(F.col(text).rlike(date), "iso_date"), F.when(F.col(text).rlike(secret), "credential")))
     return df.select(key, F.explode(found).alias("finding"))
 
 
+def forbidden_json(df: DataFrame, key: Sequence[str], text: str, words: Sequence[str] = FORBIDDEN_WORDS) -> DataFrame:
+    """key, path and finding (forbidden_name, iso_date) of JSON texts: of keys
+    at any depth, and of strings, where JSON within a string is read as well.
+    What is no JSON is one string.  Arrow batches: SQL has no walk of
+    unbounded depth."""
+    columns = [*key, text]
+    kinds = ", ".join(f"`{c}` {df.schema[c].dataType.simpleString()}" for c in key)
+
+    def walk(value: object, at: str) -> Iterator[tuple[str, str]]:
+        todo = [(value, at)]
+        while todo:
+            value, at = todo.pop()
+            if isinstance(value, dict):
+                for k, v in value.items():
+                    if forbidden_name(k, words):
+                        yield f"{at}.{k}", "forbidden_name"
+                    todo.append((v, f"{at}.{k}"))
+            elif isinstance(value, list):
+                todo += [(v, f"{at}[{i}]") for i, v in enumerate(value)]
+            elif isinstance(value, str):
+                if re.search(ISO_DATE, value):
+                    yield at, "iso_date"
+                if value.strip()[:1] in ("{", "["):
+                    try:
+                        todo.append((json.loads(value), at))
+                    except ValueError:
+                        continue
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows, paths, what = [], [], []
+            for i, t in enumerate(batch.column(len(key)).to_pylist()):
+                try:
+                    value = json.loads(t) if t is not None else None
+                except ValueError:
+                    value = t
+                for path, finding in walk(value, "root"):
+                    rows.append(i)
+                    paths.append(path)
+                    what.append(finding)
+            own = batch.select(list(range(len(key)))).take(pa.array(rows, pa.int64()))
+            yield pa.RecordBatch.from_arrays([*own.columns, pa.array(paths, pa.string()), pa.array(what, pa.string())], [*key, "path", "finding"])
+
+    return df.select(*columns).mapInArrow(run, f"{kinds}, path string, finding string")
+
+
 def report(findings: Sequence[DataFrame]) -> DataFrame:
     """All findings, distinct; families and codes in order when collected."""
     return reduce(DataFrame.unionByName, findings).distinct()

@@ -6,6 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from .asof import bucketed_range_join, interval_overlap
 
@@ -23,8 +24,11 @@ def require_unique(df: DataFrame, key: Sequence[str], what: str) -> None:
 
 
 def join_labels(labels: DataFrame, frames: DataFrame, key: Sequence[str]) -> DataFrame:
-    """Labels of frames in selected scenes, by exact key; others are dropped."""
-    return labels.join(frames, list(key))
+    """Labels of frames in selected scenes, by exact key; others are dropped.
+    A key of two labels that meets a frame raises; the check rides on the join."""
+    seen = labels.withColumn("__n", F.count(F.lit(1)).over(Window.partitionBy(*key))).join(frames, list(key))
+    once = F.when(F.col("__n") == 1, F.lit(True)).otherwise(F.raise_error(F.lit("label key is not unique")))
+    return seen.where(once).drop("__n")
 
 
 def windows_to_scenes(windows: DataFrame, scenes: DataFrame, key: Sequence[str], first: str, end: str, scene_first: str, scene_last: str, ordinal: str, token: str, width: int) -> DataFrame:

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator, Sequence
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -15,23 +17,24 @@ from .asof import bracket, nearest
 from .runs import chain_links, first_appearance_union, gap_runs, merge_intervals
 
 
-def greedy_scenes(stamps: np.ndarray, longest: int, shortest: int, least: int, skip: int) -> tuple[np.ndarray, list[str | None]]:
-    """(scene number or -1, why unassigned) for one run's sorted timestamps.
+def greedy_scenes(stamps: Sequence[int], longest: int, shortest: int, least: int, skip: int) -> tuple[list[int | None], list[str | None]]:
+    """(scene number or None, why unassigned) for one run's sorted timestamps.
 
     A scene spans at most ``longest`` from its first sample.  It is kept if it
     spans ``shortest`` and has ``least`` samples, else its samples are
     candidate_too_short.  After a kept one, samples nearer than ``skip`` to
     its end are inter_scene_skip.
     """
-    scene = np.full(len(stamps), -1)
-    why: list[str | None] = [None] * len(stamps)
+    n = len(stamps)
+    scene: list[int | None] = [None] * n
+    why: list[str | None] = [None] * n
     at = number = 0
-    while at < len(stamps):
-        end = int(np.searchsorted(stamps, stamps[at] + longest, "right"))
+    while at < n:
+        end = bisect_right(stamps, stamps[at] + longest, at)
         if stamps[end - 1] - stamps[at] >= shortest and end - at >= least:
-            scene[at:end] = number
+            scene[at:end] = [number] * (end - at)
             number += 1
-            upto = max(end, int(np.searchsorted(stamps, stamps[end - 1] + skip, "left")))
+            upto = max(end, bisect_left(stamps, stamps[end - 1] + skip, end))
             why[end:upto] = ["inter_scene_skip"] * (upto - end)
             at = upto
         else:
@@ -40,34 +43,65 @@ def greedy_scenes(stamps: np.ndarray, longest: int, shortest: int, least: int, s
     return scene, why
 
 
+def _stretches(batches: Iterator[pa.RecordBatch], key: int) -> Iterator[pa.Table]:
+    """Tables of whole stretches of rows that agree in the first ``key``
+    columns (null equals null), from batches sorted by them."""
+    waiting: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        edge = starts(batch, key)
+        edge = edge[edge > 0]
+        if waiting and not _same(waiting[-1].slice(waiting[-1].num_rows - 1), batch.slice(0, 1), key):
+            yield pa.Table.from_batches(waiting)
+            waiting = []
+        if len(edge):
+            yield pa.Table.from_batches([*waiting, batch.slice(0, int(edge[-1]))])
+            waiting, batch = [], batch.slice(int(edge[-1]))
+        waiting.append(batch)
+    if waiting:
+        yield pa.Table.from_batches(waiting)
+
+
+def _same(a: pa.RecordBatch, b: pa.RecordBatch, key: int) -> bool:
+    return all(a.column(i)[0].as_py() == b.column(i)[0].as_py() for i in range(key))
+
+
+def starts(rows: pa.RecordBatch | pa.Table, key: int) -> np.ndarray:
+    """Where the first ``key`` columns change, from 0 on; null equals null."""
+    n = rows.num_rows
+    new = np.zeros(n, bool)
+    new[:1] = True
+    for i in range(key):
+        c = rows.column(i)
+        gone = np.asarray(pc.is_null(c))
+        other = np.asarray(pc.fill_null(pc.not_equal(c.slice(1), c.slice(0, n - 1)), False)) if n > 1 else np.zeros(0, bool)
+        new[1:] |= other | (gone[1:] != gone[:-1])
+    return np.flatnonzero(new)
+
+
 def partition_runs(df: DataFrame, run: Sequence[str], ts: str, longest: int, shortest: int, least: int, skip: int = 0) -> DataFrame:
     """``run`` and ``ts`` columns with scene (number within the run, null if
     none) and unassigned (why).  Each start depends on the scene before, so a
-    run is one sequential group; runs are many and short by their gaps."""
+    run is one sequential stretch of sorted rows; runs are many and short by
+    their gaps.  Rows with null in ``run`` are a run like others."""
     columns = [*run, ts]
     kinds = ", ".join(f"`{c}` {df.schema[c].dataType.simpleString()}" for c in columns)
 
-    def one(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(ts)
-        scene, why = greedy_scenes(pdf[ts].to_numpy(), longest, shortest, least, skip)
-        return pdf.assign(scene=pd.array(np.where(scene < 0, None, scene), dtype="Int64"), unassigned=why)
-
-    def whole(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        # rows arrive sorted by run and time; a run may go on in the next batch
-        rest: pd.DataFrame | None = None
-        for pdf in batches:
-            pdf = pdf if rest is None else pd.concat([rest, pdf], ignore_index=True)
-            if not len(pdf):
-                continue
-            last = (pdf[list(run)] == pdf[list(run)].iloc[-1]).all(axis=1)
-            rest, ready = pdf[last], pdf[~last]
-            if len(ready):
-                yield pd.concat([one(g) for _, g in ready.groupby(list(run), sort=False)])
-        if rest is not None and len(rest):
-            yield one(rest)
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in _stretches(batches, len(run)):
+            stamps = rows.column(len(run)).to_pylist()
+            edge = starts(rows, len(run)).tolist()
+            scene, why = [], []
+            for a, b in zip(edge, [*edge[1:], len(stamps)], strict=True):
+                s, w = greedy_scenes(stamps[a:b], longest, shortest, least, skip)
+                scene += s
+                why += w
+            out = rows.append_column("scene", pa.array(scene, pa.int64())).append_column("unassigned", pa.array(why, pa.string()))
+            yield from out.combine_chunks().to_batches()
 
     dealt = df.select(*columns).repartition(*run).sortWithinPartitions(*columns)
-    return dealt.mapInPandas(whole, f"{kinds}, scene long, unassigned string")
+    return dealt.mapInArrow(work, f"{kinds}, scene long, unassigned string")
 
 
 def match_annotations(annotations: DataFrame, samples: DataFrame, locator: str, ts: str, tolerance: int, values: Sequence[str] = ()) -> DataFrame:
@@ -116,27 +150,49 @@ def build_scenes(samples: DataFrame, key: str, ts: str, mode: str, max_gap: int,
     and partitions what is left, so no automatic scene spans a window.
     windows: key, run_id, window, first, last.
     """
+    if mode not in ("automatic", "annotation_only", "hybrid"):
+        raise ValueError(f"unknown mode {mode}")
     runs = gap_runs(samples, [key], ts, max_gap)
     if mode == "automatic" or windows is None:
         taken = runs.withColumn("window", F.lit(None).cast("long"))
     else:
         inside = window_samples(runs.select(key, "run_id", ts), windows.select(key, "run_id", "window", "first", "last"), [key, "run_id"], ts, max(1, longest)).select(key, "run_id", ts, "window")
         taken = runs.join(inside, [key, "run_id", ts], "left")
-    if mode == "annotation_only":
-        out = taken.withColumns({"scene": F.col("window"), "unassigned": F.when(F.col("window").isNull(), "annotation_mode_excluded"), "part": F.lit(0).cast("long")})
-    else:
-        line = Window.partitionBy(key, "run_id").orderBy(ts)
-        cut = F.coalesce(F.lag(F.col("window").isNotNull()).over(line), F.lit(False))
-        parts = taken.withColumn("__c", F.when(cut, 1).otherwise(0)).withColumn("part", F.sum("__c").over(line.rowsBetween(Window.unboundedPreceding, 0)).cast("long")).drop("__c")
-        auto = partition_runs(parts.where("window is null"), [key, "run_id", "part"], ts, longest, shortest, least, skip)
-        out = parts.join(auto.select(key, ts, "scene", "unassigned"), [key, ts], "left")
-        out = out.withColumn("scene", F.coalesce("window", "scene"))
-    kind = F.when(F.col("window").isNotNull(), "annotation").when(F.col("scene").isNotNull(), "automatic")
-    out = out.withColumn("kind", kind)
-    whole = Window.partitionBy(key, "run_id", "part", "kind", "scene")
-    group = Window.partitionBy(key, "run_id", "kind", "scene")
-    first = F.when(F.col("kind") == "annotation", F.min(ts).over(group)).when(F.col("kind") == "automatic", F.min(ts).over(whole))
-    return out.withColumn("scene_first", first).drop("part", "window", "scene")
+    rest = [c for c in taken.columns if c not in (key, "run_id", "window", ts)]
+    dealt = taken.select(key, "run_id", "window", ts, *rest).repartition(key, "run_id").sortWithinPartitions(key, "run_id", ts)
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # windows of a run are apart, so their samples, and those between, are stretches of sorted rows
+        for rows in _stretches(batches, 2):
+            stamps, edge, number = rows.column(3).to_pylist(), starts(rows, 3).tolist(), np.asarray(pc.is_valid(rows.column(2)))
+            kind, first, why = [], [], []
+            for a, b in zip(edge, [*edge[1:], len(stamps)], strict=True):
+                n = b - a
+                if number[a]:
+                    kind += ["annotation"] * n
+                    first += [stamps[a]] * n
+                    why += [None] * n
+                elif mode == "annotation_only":
+                    kind += [None] * n
+                    first += [None] * n
+                    why += ["annotation_mode_excluded"] * n
+                else:
+                    scene, w = greedy_scenes(stamps[a:b], longest, shortest, least, skip)
+                    begin: dict[int, int] = {}
+                    for s, x in zip(scene, stamps[a:b], strict=True):
+                        if s is not None:
+                            begin.setdefault(s, x)
+                    kind += [None if s is None else "automatic" for s in scene]
+                    first += [None if s is None else begin[s] for s in scene]
+                    why += w
+            out = rows.drop_columns(["window"])
+            for name, values, form in (("unassigned", why, pa.string()), ("kind", kind, pa.string()), ("scene_first", first, pa.int64())):
+                out = out.append_column(name, pa.array(values, form))
+            yield from out.combine_chunks().to_batches()
+
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in dealt.drop("window").schema)
+    out = dealt.mapInArrow(work, f"{kinds}, unassigned string, kind string, scene_first long")
+    return out.select(*samples.columns, "run_id", "unassigned", "kind", "scene_first")
 
 
 def name_scenes(scenes: DataFrame, key: str, order: Sequence[str], digest: Column, namespace_hex: str) -> DataFrame:

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from decimal import ROUND_FLOOR, Decimal
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -16,9 +18,40 @@ class QuotaError(ValueError):
     """A strict quota could not be filled."""
 
 
-def top_ranked(df: DataFrame, rank: str, ties: Sequence[str], n: int) -> DataFrame:
-    """The first ``n`` rows by rank: a distributed top-k, not a one-task window."""
-    return df.orderBy(rank, *ties).limit(n)
+def cutoffs(df: DataFrame, group: Column, rank: str, ties: Sequence[str], quota: Mapping[object, int]) -> dict[object, tuple | None]:
+    """The last (rank, *ties) within each group's quota; None: all of the group.
+
+    Ranks are hexadecimal digests.  Their first four digits are counted, which
+    gives at most 65,536 rows a group whatever the input, and only the rows of
+    the bucket in which a quota ends are put in order.
+    """
+    rows = df.select(group.alias("__g"), F.substring(rank, 1, 4).alias("__b"), rank, *ties)
+    counts: dict[object, list[tuple[str, int]]] = {}
+    for r in rows.groupBy("__g", "__b").count().collect():
+        counts.setdefault(r["__g"], []).append((r["__b"], r["count"]))
+    out: dict[object, tuple | None] = {}
+    edges: list[tuple[object, str, int]] = []
+    for g, n in quota.items():
+        rest = n
+        for bucket, size in sorted(counts.get(g, ())):
+            if rest <= size:
+                edges.append((g, bucket, rest))
+                break
+            rest -= size
+        else:
+            out[g] = None
+    if edges:
+        here = lambda g, bucket: F.col("__g").eqNullSafe(F.lit(g)) & (F.col("__b") == bucket)
+        place = F.row_number().over(Window.partitionBy("__g").orderBy(rank, *ties))
+        edge = rows.where(reduce(or_, [here(g, x) for g, x, _ in edges])).withColumn("__n", place)
+        edge = edge.where(reduce(or_, [F.col("__g").eqNullSafe(F.lit(g)) & (F.col("__n") == n) for g, _, n in edges]))
+        out |= {r["__g"]: (r[rank], *(r[c] for c in ties)) for r in edge.collect()}
+    return out
+
+
+def _within(columns: Sequence[Column], cut: tuple | None) -> Column:
+    named = lambda cs: F.struct(*(c.alias(f"c{i}") for i, c in enumerate(cs)))
+    return F.lit(True) if cut is None else named(columns) <= named(map(F.lit, cut))
 
 
 def select_quotas(df: DataFrame, identity: Sequence[str], rules: Sequence[tuple[str, int, Column]], seed: int, source_json: Column, strict: bool = False) -> tuple[DataFrame, DataFrame]:
@@ -27,33 +60,40 @@ def select_quotas(df: DataFrame, identity: Sequence[str], rules: Sequence[tuple[
     A rule ranks its matches by SHA-256 of canonical JSON over rule, scene,
     seed and source, skips what prior rules claimed and takes its quota.
     candidates: identity, rule_index, rule_name, rank, claimed, selected,
-    reason; audits: one row a rule.  Few rules, so a loop over them; each
-    rule's picks are bounded by its quota.
+    reason; audits: one row a rule.
+
+    What a rule takes is all it may take up to one rank, so each rule leaves a
+    literal, and the whole outcome is one projection of ``df``: the plan grows
+    by a column a rule.
     """
-    token, source = identity
-    claimed: DataFrame | None = None
-    candidates: DataFrame | None = None
-    audits = []
+    token = identity[0]
+    ranked, taken = df, F.lit(False)
+    outcome = []
     for i, (name, quota, match) in enumerate(rules):
+        at = f"__rank{i}"
         rank = sha256(json_object(rule_index=i, rule_name=name, scene_token=json_string(F.col(token)), seed=seed, source=source_json))
-        mine = df.where(match).select(*identity, rank.alias("rank"))
-        if claimed is not None:
-            mine = mine.join(claimed.withColumn("claimed", F.lit(True)), list(identity), "left").withColumn("claimed", F.coalesce("claimed", F.lit(False)))
+        ranked = ranked.withColumn(at, F.when(match, rank))
+        free = F.col(at).isNotNull() & ~taken
+        if quota > 0:
+            cut = cutoffs(ranked.where(free), F.lit(0), at, list(identity), {0: quota})[0]
+            picked = free & _within([F.col(at), *map(F.col, identity)], cut)
         else:
-            mine = mine.withColumn("claimed", F.lit(False))
-        picks = top_ranked(mine.where("not claimed"), "rank", identity, quota).select(*identity)
-        mine = mine.join(picks.withColumn("selected", F.lit(True)), list(identity), "left").withColumn("selected", F.coalesce("selected", F.lit(False)))
-        reason = F.when(F.col("selected"), "selected").when(F.col("claimed"), "claimed_by_prior_rule").otherwise("quota_filled")
-        mine = mine.select(*identity, F.lit(i).alias("rule_index"), F.lit(name).alias("rule_name"), "rank", "claimed", "selected", reason.alias("reason"))
-        audits.append(mine.agg(F.lit(name).alias("rule_name"), F.lit(i).alias("rule_index"), F.lit(quota).cast("long").alias("quota"), F.count(F.lit(1)).alias("matched"), F.count_if(~F.col("claimed")).alias("eligible"), F.count_if("selected").alias("selected")).withColumn("deficit", F.col("quota") - F.col("selected")))
-        if strict and (missing := audits[-1].first()["deficit"]):
-            raise QuotaError(f"rule {name} lacks {missing} scenes")
-        candidates = mine if candidates is None else candidates.unionByName(mine)
-        claimed = picks if claimed is None else claimed.unionByName(picks)
-    audit = audits[0]
-    for other in audits[1:]:
-        audit = audit.unionByName(other)
-    return candidates, audit
+            picked = F.lit(False)
+        outcome.append(F.when(F.col(at).isNotNull(), F.struct(F.lit(i).alias("rule_index"), F.lit(name).alias("rule_name"), F.col(at).alias("rank"), taken.alias("claimed"), picked.alias("selected"))))
+        ranked = ranked.withColumn(f"__taken{i}", taken | picked)
+        taken = F.col(f"__taken{i}")
+    found = ranked.select(*identity, F.explode(F.array_compact(F.array(*outcome))).alias("__r")).select(*identity, "__r.*")
+    reason = F.when(F.col("selected"), "selected").when(F.col("claimed"), "claimed_by_prior_rule").otherwise("quota_filled")
+    candidates = found.withColumn("reason", reason)
+    asked = df.sparkSession.createDataFrame([(name, i, quota) for i, (name, quota, _) in enumerate(rules)], "rule_name string, rule_index int, quota long")
+    counted = candidates.groupBy("rule_index").agg(F.count(F.lit(1)).alias("matched"), F.count_if(~F.col("claimed")).alias("eligible"), F.count_if("selected").alias("selected"))
+    audits = asked.join(counted, "rule_index", "left").na.fill(0, ["matched", "eligible", "selected"])
+    audits = audits.select("rule_name", "rule_index", "quota", "matched", "eligible", "selected", (F.col("quota") - F.col("selected")).alias("deficit"))
+    if strict:
+        short = audits.where("deficit > 0").orderBy("rule_index").limit(1).collect()
+        if short:
+            raise QuotaError(f"rule {short[0]['rule_name']} lacks {short[0]['deficit']} scenes")
+    return candidates, audits
 
 
 def unselected(df: DataFrame, candidates: DataFrame, identity: Sequence[str]) -> DataFrame:
@@ -64,38 +104,35 @@ def unselected(df: DataFrame, candidates: DataFrame, identity: Sequence[str]) ->
 
 
 def apportion(sizes: Mapping[str, int], fraction: str, seed: int) -> dict[str, int]:
-    """Test quotas by stratum that add up to floor(n * fraction + 0.5).
+    """Test quotas by stratum that add up to floor(n * fraction + 0.5): floors,
+    then one more in order of the remainder, ties by hash and then name.
 
-    Largest remainder, ties by hash and then name.  Then strata of two or more
-    that would stand on one side only trade one scene with another stratum,
-    chosen by hash, that keeps both of its own sides.
+    A stratum of two or more should stand on both sides.  For either side, in
+    turn, each stratum that lacks it swaps one scene with a stratum that can
+    spare one: first by the hash of the swap.
     """
-    f = Decimal(fraction)
-    target = int((Decimal(sum(sizes.values())) * f + Decimal("0.5")).to_integral_value(ROUND_FLOOR))
-    quota = {s: int((Decimal(n) * f).to_integral_value(ROUND_FLOOR)) for s, n in sizes.items()}
-    spare = target - sum(quota.values())
+    share = Decimal(fraction)
+    exact = {s: Decimal(n) * share for s, n in sizes.items()}
+    test = {s: int(x.to_integral_value(ROUND_FLOOR)) for s, x in exact.items()}
+    target = int((sum(map(Decimal, sizes.values()), Decimal(0)) * share + Decimal("0.5")).to_integral_value(ROUND_FLOOR))
     tie = lambda s: canonical_hash({"primary_scenario": s, "purpose": "apportion", "seed": seed})
-    by_rest = sorted(sizes, key=lambda s: (Decimal(quota[s]) - Decimal(sizes[s]) * f, tie(s), s))
-    for s in by_rest[: max(0, spare)]:
-        quota[s] += 1
-    least = {s: 1 if n >= 2 else 0 for s, n in sizes.items()}
-    most = {s: n - 1 if n >= 2 else 1 for s, n in sizes.items()}
-    trade = lambda a, b: canonical_hash({"from": a, "purpose": "rebalance", "seed": seed, "to": b})
-    for s in sorted(sizes):
-        if sizes[s] >= 2 and quota[s] == 0:
-            givers = [o for o in sizes if quota[o] > least[o]]
-            if givers:
-                giver = min(givers, key=lambda o: trade(o, s))
-                quota[giver] -= 1
-                quota[s] += 1
-    for s in sorted(sizes):
-        if sizes[s] >= 2 and quota[s] == sizes[s]:
-            takers = [o for o in sizes if quota[o] < most[o]]
-            if takers:
-                taker = min(takers, key=lambda o: trade(s, o))
-                quota[s] -= 1
-                quota[taker] += 1
-    return quota
+    first = sorted(sizes, key=lambda s: (test[s] - exact[s], tie(s), s))
+    for s in first[: max(0, target - sum(test.values()))]:
+        test[s] += 1
+    sides = {"test": test, "train": {s: n - test[s] for s, n in sizes.items()}}
+    for lacked, other in (("test", "train"), ("train", "test")):
+        have, rest = sides[lacked], sides[other]
+        for needy in sorted(s for s, n in sizes.items() if n > 1 and not have[s]):
+            offers = [s for s, n in sizes.items() if have[s] > (1 if n > 1 else 0)]
+            # a test scene's place goes from one stratum to the other
+            way = (lambda s, to=needy: (s, to)) if lacked == "test" else (lambda s, of=needy: (of, s))
+            swap = lambda s, way=way: canonical_hash(dict(zip(("from", "to"), way(s), strict=True)) | {"purpose": "rebalance", "seed": seed})
+            if offers:
+                giver = min(offers, key=swap)
+                for s, step in ((needy, 1), (giver, -1)):
+                    have[s] += step
+                    rest[s] -= step
+    return test
 
 
 def split_rank(seed: int, stratum: Column | str, token: Column, source: Column) -> Column:
@@ -106,21 +143,16 @@ def split_rank(seed: int, stratum: Column | str, token: Column, source: Column)
 def split_scenes(df: DataFrame, token: str, source: str, fraction: str, seed: int, stratum: str | None = None) -> tuple[DataFrame, DataFrame]:
     """(``df`` with rank and split, strata audit).
 
-    Strata are few: their counts come to the driver, quotas go back as
-    literals.  Each stratum's test scenes are the first of its quota by rank.
+    Strata are few: their counts come to the driver, and the rank up to which
+    each stratum's scenes are test goes back as a literal.
     """
     group = F.col(stratum) if stratum else F.lit("__all__")
     ranked = df.withColumn("__g", group).withColumn("rank", split_rank(seed, F.col("__g"), F.col(token), F.col(source)))
     sizes = {r["__g"]: r["count"] for r in ranked.groupBy("__g").count().collect()}
-    quota = apportion(sizes, fraction, seed)
-    if sizes:
-        test = [top_ranked(ranked.where(F.col("__g") == s), "rank", [token, source], q).select(token, source) for s, q in sorted(quota.items()) if q]
-    else:
-        test = []
-    chosen = ranked.select(token, source).limit(0)
-    for t in test:
-        chosen = chosen.unionByName(t)
-    out = ranked.join(chosen.withColumn("__t", F.lit(True)), [token, source], "left").withColumn("split", F.when(F.col("__t"), "test").otherwise("train")).drop("__t")
+    quota = {s: n for s, n in apportion(sizes, fraction, seed).items() if n}
+    order = ["rank", token, source]
+    picked = [F.col("__g").eqNullSafe(F.lit(s)) & _within([*map(F.col, order)], cut) for s, cut in cutoffs(ranked, F.col("__g"), "rank", order[1:], quota).items()]
+    out = ranked.withColumn("split", F.when(reduce(or_, picked, F.lit(False)), "test").otherwise("train"))
     audit = out.groupBy(F.col("__g").alias("stratum")).agg(F.count(F.lit(1)).alias("population"), F.count_if(F.col("split") == "test").alias("test"), F.count_if(F.col("split") == "train").alias("train"))
     alone = F.when(F.col("population") < 2, "stratum_too_small").when((F.col("test") == 0) | (F.col("train") == 0), "global_target_prevents_both_sides")
     return out.drop("__g"), audit.withColumn("fallback", alone)

@@ -23,7 +23,8 @@ def match_grid(df: DataFrame, key: str, ts: str, order: Sequence[str], fps: Frac
     tolerance.  batch_ts (and error, batch minus target) is null for a miss.
     Where no batch can reach two targets, each target takes its nearest batch
     by joins alone; else a greedy loop a recording gives every batch away once.
-    A recording with more than MOST_TARGETS targets fails the job.
+    A recording with more than MOST_TARGETS targets, or with two batches of
+    one time, fails the job.
     """
     if fps <= 0 or tolerance < 0:
         raise ValueError("fps must be positive and the tolerance not negative")
@@ -49,14 +50,16 @@ def _target(index, anchor, fps: Fraction):
 
 
 def _by_joins(df: DataFrame, key: str, ts: str, order: Sequence[str], fps: Fraction, tolerance: int) -> DataFrame:
-    spans = df.groupBy(key).agg(F.min_by(ts, F.struct(*order)).alias("anchor"), F.max(ts).alias("end"))
+    once = df.groupBy(key, ts).agg(F.min(F.struct(*order)).alias("order"), F.count(F.lit(1)).alias("n"))
+    once = once.select(key, F.when(F.col("n") == 1, F.col(ts)).otherwise(F.raise_error(F.lit("duplicate batch timestamps"))).alias(ts), "order")
+    spans = once.groupBy(key).agg(F.min_by(ts, "order").alias("anchor"), F.max(ts).alias("end"))
     wide = lambda c: c.cast("decimal(38,0)")
     guess = lambda x: F.call_function("div", wide(x) * F.lit(fps.numerator).cast("decimal(18,0)"), F.lit(_NS * fps.denominator).cast("decimal(30,0)"))
     span = F.col("end") + tolerance - F.col("anchor")
     last = F.when(wide(span) >= F.lit(str(_reach(fps))).cast("decimal(38,0)"), F.raise_error(F.lit(_too_many()))).otherwise(guess(span))
     grid = spans.select(key, "anchor", "end", F.explode(F.sequence(F.lit(0).cast("long"), F.greatest(last, F.lit(0)) + 1)).alias("target_index"))
     grid = grid.withColumn("target_ts", _target(F.col("target_index"), F.col("anchor"), fps)).where(F.col("target_ts") <= F.col("end") + tolerance)
-    near = df.select(key, ts).join(spans.select(key, "anchor"), key).where(F.col(ts) >= F.col("anchor") - tolerance)
+    near = once.select(key, ts).join(spans.select(key, "anchor"), key).where(F.col(ts) >= F.col("anchor") - tolerance)
     low = F.greatest(guess(F.greatest(F.col(ts) - F.col("anchor"), F.lit(0))), F.lit(0).cast("long"))
     near = near.select(key, ts, "anchor", F.explode(F.array(low, low + 1)).alias("target_index"))
     near = near.withColumn("off", F.col(ts) - _target(F.col("target_index"), F.col("anchor"), fps)).where(F.abs("off") <= tolerance)

@@ -258,7 +258,19 @@ def window_samples(spark, sf_dir):
     return scenes.window_samples(s, w, ["user_id", "run_id"], "ts_ns", 12 * HOUR).select("event_id", "window")
 
 
-@query()
+@query(f"""WITH RECURSIVE {_WIN},
+ tk AS (SELECT run.user_id, run.run_id, run.ts_ns, w.win FROM run LEFT JOIN win w ON run.user_id = w.user_id AND run.run_id = w.run_id AND run.ts_ns BETWEEN w.first AND w.last),
+ pt AS (SELECT *, sum(CASE WHEN was THEN 1 ELSE 0 END) OVER (PARTITION BY user_id, run_id ORDER BY ts_ns) AS part FROM (SELECT *, coalesce(lag(win IS NOT NULL) OVER (PARTITION BY user_id, run_id ORDER BY ts_ns), false) AS was FROM tk)),
+ fr AS (SELECT user_id, run_id, part, ts_ns FROM pt WHERE win IS NULL),
+ fw AS (SELECT *, max(ts_ns) OVER r AS e, count(*) OVER r AS n FROM fr WINDOW r AS (PARTITION BY user_id, run_id, part ORDER BY ts_ns RANGE BETWEEN CURRENT ROW AND {2 * DAY} FOLLOWING)),
+ fk AS (SELECT *, e - ts_ns >= {HOUR} AND n >= 3 AS kept FROM fw),
+ fx AS (SELECT fk.*, (SELECT min(j.ts_ns) FROM fr j WHERE j.user_id = fk.user_id AND j.run_id = fk.run_id AND j.part = fk.part AND j.ts_ns > fk.e AND (NOT fk.kept OR j.ts_ns >= fk.e + {6 * HOUR})) AS nxt FROM fk),
+ walk AS (SELECT * FROM fx WHERE ts_ns = (SELECT min(j.ts_ns) FROM fr j WHERE j.user_id = fx.user_id AND j.run_id = fx.run_id AND j.part = fx.part)
+          UNION ALL SELECT fx.* FROM walk JOIN fx ON fx.user_id = walk.user_id AND fx.run_id = walk.run_id AND fx.part = walk.part AND fx.ts_ns = walk.nxt),
+ au AS (SELECT r.user_id, r.run_id, r.ts_ns, s.ts_ns AS start_ts, s.e, s.kept FROM fr r ASOF JOIN walk s ON r.user_id = s.user_id AND r.run_id = s.run_id AND r.part = s.part AND r.ts_ns >= s.ts_ns)
+SELECT user_id, ts_ns, run_id, CASE WHEN kept AND ts_ns <= e THEN NULL WHEN kept THEN 'inter_scene_skip' ELSE 'candidate_too_short' END AS unassigned,
+ CASE WHEN kept AND ts_ns <= e THEN 'automatic' END AS kind, CASE WHEN kept AND ts_ns <= e THEN start_ts END AS scene_first FROM au
+UNION ALL SELECT user_id, ts_ns, run_id, NULL, 'annotation', min(ts_ns) OVER (PARTITION BY user_id, run_id, win) FROM tk WHERE win IS NOT NULL""")
 def hybrid_scenes(spark, sf_dir):
     ev = events(spark, sf_dir).select("user_id", "ts_ns")
     return scenes.build_scenes(ev, "user_id", "ts_ns", "hybrid", DAY, 2 * DAY, HOUR, 3, 6 * HOUR, windows(spark, sf_dir))
@@ -414,9 +426,9 @@ def interval_contains_join(spark, sf_dir):
 @query("""SELECT l_orderkey, l_linenumber, l_partkey, p_name FROM lineitem JOIN orders ON l_orderkey = o_orderkey LEFT JOIN (SELECT * FROM part WHERE p_size > 10) ON l_partkey = p_partkey WHERE o_orderstatus = 'F'""")
 def payload_ref_join(spark, sf_dir):
     refs = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", (F.col("l_orderkey") % 7).alias("d"))
-    frames = table(spark, sf_dir, "orders").where("o_orderstatus = 'F'").select(F.col("o_orderkey").alias("l_orderkey"), (F.col("o_orderkey") % 7).alias("fd"))
-    r = refs.join(frames, "l_orderkey").where("d = fd")
-    return r.join(table(spark, sf_dir, "part").where("p_size > 10").select(F.col("p_partkey").alias("l_partkey"), "p_name"), "l_partkey", "left").select("l_orderkey", "l_linenumber", "l_partkey", "p_name")
+    frames = table(spark, sf_dir, "orders").where("o_orderstatus = 'F'").select(F.col("o_orderkey").alias("l_orderkey"), (F.col("o_orderkey") % 7).alias("d"))
+    parts = table(spark, sf_dir, "part").where("p_size > 10").select(F.col("p_partkey").alias("l_partkey"), "p_name")
+    return labels.join_payload_refs(refs, frames, "l_orderkey", ["d"], parts, "l_partkey").select("l_orderkey", "l_linenumber", "l_partkey", "p_name")
 
 
 @query("""SELECT 'documents' AS layer, (SELECT count(*) FROM documents) AS available, (SELECT count(*) FROM documents SEMI JOIN labels USING (doc_id)) AS joined
@@ -511,12 +523,23 @@ def chain_faults(spark, sf_dir):
     return integrity.chain_faults(broken, ["conv_id"], "token", "prev", "next", "turn")
 
 
-@query("""SELECT doc_id, 'iso_date' AS finding FROM documents WHERE regexp_matches(text, '(^|[^0-9])(19|20)[0-9]{2}-(0[1-9]|1[0-2])-(0[1-9]|[12][0-9]|3[01])([^0-9]|$)')
-UNION ALL SELECT doc_id, 'credential' FROM documents WHERE regexp_matches(text, '(?i)(password|passwd|secret|api[_-]?key|access[_-]?token|private[_-]?key)\\s*[=:]\\s*\\S{6,}')""")
+@query(r"""SELECT doc_id, 'credential' AS finding FROM documents WHERE len(regexp_extract_all(text, '(?i)(?:password|passwd|secret|token|api[_-]?key|private[_-]?key)\s*[=:]\s*\S{6}')) > 0
+UNION ALL SELECT doc_id, 'iso_date' FROM documents WHERE len(regexp_extract_all(' ' || text || ' ', '[^0-9]\d{4}-\d\d-\d\d[^0-9]')) > 0""")
 def forbidden_text(spark, sf_dir):
     return integrity.forbidden_text(table(spark, sf_dir, "documents"), "doc_id", "text")
 
 
+@query(r"""WITH o AS (SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d') AS day FROM orders)
+SELECT o_orderkey, 'root.a.gpsWeek' AS path, 'forbidden_name' AS finding FROM o WHERE o_orderkey % 3 = 0
+UNION ALL SELECT o_orderkey, unnest(['root.note', 'root.note.days[1]']), 'iso_date' FROM o WHERE o_orderkey % 2 = 0 UNION ALL SELECT o_orderkey, 'root.note.osm', 'forbidden_name' FROM o WHERE o_orderkey % 5 = 0""")
+def forbidden_json(spark, sf_dir):
+    o, k = table(spark, sf_dir, "orders"), F.col("o_orderkey")
+    day = F.when(k % 2 == 0, F.date_format("o_orderdate", "yyyy-MM-dd")).otherwise("none")
+    inner = F.to_json(F.struct(F.array(F.lit("x"), day).alias("days"), F.when(k % 5 == 0, F.lit(1)).alias("osm")))
+    whole = F.to_json(F.struct(F.struct(F.when(k % 3 == 0, F.lit(7)).alias("gpsWeek"), F.lit("latest").alias("platform")).alias("a"), inner.alias("note")))
+    return integrity.forbidden_json(o.select("o_orderkey", whole.alias("j")), ["o_orderkey"], "j")
+
+
 @query("""SELECT vec_id, round(sqrt(list_sum(list_transform(embedding[1:4], lambda x: x::DOUBLE * x::DOUBLE))), 6) AS norm, vec_id % 3 = 0 AS ok FROM embeddings""")
 def geometry_check(spark, sf_dir):
     e = table(spark, sf_dir, "embeddings").withColumn("v", F.transform(F.slice("embedding", 1, 4), lambda x: x.cast("double")))
@@ -608,19 +631,18 @@ def rejection_merge(spark, sf_dir):
     return publish.merge_rejections(rows("c_acctbal < 0", "filter").unionByName(rows("c_acctbal < 100", "sanity")), rows("c_custkey % 10 = 0", "filter"))
 
 
-@query("""SELECT s_suppkey AS line_number, 's/' || s_suppkey || '.mcap' AS repo_path, s_suppkey * 10 AS source_size, sha256(s_name) AS sha256 FROM supplier""")
+@query("""SELECT s_suppkey AS line_number, 'data/s/' || s_suppkey || '.mcap' AS repo_path, s_suppkey * 10 + 1 AS source_size, sha256(s_name) AS sha256 FROM supplier""")
 def manifest_parse(spark, sf_dir):
     s = table(spark, sf_dir, "supplier")
-    line = F.concat(F.lit('{"source_size": '), F.col("s_suppkey") * 10, F.lit(', "repo_path": "s/'), F.col("s_suppkey"), F.lit('.mcap", "sha256": "'), F.sha2("s_name", 256), F.lit('"}'))
+    line = F.concat(F.lit('{"source_size": '), F.col("s_suppkey") * 10 + 1, F.lit(', "note": [1], "repo_path": "data/s/'), F.col("s_suppkey"), F.lit('.mcap", "sha256": "'), F.sha2("s_name", 256), F.lit('"}'))
     lines = s.select(F.col("s_suppkey").alias("line_number"), line.alias("value")).unionByName(s.select((-F.col("s_suppkey")).alias("line_number"), F.lit("  # comment").alias("value")))
     return manifests.parse_manifest(lines)
 
 
-@query("SELECT o_orderkey, o_totalprice FROM orders SEMI JOIN (SELECT l_orderkey AS o_orderkey FROM lineitem WHERE l_quantity > 45) USING (o_orderkey) WHERE o_orderstatus IN ('F', 'O')")
+@query("SELECT c_custkey, c_name, c_mktsegment FROM customer WHERE c_custkey IN (SELECT unnest(range(1, 101))) AND c_mktsegment IN ('BUILDING', 'MACHINERY', 'AUTOMOBILE')")
 def select_recordings(spark, sf_dir):
-    orders = table(spark, sf_dir, "orders").where(F.col("o_orderstatus").isin("F", "O"))
-    big = table(spark, sf_dir, "lineitem").where("l_quantity > 45").select(F.col("l_orderkey").alias("o_orderkey"))
-    return orders.join(big, "o_orderkey", "left_semi").select("o_orderkey", "o_totalprice")
+    catalog = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment")
+    return manifests.select_recordings(catalog, list(range(1, 101)), ["BUILDING", "MACHINERY", "AUTOMOBILE"], "c_custkey", "c_mktsegment")
 
 
 @query("SELECT p_partkey, p_brand FROM part ANTI JOIN (SELECT l_partkey AS p_partkey FROM lineitem WHERE l_quantity > 40) USING (p_partkey)")

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.scalar import safe_relative_path
+from ..functions.scalar import repo_recording_path, safe_relative_path
 
 #: Budgets of one file, fixed values.
 MOST_BYTES, MOST_LINE_BYTES, MOST_LABEL_LINE_BYTES, MOST_RECORDS = 64 << 20, 64 << 10, 256 << 10, 250_000
@@ -58,20 +58,21 @@ def _constant(name: str):
     raise ValueError(f"{name} is not JSON")
 
 
-def strict_json_lines(lines: DataFrame, fields: dict[str, type], line_bytes: int = MOST_LINE_BYTES, comments: bool = True) -> DataFrame:
+def strict_json_lines(lines: DataFrame, fields: dict[str, type], line_bytes: int = MOST_LINE_BYTES, comments: bool = True, closed: bool = True) -> DataFrame:
     """line_number, value (canonical JSON, null on error) and error of each
     line that is neither blank nor (with ``comments``) begins with #.
 
-    A line is one object with exactly these fields and types; a key given
-    twice is an error, which from_json would pass over in silence.
+    A line is one object with these fields and types.  Where it is ``closed``
+    it has no others, and a key given twice is an error, which from_json would
+    pass over in silence.
     """
 
     def parse(text: str) -> tuple[str | None, str | None]:
         try:
             if len(text.encode()) > line_bytes:
                 raise ValueError("line too long")
-            got = json.loads(text, object_pairs_hook=_pairs, parse_constant=_constant)
-            if not isinstance(got, dict) or set(got) != set(fields):
+            got = json.loads(text, object_pairs_hook=_pairs, parse_constant=_constant) if closed else json.loads(text)
+            if not isinstance(got, dict) or not set(fields) <= set(got) or closed and set(got) != set(fields):
                 raise ValueError("fields must be " + ", ".join(sorted(fields)))
             for name, kind in fields.items():
                 if not isinstance(got[name], kind) or isinstance(got[name], bool):
@@ -101,12 +102,18 @@ def _checked(parsed: DataFrame, duplicate: Sequence[str]) -> DataFrame:
 
 
 def parse_manifest(lines: DataFrame) -> DataFrame:
-    """line_number, repo_path, source_size, sha256; any fault raises."""
-    rows = strict_json_lines(lines, MANIFEST).select("line_number", F.from_json("value", "repo_path string, source_size long, sha256 string").alias("v"), "error").select("line_number", "v.*", "error")
+    """line_number, repo_path, source_size, sha256; any fault raises.
+
+    Further fields are allowed and passed over; a path is one of a recording;
+    sizes are positive; a manifest has a row at least.
+    """
     from ..operators.labels import require
 
+    read = strict_json_lines(lines, MANIFEST, closed=False)
+    rows = read.select("line_number", F.from_json("value", "repo_path string, source_size long, sha256 string").alias("v"), "error").select("line_number", "v.*", "error")
     rows = _checked(rows, ["repo_path"])
-    require(rows, safe_relative_path(F.col("repo_path")) & (F.col("source_size") >= 0) & F.col("sha256").rlike("^[0-9a-f]{64}$"), "bad manifest rows")
+    require(rows.agg(F.count(F.lit(1)).alias("n")), F.col("n") > 0, "no recordings")
+    require(rows, repo_recording_path(F.col("repo_path")) & (F.col("source_size") > 0) & F.col("sha256").rlike("^[0-9a-f]{64}$"), "bad manifest rows")
     return rows.drop("error")
 
 

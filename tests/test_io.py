@@ -23,15 +23,19 @@ def lines(spark, *texts):
 
 
 def test_manifest_skips_blank_and_comment_lines(spark, tmp_path):
-    good = json.dumps({"repo_path": "a/b.mcap", "source_size": 3, "sha256": HASH})
+    good = json.dumps({"repo_path": "data/a/b.mcap", "source_size": 3, "sha256": HASH, "note": {"more": [1]}})
     (tmp_path / "m.jsonl").write_text(f"# head\n\n{good}\n")
     got = manifests.parse_manifest(manifests.numbered_lines(spark, f"file://{tmp_path}/m.jsonl"))
-    assert rows(got) == [(3, "a/b.mcap", 3, HASH)]
+    assert rows(got) == [(3, "data/a/b.mcap", 3, HASH)]
+
+
+def manifest_line(**change):
+    return json.dumps({"repo_path": "data/a.mcap", "source_size": 1, "sha256": HASH} | change)
 
 
 @pytest.mark.parametrize("bad", [
-    '{"repo_path":"a","repo_path":"b","source_size":1,"sha256":"' + HASH + '"}', '{"repo_path":"a","source_size":1}', '{"repo_path":"a","source_size":true,"sha256":"' + HASH + '"}',
-    '{"repo_path":"../a","source_size":1,"sha256":"' + HASH + '"}', '{"repo_path":"a","source_size":1,"sha256":"zz"}', "[]", "{", '{"repo_path":"a","source_size":NaN,"sha256":"' + HASH + '"}',
+    '{"repo_path":"data/a.mcap","source_size":1}', manifest_line(source_size=True), manifest_line(source_size=0), manifest_line(source_size=1.5), manifest_line(repo_path="data/../a.mcap"),
+    manifest_line(repo_path="data/a.mp4"), manifest_line(repo_path="a.mcap"), manifest_line(sha256="zz"), manifest_line(sha256=HASH.upper() if HASH.upper() != HASH else "A" * 64), "[]", "{", "# only a comment",
 ])
 def test_bad_manifest_lines_raise(spark, bad):
     with pytest.raises(ValueError):
@@ -39,7 +43,7 @@ def test_bad_manifest_lines_raise(spark, bad):
 
 
 def test_duplicate_paths_raise(spark):
-    good = json.dumps({"repo_path": "a", "source_size": 3, "sha256": HASH})
+    good = manifest_line()
     with pytest.raises(ValueError, match="not unique"):
         manifests.parse_manifest(lines(spark, good, good))
 

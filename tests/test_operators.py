@@ -20,17 +20,13 @@ def grid(spark, stamps, fps, tolerance):
     return [(r["target_ts"], r["batch_ts"], r["error"]) for r in timegrid.match_grid(df, "k", "t", ["i"], fps, tolerance).orderBy("target_index").collect()]
 
 
-def test_grid_goldens(spark):
-    assert grid(spark, [0, 400 * MS, 600 * MS, S], Fraction(2), 150 * MS) == [(0, 0, 0), (500 * MS, 400 * MS, -100 * MS), (S, S, 0)]
-    assert grid(spark, [0, 1020 * MS], Fraction(2), 30 * MS) == [(0, 0, 0), (500 * MS, None, None), (S, 1020 * MS, 20 * MS)]
-    assert grid(spark, [0, 490 * MS], Fraction(2), 20 * MS) == [(0, 0, 0), (500 * MS, 490 * MS, -10 * MS)]
-    # the anchor is the first in source order
-    assert grid(spark, [1000, 0, 1510], Fraction(2_000_000), 20) == [(1000, 1000, 0), (1500, 1510, 10)]
-
-
-def test_grid_ntsc_targets(spark):
-    got = grid(spark, [0, 100100000], Fraction(30000, 1001), 0)
-    assert [g[0] for g in got] == [0, 33366667, 66733333, 100100000]
+@pytest.mark.parametrize("stamps, fps, tolerance", [
+    ([70 * MS, 260 * MS, 333 * MS, 480 * MS, 911 * MS], Fraction(5), 90 * MS), ([0, 7 * S, 13 * S], Fraction(1, 3), S), ([5, 3, 11, 8, 21, 34], Fraction(S, 4), 1),
+    ([900, 100, 1300, 1777], Fraction(S, 250), 60), ([42], Fraction(7, 3), 0), ([11, 11 + 41_708_333, 11 + 83_416_667], Fraction(24000, 1001), 1),
+])
+def test_grid_equals_the_loop(spark, stamps, fps, tolerance):
+    want = [(target, batch, None if batch is None else batch - target) for _, target, batch in brute_grid(stamps, fps, tolerance)]
+    assert grid(spark, stamps, fps, tolerance) == want and want[0][0] == stamps[0]
 
 
 def brute_grid(stamps, fps, tolerance):
@@ -86,6 +82,21 @@ def test_grid_rejects_bad_input(spark):
     for fps, tolerance in ((Fraction(0), 1), (Fraction(2), -1), (Fraction(2 * S), 0)):
         with pytest.raises(ValueError):
             timegrid.match_grid(df, "k", "t", ["i"], fps, tolerance)
+    twice = spark.createDataFrame([("r", 0, 1), ("r", 1, 50), ("r", 2, 50)], "k string, i long, t long")
+    for tolerance in (0, S):
+        with pytest.raises(Exception, match="duplicate batch timestamps"):
+            timegrid.match_grid(twice, "k", "t", ["i"], Fraction(2), tolerance).collect()
+
+
+def turned(axis, angle):
+    q = [math.cos(angle / 2), 0.0, 0.0, 0.0]
+    q[1 + axis] = math.sin(angle / 2)
+    return q
+
+
+def times(p, q):
+    (a, b, c, d), (e, f, g, h) = p, q
+    return [a * e - b * f - c * g - d * h, a * f + b * e + c * h - d * g, a * g - b * h + c * e + d * f, a * h + b * g - c * f + d * e]
 
 
 def one(spark, *columns):
@@ -93,9 +104,10 @@ def one(spark, *columns):
 
 
 def test_scalar_goldens(spark):
-    rad = lambda d: F.radians(F.lit(float(d)))
-    (q,) = one(spark, scalar.euler_quaternion(rad(30), rad(-20), rad(40)))
-    assert q == pytest.approx([0.8785122060499201, 0.296882904556291, -0.0704393377846027, 0.36758011982338364], abs=1e-10)
+    for angles in ((0.3, -1.1, 2.2), (-2.5, 0.4, 0.0), (0.0, 1.5, -3.0)):
+        (q,) = one(spark, scalar.euler_quaternion(*map(F.lit, angles)))
+        x, y, z = (turned(axis, angle) for axis, angle in enumerate(angles))
+        assert q == pytest.approx(times(times(z, y), x), abs=1e-12)  # about x first, z last
     x, _ = one(spark, *scalar.mercator(F.lit(180.0), F.lit(0.0)))
     assert x == pytest.approx(20037508.342789, abs=1e-6)
     half = math.radians(179 / 2)
@@ -117,6 +129,45 @@ def test_paths_and_names(spark):
     assert one(spark, scalar.channel_name(F.lit("front-left")), scalar.channel_name(F.lit("cam_-x"))) == ("CAM_FRONT_LEFT", "CAM_X")
 
 
+def test_segments_and_repository_paths(spark):
+    good = [".hidden", "..a", "a" * 300, "console", "nulls.x", "COM0", "x y", "é", "漢", "lpt10.txt"]
+    bad = [".", "..", "a.", "nul", "Con.tar.gz", "COM7", "lpt1.", "aux.json", " a", "a ", "a\u00a0", "a\u200b", "a\x07", "a:b", "a*", "a?b", 'a"', "a<b", "a|b", "a/b", "a\\b", "", None]
+    df = spark.createDataFrame([(s, True) for s in good] + [(s, False) for s in bad], "p string, ok boolean")
+    assert [r["p"] for r in df.where(scalar.safe_segment(F.col("p")) != F.col("ok")).collect()] == []
+    files = [("data/a/b.mp4", True), ("data/x.tar", True), ("data/.json", False), ("data/nul.json", False), ("data/a.mcap", False), ("dat/a.json", False), ("data//a.json", False), ("data/a%20.json", False), ("data/./a.json", False), (None, False)]
+    records = [("data/a/b.mcap", True), ("data/nul.mcap", True), ("data/../b.mcap", False), ("data/b.mcap/", False), ("data/a#b.mcap", False), ("/data/b.mcap", False), ("x/b.mcap", False), (None, False)]
+    for cases, check in ((files, scalar.repo_file_path), (records, scalar.repo_recording_path)):
+        df = spark.createDataFrame(cases, "p string, ok boolean")
+        assert [r["p"] for r in df.where(check(F.col("p")) != F.col("ok")).collect()] == []
+
+
+def test_blend_keeps_equal_values_and_takes_the_nearer_end(spark):
+    df = spark.createDataFrame([({"n": "1", "same": "up", "far": "x", "left": "7"}, {"n": "3", "same": "up", "far": "y", "right": "8"})], "a map<string,string>, b map<string,string>")
+    blend = lambda t: df.select(scalar.mapped_blend(F.col("a"), F.col("b"), F.lit(t)).alias("m")).first()["m"]
+    assert blend(0.25) == {"n": "1.5", "same": "up", "far": "x"} and blend(0.5)["far"] == "y"
+
+
+def test_partition_takes_null_runs_and_long_ones(spark, monkeypatch):
+    stamps = sorted(random.Random(8).sample(range(100_000), 3000))
+    data = [(k, t) for k in (None, 5, 2**53 + 1) for t in stamps]
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "700")
+    try:
+        got = scenes.partition_runs(spark.createDataFrame(data, "k long, t long").repartition(3), ["k"], "t", 500, 50, 3, 40)
+        scene, why = scenes.greedy_scenes(stamps, 500, 50, 3, 40)
+        seen = {k: sorted((r["t"], r["scene"], r["unassigned"]) for r in got.where(F.col("k").eqNullSafe(F.lit(k))).collect()) for k in (None, 5, 2**53 + 1)}
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert all(rows_ == list(zip(stamps, scene, why, strict=True)) for rows_ in seen.values()) and max(x or 0 for x in scene) > 50
+
+
+def test_labels_with_a_key_twice_raise(spark):
+    two = spark.createDataFrame([(1, "a"), (2, "b"), (2, "c")], "k long, v string")
+    frames = spark.createDataFrame([(1,), (2,)], "k long")
+    assert labels.join_labels(two, frames.where("k = 1"), ["k"]).count() == 1  # what meets no frame is dropped unseen
+    with pytest.raises(Exception, match="label key is not unique"):
+        labels.join_labels(two, frames, ["k"]).collect()
+
+
 def test_identities(spark):
     import hashlib
     import uuid
@@ -172,10 +223,8 @@ def test_features_golden(spark):
 
 
 def test_greedy_scene_bounds():
-    import numpy as np
-
-    scene, why = scenes.greedy_scenes(np.array([0, 5, 10, 11, 12, 30, 31]), longest=10, shortest=2, least=2, skip=2)
-    assert scene.tolist() == [0, 0, 0, -1, -1, -1, -1]
+    scene, why = scenes.greedy_scenes([0, 5, 10, 11, 12, 30, 31], longest=10, shortest=2, least=2, skip=2)
+    assert scene == [0, 0, 0, None, None, None, None]
     assert why == [None, None, None, "inter_scene_skip", *["candidate_too_short"] * 3]
 
 
@@ -216,13 +265,28 @@ def test_selection_is_exact_and_ordered(spark):
         selection.select_quotas(df, ["token", "source"], rules, 1, src, strict=True)
 
 
-def test_apportion_goldens():
-    assert sum(selection.apportion({"c": 4, "single": 1}, "0.4", 0).values()) == 2
-    assert selection.apportion({"a": 2, "b": 2}, "0.01", 0) == {"a": 0, "b": 0}
-    for n, f, want in ((1, "0.01", 0), (1, "0.99", 1), (3, "0.01", 0), (3, "0.99", 3)):
-        assert selection.apportion({"__all__": n}, f, 0)["__all__"] == want
-    common = selection.apportion({"common": 4, "single": 1}, "0.4", 3)["common"]
-    assert 0 < common < 4
+def test_apportion_keeps_its_promises():
+    rng = random.Random(12)
+    for _ in range(400):
+        sizes = {f"s{i}": rng.choice([1, 1, 2, 3, 5, 20]) for i in range(rng.randint(1, 6))}
+        fraction = rng.choice(["0.05", "0.2", "0.5", "0.9", "0.33"])
+        n, seed = sum(sizes.values()), rng.randint(0, 99)
+        test = selection.apportion(sizes, fraction, seed)
+        target = math.floor(n * Fraction(fraction) + Fraction(1, 2))
+        assert sum(test.values()) == target and all(0 <= test[s] <= sizes[s] for s in sizes)
+        assert test == selection.apportion(dict(reversed(sizes.items())), fraction, seed)
+        for have in (test, {s: sizes[s] - test[s] for s in sizes}):
+            if any(sizes[s] > 1 and not have[s] for s in sizes):  # a side is missing only where no stratum can spare one
+                assert not any(have[s] > (sizes[s] > 1) for s in sizes) or have is test
+
+
+def test_cutoffs_end_each_quota(spark):
+    df = spark.createDataFrame([(i % 3, f"{i * 7919 % 65536:04x}{i:02x}", i) for i in range(60)] + [(9, "00ff", 1), (9, "00ff", 0)], "g int, rank string, t int")
+    quota = {0: 5, 1: 20, 2: 99, 9: 1}
+    got = selection.cutoffs(df, F.col("g"), "rank", ["t"], quota)
+    for g, n in quota.items():
+        order = sorted((r["rank"], r["t"]) for r in df.where(F.col("g") == g).collect())
+        assert got[g] == (order[n - 1] if n <= len(order) else None)
 
 
 def test_split_is_complete_and_stable(spark):
@@ -261,6 +325,18 @@ def test_chain_mutations_are_found(spark):
     assert "order_not_increasing" in check(base.withColumn("t", F.lit(1)))
 
 
+def test_forbidden_json(spark):
+    import json
+
+    deep: object = "1999-99-99"
+    for _ in range(30):
+        deep = {"k": [deep]}
+    texts = [json.dumps({"GPSWeek": 1, "gpsWeek": 2, "latency": 3}), json.dumps([json.dumps({"lon": {}})]), json.dumps(deep), "plain 2001-02-03", "{broken", None, "[]"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "id long, t string")
+    got = [(r["id"], r["path"], r["finding"]) for r in integrity.forbidden_json(df, ["id"], "t").orderBy("id").collect()]
+    assert got == [(0, "root.gpsWeek", "forbidden_name"), (1, "root[0].lon", "forbidden_name"), (2, "root" + ".k[0]" * 30, "iso_date"), (3, "root", "iso_date")]
+
+
 def test_forbidden_columns(spark):
     df = spark.createDataFrame([], "a long, logTimeOfDayNs long, s struct<utc:long, xs:array<struct<publish_date:string>>>, update long")
     assert integrity.forbidden_columns(df) == ["logTimeOfDayNs", "s.utc", "s.xs[].publish_date"]
