@@ -8,6 +8,8 @@ import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 _held: dict[object, object] = {}
@@ -54,6 +56,18 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def ordered_ids(df: DataFrame, key: str, name: str) -> tuple[DataFrame, DataFrame | None]:
+    """(``df`` with a long ``name`` in place of ``key`` and in its order, the
+    table of both).  Integers stand for themselves and need no table; other
+    keys are numbered in the order of their sorted partitions.  Null stays null.
+    """
+    if isinstance(df.schema[key].dataType, T.IntegralType):
+        return df.withColumn(name, F.col(key).cast("long")).drop(key), None
+    known = df.select(key).where(F.col(key).isNotNull()).distinct().orderBy(key)
+    names = written(known.withColumn(name, F.monotonically_increasing_id()), "ids")
+    return df.join(names, key, "left").drop(key), names
+
+
 def n_parts(spark: SparkSession, df: DataFrame | None = None, bytes_each: int = 8 << 20) -> int:
     """Number of groups to deal work into: follows the input's size and the
     cluster's shuffle setting, so that each group stays memory-sized."""

@@ -1,28 +1,30 @@
 """Substring dedup by prefix-partitioned suffix trees.
 
-A suffix is one word position with the words behind it.  Only tree nodes at
-depth ``length`` (in words) matter: a node with two leaves there is a repeat,
-and overlapping nodes at neighbouring positions make up a maximal one.  So
-every suffix is cut at that depth, and a subtree has one internal node for
-each distinct string of ``length`` words.
+A suffix is one word position with the words behind it.  A suffix tree node at
+depth ``length`` (in words) or more with two leaves is a repeat; nodes of
+neighbouring positions together make up the maximal ones.
 
 Suffixes are dealt into groups by a prefix of variable length: it runs from
 the suffix's first word to the end of its *anchor*, the ``K`` consecutive
 words with the least hash among those in the first ``length`` words.  Equal
 suffixes have equal prefixes, and neighbouring suffixes mostly share their
-anchor, so runs of them travel together.  Groups are dealt by ranges of the
-anchor's hash into as many memory-sized parts as the input asks for.
-
-1. anchors of all documents, to find those that occur twice (a suffix whose
-   anchor occurs once is a leaf by itself and goes no further);
-2. suffixes with a repeated anchor, to build each part's subtree: leaves in
-   the order of their string and then of (document, position); all but the
-   first leaf below a deep node are repeats of an earlier start;
-3. words covered by repeats are cut out of the documents.
+anchor, so a run of them travels as one string of words.  A prefix that is too
+frequent for a group (its anchor occurs ``GROUP`` times or more) is lengthened
+to ``length`` words, where a group is a single node of the tree.
+
+1. Anchors of all documents are counted.  A suffix whose anchor occurs once is
+   a leaf by itself and goes no further.
+2. Each part gets the strings of its groups and builds the subtree: prefixes
+   of 1, 2, 4, ... words are named by the rank of their pair of shorter names
+   (Karp, Miller and Rosenberg), so equal names are one node, and names at
+   depth ``length`` put the leaves in order.  All but the first leaf, by
+   (document, position), below a deep node repeat an earlier start.
+3. Words covered by repeats are cut out of the documents.
 
 A map task joins equal suffixes of its own documents first and sends on the
 earliest, so a passage in a third of all documents reaches its part once from
-each task.  Strings are compared by 96 bits of two hashes of their words.
+each task.  Words are compared by 64-bit hashes, each on its own; only where a
+prefix has the whole depth are strings told apart by 128 bits of hashes.
 """
 
 from __future__ import annotations
@@ -35,14 +37,19 @@ import pyarrow.compute  # noqa: F401  (pa.compute)
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .state import bounded_batches, n_parts
+from .state import bounded_batches, n_parts, ordered_ids, release, written
 from .textcore import SPACED, U64, Slice, mix, ngrams, ngrams2, slices
 
 K = 6
-CHUNK_WORDS = 2_000_000
-_ROWS = "part int, a binary, b binary, d binary, p binary"
-_SCHEMA = pa.schema([("part", pa.int32()), *((c, pa.binary()) for c in "abdp")])
-_FOUND = pa.schema([("doc", pa.int64()), ("p", pa.binary())])
+CHUNK_WORDS = 1_000_000
+PART_BYTES = 8 << 20
+#: An anchor that occurs so often has its prefixes lengthened; at most so many do, the most frequent of each part.
+GROUP, MOST_LONG = 1024, 2_000_000
+TREE, WHOLE, KNOWN = 0, 1, 2
+_ROWS = "part int, kind int, a binary, b binary, d binary, p binary"
+_SCHEMA = pa.schema([("part", pa.int32()), ("kind", pa.int32()), *((c, pa.binary()) for c in "abdp")])
+_FOUND = pa.schema([("part", pa.int32()), ("d", pa.binary()), ("p", pa.binary())])
+_LONG = -1  # in place of a part: anchors to lengthen
 
 
 def _anchored(s: Slice, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -70,54 +77,67 @@ def _parts(hashes: np.ndarray, n: int) -> np.ndarray:
     return ((hashes >> U64(32)) * U64(n) >> U64(32)).astype(np.int32)
 
 
-def _by_doc(docs: np.ndarray, pos: np.ndarray) -> pa.RecordBatch:
-    """One row a document: its positions as little-endian 32-bit integers."""
-    order = np.argsort(docs, kind="stable")
-    docs, pos = docs[order], pos[order].astype("<i4")
-    ids, at = np.unique(docs, return_index=True)
-    off = np.append(at, len(docs)).astype(np.int64) * 4
-    packed = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(ids), [None, pa.py_buffer(off), pa.py_buffer(np.ascontiguousarray(pos))])
-    return pa.RecordBatch.from_arrays([pa.array(ids.astype(np.int64)), packed.cast(pa.binary())], schema=_FOUND)
+def _ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """starts[0], starts[0] + 1, ... sizes[0] of them, then those of the next."""
+    past = np.cumsum(sizes)
+    return np.repeat(starts - (past - sizes), sizes) + np.arange(past[-1] if len(past) else 0)
 
 
-def _send(parts: np.ndarray, columns: list[np.ndarray | None]) -> Iterator[pa.RecordBatch]:
-    """Rows of arrays for each part; ``parts`` is sorted."""
+def _send(kind: int, parts: np.ndarray, columns: list[np.ndarray | None], sizes: np.ndarray | None = None) -> Iterator[pa.RecordBatch]:
+    """One row a part of the columns' arrays; ``parts`` is sorted.  sizes: how
+    many elements of the first column belong to each of ``parts``."""
     if len(parts):
         at = np.flatnonzero(np.diff(parts, prepend=-1))
-        rows = [[None if c is None else c[x:y].tobytes() for x, y in zip(at, np.append(at[1:], len(parts)), strict=True)] for c in columns]
-        yield pa.RecordBatch.from_arrays([pa.array(parts[at]), *(pa.array(r, pa.binary()) for r in rows)], schema=_SCHEMA)
+        ends = np.append(at[1:], len(parts))
+        upto = None if sizes is None else np.concatenate([[0], np.cumsum(sizes)])
+        rows = []
+        for i, c in enumerate(columns):
+            cut = zip(at, ends, strict=True) if i or upto is None else zip(upto[at], upto[ends], strict=True)
+            rows.append([None if c is None else c[x:y].tobytes() for x, y in cut])
+        yield pa.RecordBatch.from_arrays([pa.array(parts[at].astype(np.int32)), pa.array(np.full(len(at), kind, np.int32)), *(pa.array(r, pa.binary()) for r in rows)], schema=_SCHEMA)
 
 
-def _known(docs: np.ndarray, pos: np.ndarray, n: int) -> Iterator[pa.RecordBatch]:
-    """What the task knows already, passed through parts by document."""
+def _by_doc(docs: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """(order, part in that order) of documents."""
     parts = _parts(mix(docs.astype(U64)), n)
     order = np.argsort(parts, kind="stable")
-    yield from _send(parts[order], [None, None, docs[order], pos[order]])
+    return order, parts[order]
+
+
+def _known(docs: np.ndarray, pos: np.ndarray, n: int) -> Iterator[pa.RecordBatch]:
+    """What a task knows already goes through the parts by document."""
+    order, parts = _by_doc(docs, n)
+    yield from _send(KNOWN, parts, [None, None, docs[order].astype(np.int64), pos[order].astype(np.int32)])
+
 
+def _told(docs: np.ndarray, pos: np.ndarray, n: int) -> Iterator[pa.RecordBatch]:
+    """Positions found, as one row a part of documents."""
+    order, parts = _by_doc(docs, n)
+    for batch in _send(KNOWN, parts, [None, None, docs[order].astype(np.int64), pos[order].astype(np.int32)]):
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(4), batch.column(5)], schema=_FOUND)
 
-def _joined(batches: Iterator[pa.RecordBatch]) -> tuple[list[np.ndarray], list[np.ndarray]]:
-    """(a, b, d, p of candidates, d and p of what was known)."""
-    kinds = (np.uint64, np.uint32, np.int64, np.int32)
-    new: list[list[bytes]] = [[], [], [], []]
-    old: list[list[bytes]] = [[], []]
+
+def _gathered(batches: Iterator[pa.RecordBatch], kinds: dict[int, tuple]) -> dict[int, list[np.ndarray]]:
+    """{kind: its columns a, b, d, p}, by the element types of each kind."""
+    raw: dict[int, list[list[bytes]]] = {k: [[], [], [], []] for k in kinds}
     for batch in batches:
-        for a, b, d, p in zip(*(batch.column(i).to_pylist() for i in (1, 2, 3, 4)), strict=True):
-            if a is None:
-                old[0].append(d)
-                old[1].append(p)
-            else:
-                for into, x in zip(new, (a, b or b"", d, p), strict=True):
-                    into.append(x)
-    return [np.frombuffer(b"".join(x), k) for x, k in zip(new, kinds, strict=True)], [np.frombuffer(b"".join(x), k) for x, k in zip(old, kinds[2:], strict=True)]
+        for k, *cells in zip(*(batch.column(i).to_pylist() for i in range(1, 6)), strict=True):
+            for into, x in zip(raw[k], cells, strict=True):
+                into.append(x or b"")
+    return {k: [np.frombuffer(b"".join(x), t) for x, t in zip(raw[k], types, strict=True)] for k, types in kinds.items()}
 
 
-def _twice(same: np.ndarray) -> np.ndarray:
-    """same[i]: sorted element i equals i-1.  Which elements have an equal one."""
-    return same | np.append(same[1:], False)
+def _later(same: np.ndarray, d: np.ndarray, p: np.ndarray) -> np.ndarray:
+    """Of leaves sorted by (node, document, position), same[i] telling that i
+    is below the node of i-1: which start later than the first one.  Equal
+    starts, of a row that occurs twice, aren't later."""
+    begin = np.maximum.accumulate(np.where(same, 0, np.arange(len(same))))
+    return same & ((d != d[begin]) | (p != p[begin]))
 
 
 def _anchor_pass(length: int, n: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         kept: list[tuple[np.ndarray, ...]] = []
         words = 0
 
@@ -125,11 +145,11 @@ def _anchor_pass(length: int, n: int):
             a, d, p = (np.concatenate(x) for x in zip(*kept, strict=True))
             order = np.argsort(a, kind="stable")
             a, d, p = a[order], d[order], p[order]
-            same = np.append(False, a[1:] == a[:-1]) if len(a) else np.zeros(0, bool)
-            local = _twice(same)
+            first = np.flatnonzero(np.append(True, a[1:] != a[:-1])) if len(a) else np.zeros(0, np.int64)
+            often = np.diff(np.append(first, len(a)))
+            local = np.repeat(often > 1, often)
             yield from _known(d[local], p[local], n)
-            a, d, p = a[~same], d[~same], p[~same]
-            yield from _send(_parts(a, n), [a, None, d, p])
+            yield from _send(TREE, _parts(a[first], n), [a[first], often.astype(np.uint32), d[first], p[first]])
 
         for batch in batches:
             ids = batch.column(0).fill_null(-1).to_numpy(zero_copy_only=False)
@@ -142,7 +162,7 @@ def _anchor_pass(length: int, n: int):
                 anchor, doc = anchor[ok], doc[ok]
                 kept.append((a[anchor], ids[x:y][doc].astype(np.int64), (anchor - s.first[doc]).astype(np.int32)))
                 words += len(h)
-                if words > CHUNK_WORDS:
+                if words > 2 * CHUNK_WORDS:
                     yield from flush()
                     kept, words = [], 0
         if kept:
@@ -151,46 +171,79 @@ def _anchor_pass(length: int, n: int):
     return run
 
 
-def _repeated_anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    (a, _, d, p), old = _joined(batches)
-    order = np.argsort(a, kind="stable")
-    a, d, p = a[order], d[order], p[order]
-    hit = _twice(np.append(False, a[1:] == a[:-1])) if len(a) else np.zeros(0, bool)
-    d, p = np.concatenate([d[hit], old[0]]), np.concatenate([p[hit], old[1]])
-    if len(d):
-        yield _by_doc(d, p)
+def _repeated_anchors(n: int):
+    most = max(1, MOST_LONG // n)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        got = _gathered(batches, {TREE: (np.uint64, np.uint32, np.int64, np.int32), KNOWN: (np.uint8, np.uint8, np.int64, np.int32)})
+        a, often, d, p = got[TREE]
+        order = np.argsort(a, kind="stable")
+        a, often, d, p = a[order], often[order], d[order], p[order]
+        first = np.flatnonzero(np.append(True, a[1:] != a[:-1])) if len(a) else np.zeros(0, np.int64)
+        total = np.add.reduceat(often.astype(np.int64), first) if len(a) else first
+        hit = np.repeat(total > 1, np.diff(np.append(first, len(a))))
+        yield from _told(np.concatenate([d[hit], got[KNOWN][2]]), np.concatenate([p[hit], got[KNOWN][3]]), n)
+        long = np.flatnonzero(total >= GROUP)
+        long = long[np.argsort(-total[long], kind="stable")][:most]
+        if len(long):
+            yield pa.RecordBatch.from_arrays([pa.array([_LONG], pa.int32()), pa.array([a[first][long].tobytes()]), pa.array([b""])], schema=_FOUND)
+
+    return run
+
+
+def _documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """doc, p: one row a document of all its positions, from rows by part."""
+    docs, pos = [], []
+    for batch in batches:
+        docs += [x.as_py() for x in batch.column(1)]
+        pos += [x.as_py() for x in batch.column(2)]
+    d, p = np.frombuffer(b"".join(docs), np.int64), np.frombuffer(b"".join(pos), np.int32)
+    order = np.argsort(d, kind="stable")
+    ids, at = np.unique(d[order], return_index=True)
+    p = np.ascontiguousarray(p[order].astype("<i4"))
+    packed = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(ids), [None, pa.py_buffer(np.append(at, len(d)).astype(np.int64) * 4), pa.py_buffer(p)])
+    yield pa.RecordBatch.from_arrays([pa.array(ids), packed.cast(pa.binary())], ["doc", "p"])
 
 
 def _positions(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """(all 32-bit integers of a list<binary> column, how many each row has)."""
-    if isinstance(column, pa.ChunkedArray):
-        column = column.combine_chunks()
-    if column.null_count:
-        column = pa.array(column.to_pylist(), pa.list_(pa.binary()))
-    flat = column.flatten()
-    size = np.asarray(pa.compute.fill_null(pa.compute.binary_length(flat), 0)).astype(np.int64) // 4
-    upto = np.concatenate([[0], np.cumsum(size)])
-    counts = np.asarray(pa.compute.fill_null(pa.compute.list_value_length(column), 0)).astype(np.int64)
-    at = np.concatenate([[0], np.cumsum(counts)])
-    return np.frombuffer(b"".join(flat.to_pylist()), "<i4"), np.diff(upto[at])
-
-
-def _suffix_pass(length: int, n: int):
+    """(all 32-bit integers of a binary column, how many each row has)."""
+    size = np.asarray(pa.compute.fill_null(pa.compute.binary_length(column), 0)).astype(np.int64) // 4
+    return np.frombuffer(b"".join(x or b"" for x in column.to_pylist()), "<i4"), size
+
+
+def _suffix_pass(length: int, n: int, long):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         kept: list[tuple[np.ndarray, ...]] = []
-        have = 0
+        have = base = 0
 
         def flush() -> Iterator[pa.RecordBatch]:
-            w, c, part, d, p = (np.concatenate(x) for x in zip(*kept, strict=True))
-            order = np.lexsort((p, d, w))
-            w, c, part, d, p = (x[order] for x in (w, c, part, d, p))
-            same = _same_leaf(w, c, d, p)
-            repeat = same[0]
-            yield from _known(d[repeat], p[repeat], n)
-            w, c, part, d, p = (x[~same[1]] for x in (w, c, part, d, p))
-            order = np.argsort(part, kind="stable")
-            w, c, part, d, p = (x[order] for x in (w, c, part, d, p))
-            yield from _send(part, [w, c, d, p])
+            h, start, anchor, value, d, p, w, c = (np.concatenate(x) for x in zip(*kept, strict=True))
+            order = np.lexsort((p, d, c, w))
+            same = np.append(False, (w[order][1:] == w[order][:-1]) & (c[order][1:] == c[order][:-1]))[: len(w)]
+            later = order[_later(same, d[order], p[order])]
+            yield from _known(d[later], p[later], n)
+            new = np.ones(len(w), bool)
+            new[order[same]] = False
+            place = np.minimum(np.searchsorted(long.value, value), max(0, len(long.value) - 1))
+            whole = long.value[place] == value if len(long.value) else np.zeros(len(value), bool)
+
+            i = np.flatnonzero(new & whole)
+            parts = _parts(w[i], n)
+            order = np.argsort(parts, kind="stable")
+            i = i[order]
+            yield from _send(WHOLE, parts[order], [w[i], c[i], d[i], p[i]])
+
+            i = np.flatnonzero(new & ~whole)  # in the order of the texts: runs of one anchor are strings
+            if len(i):
+                first = np.flatnonzero(np.append(True, (start[i][1:] != start[i][:-1] + 1) | (anchor[i][1:] != anchor[i][:-1])))
+                often = np.diff(np.append(first, len(i)))
+                i = i[first]
+                parts = _parts(value[i], n)
+                order = np.argsort(parts, kind="stable")
+                i, often = i[order], often[order]
+                sizes = often + length - 1
+                yield from _send(TREE, parts[order], [h[_ranges(start[i], sizes)], often.astype(np.uint32), d[i], p[i]], sizes)
 
         for batch in batches:
             pos, counts = _positions(batch.column(2))
@@ -209,43 +262,67 @@ def _suffix_pass(length: int, n: int):
                 hit = marked[anchor]
                 first, anchor = first[hit], anchor[hit]
                 doc = np.searchsorted(s.first, first, "right") - 1
-                check = (ngrams2(h, length)[first] >> U64(32)).astype(np.uint32)
-                kept.append((ngrams(h, length)[first], check, _parts(a[anchor], n), ids[x:y][doc], (first - s.first[doc]).astype(np.int32)))
-                have += len(first)
+                kept.append((h, first + base, anchor + base, a[anchor], ids[x:y][doc], (first - s.first[doc]).astype(np.int32), ngrams(h, length)[first], ngrams2(h, length)[first]))
+                base += len(h)
+                have += len(first) + len(h) // 8
                 if have > CHUNK_WORDS // 2:
                     yield from flush()
-                    kept, have = [], 0
+                    kept, have, base = [], 0, 0
         if kept:
             yield from flush()
 
     return run
 
 
-def _same_leaf(w: np.ndarray, c: np.ndarray, d: np.ndarray, p: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Of leaves sorted by (string, document, position): (starts later than an
-    equal one, has an equal one before it in the list).  They differ only
-    where a row of documents occurs twice: the same start isn't earlier."""
-    if not len(w):
-        return np.zeros(0, bool), np.zeros(0, bool)
-    new = np.append(True, (w[1:] != w[:-1]) | (c[1:] != c[:-1]))
-    begin = np.maximum.accumulate(np.where(new, np.arange(len(w)), 0))
-    return ~new & ((d != d[begin]) | (p != p[begin])), ~new
+def tree_names(words: np.ndarray, starts: np.ndarray, length: int) -> np.ndarray:
+    """Names of the ``length`` words from each of ``starts`` on: equal names
+    are one tree node, and they rise in the order of the strings."""
+    name = np.unique(words, return_inverse=True)[1]
+    size = 1
+    while 2 * size <= length:
+        name = np.unique(name[:-size] * (int(name.max()) + 1) + name[size:], return_inverse=True)[1]
+        size *= 2
+    # the last step overlaps: length words are those from the start and those up to the end
+    return np.unique(name[starts] * (int(name.max()) + 1) + name[starts + length - size], return_inverse=True)[1]
 
 
-def _subtrees(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    (w, c, d, p), old = _joined(batches)
-    order = np.lexsort((p, d, c, w))
-    w, c, d, p = (x[order] for x in (w, c, d, p))
-    repeat = _same_leaf(w, c, d, p)[0]
-    d, p = np.concatenate([d[repeat], old[0]]), np.concatenate([p[repeat], old[1]])
-    if len(d):
-        yield _by_doc(d, p)
+def _subtrees(length: int, n: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
+        got = _gathered(batches, {TREE: (np.uint64, np.uint32, np.int64, np.int32), WHOLE: (np.uint64, np.uint64, np.int64, np.int32), KNOWN: (np.uint8, np.uint8, np.int64, np.int32)})
+        docs, pos = [got[KNOWN][2]], [got[KNOWN][3]]
+
+        words, often, d, p = got.pop(TREE)
+        if len(often):
+            often = often.astype(np.int64)
+            sizes = often + length - 1
+            starts = _ranges(np.cumsum(sizes) - sizes, often)
+            d, p = np.repeat(d, often), _ranges(p.astype(np.int64), often).astype(np.int32)
+            name = tree_names(words, starts, length)
+            del words
+            order = np.lexsort((p, d, name))
+            name, d, p = name[order], d[order], p[order]
+            later = _later(np.append(False, name[1:] == name[:-1]), d, p)
+            docs.append(d[later])
+            pos.append(p[later])
+
+        w, c, d, p = got[WHOLE]
+        if len(w):
+            order = np.lexsort((p, d, c, w))
+            w, c, d, p = w[order], c[order], d[order], p[order]
+            later = _later(np.append(False, (w[1:] == w[:-1]) & (c[1:] == c[:-1])), d, p)
+            docs.append(d[later])
+            pos.append(p[later])
+        yield from _told(np.concatenate(docs), np.concatenate(pos), n)
+
+    return run
 
 
 def _cut_pass(length: int):
     out = pa.schema([("doc", pa.int64()), ("kept_text", pa.string()), ("n_words", pa.int64()), ("n_removed", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         for batch in batches:
             pos, counts = _positions(batch.column(2))
             upto = np.concatenate([[0], np.cumsum(counts)])
@@ -264,8 +341,7 @@ def _cut_pass(length: int):
                 last = kept[1:][kept[1:] > kept[:-1]] - 1
                 size[last] -= 1
                 past = np.cumsum(size)
-                total = int(past[-1]) if len(past) else 0
-                raw = np.append(s.data, np.uint8(0x20))[np.minimum(np.repeat(start - (past - size), size) + np.arange(total), len(s.data))]
+                raw = np.append(s.data, np.uint8(0x20))[np.minimum(_ranges(start, size), len(s.data))]
                 gap = np.ones(len(size), bool)
                 gap[last] = False
                 raw[past[gap] - 1] = 0x20
@@ -280,28 +356,37 @@ def _cut_pass(length: int):
 def remove_repeats(docs: DataFrame, length: int = 20, key: str = "doc_id", text: str = "text") -> DataFrame:
     """key, kept_text, n_words, n_removed of each row.
 
-    A word goes if a window of ``length`` consecutive words of its document
-    covers it whose words also start earlier: in a document of smaller key, or
-    further up in the same one.  Windows are judged on the input.  kept_text:
-    the other words, joined by one space.
-
-    A null text is empty.  A row with a null key keeps its whole text and is
-    no earlier start for others.  Rows repeated whole are one document: each
-    gets that document's result.  Rows that share a key but not the text count
-    as one position space.  Texts of fewer than ``length`` words stay whole.
-    An empty table gives no rows; other columns are not read.
+    A word goes if a window of ``length`` (``K`` at least) consecutive words of
+    its document covers it whose words also start earlier: in a document of
+    smaller key, or further up in the same one.  Windows are judged on the
+    input.  kept_text: the other words, joined by one space.
+
+    A key may be of any type that has an order.  A null text is empty.  A row
+    with a null key keeps its whole text and is no earlier start for others.
+    Rows repeated whole are one document: each gets that document's result.
+    Rows that share a key but not the text count as one position space.  Texts
+    of fewer than ``length`` words stay whole.  An empty table gives no rows;
+    other columns are not read.
     """
+    if length < K:
+        raise ValueError(f"length must be {K} at least")
     spark = docs.sparkSession
     bounded_batches(spark)
-    rows = docs.select(F.col(key).cast("long").alias("doc"), F.col(text).alias("text"))
-    n = n_parts(spark, docs.select(text), 12 << 20)
-
-    def found(df: DataFrame, reduce) -> DataFrame:
-        dealt = df.repartition(n, "part").mapInArrow(reduce, "doc long, p binary")
-        return dealt.groupBy("doc").agg(F.collect_list("p").alias("p"))
-
-    anchors = found(rows.mapInArrow(_anchor_pass(length, n), _ROWS), _repeated_anchors)
-    suffixes = rows.join(anchors, "doc", "left").select("doc", "text", "p")
-    repeats = found(suffixes.mapInArrow(_suffix_pass(length, n), _ROWS), _subtrees)
+    rows, names = ordered_ids(docs.select(F.col(key).alias("key"), F.col(text).alias("text")), "key", "doc")
+    rows = rows.select("doc", "text")
+    n = n_parts(spark, docs.select(text), PART_BYTES)
+    dealt = lambda df: df.repartition(n, "part")
+    found = "part int, d binary, p binary"
+    by_doc = lambda df: dealt(df).mapInArrow(_documents, "doc long, p binary")
+
+    anchors = written(dealt(rows.mapInArrow(_anchor_pass(length, n), _ROWS)).mapInArrow(_repeated_anchors(n), found), "anchors")
+    long = [np.frombuffer(r["d"], np.uint64) for r in anchors.where(F.col("part") == _LONG).select("d").collect()]  # at most MOST_LONG
+    long = spark.sparkContext.broadcast(np.sort(np.concatenate([np.zeros(0, np.uint64), *long])))
+    suffixes = rows.join(by_doc(anchors.where(F.col("part") != _LONG)), "doc").select("doc", "text", "p")
+    repeats = by_doc(dealt(suffixes.mapInArrow(_suffix_pass(length, n, long), _ROWS)).mapInArrow(_subtrees(length, n), found))
     cut = rows.join(repeats, "doc", "left").select("doc", "text", "p")
-    return cut.mapInArrow(_cut_pass(length), "doc long, kept_text string, n_words long, n_removed long").withColumnRenamed("doc", key)
+    out = cut.mapInArrow(_cut_pass(length), "doc long, kept_text string, n_words long, n_removed long")
+    if names is not None:
+        out = out.join(names, "doc", "left").select("key", "kept_text", "n_words", "n_removed")
+        return out.withColumnRenamed("key", key)
+    return out.withColumnRenamed("doc", key).withColumn(key, F.col(key).cast(docs.schema[key].dataType))

@@ -113,6 +113,29 @@ def test_substring_dedup(docs, pairs, length, monkeypatch):
     assert sum(x[1] for x in got.values()) > 100
 
 
+@pytest.mark.parametrize("group", [1, 3])
+def test_substring_dedup_lengthens_frequent_prefixes(docs, pairs, group, monkeypatch):
+    monkeypatch.setattr(substring_dedup, "GROUP", group)
+    got = {r["doc_id"]: (r["n_words"], r["n_removed"], r["kept_text"]) for r in substring_dedup.remove_repeats(docs).collect()}
+    assert got == brute_repeats(pairs, 20)
+
+
+def test_tree_names_are_nodes_in_order():
+    rng = np.random.default_rng(3)
+    words = rng.integers(0, 3, 400).astype(np.uint64)
+    for length in (1, 2, 5, 6, 8, 20):
+        starts = rng.integers(0, 400 - length + 1, 300)
+        strings = [tuple(words[s : s + length].tolist()) for s in starts]
+        rank = {s: i for i, s in enumerate(sorted(set(strings)))}
+        assert substring_dedup.tree_names(words, starts, length).tolist() == [rank[s] for s in strings]
+
+
+def test_substring_dedup_takes_any_ordered_key(spark, docs, pairs):
+    named = docs.withColumn("doc_id", F.concat(F.lit("d"), F.lpad(F.col("doc_id").cast("string"), 9, "0")))
+    got = {int(r["doc_id"][1:]): (r["n_words"], r["n_removed"], r["kept_text"]) for r in substring_dedup.remove_repeats(named).collect()}
+    assert got == brute_repeats(pairs, 20)
+
+
 def test_substring_dedup_odd_cases(odd, empty):
     got = sorted(((r["doc_id"], r["n_removed"], r["kept_text"] != "") for r in substring_dedup.remove_repeats(odd).collect()), key=str)
     assert got == sorted([(None, 0, True), (None, 0, False), (5, 0, True), (5, 0, True), (6, 40, False), (7, 0, False)], key=str)
