@@ -23,13 +23,15 @@ to ``length`` words, where a group is a single node of the tree.
 
 A map task joins equal suffixes of its own documents first and sends on the
 earliest, so a passage in a third of all documents reaches its part once from
-each task.  Words are compared by 64-bit hashes, each on its own; only where a
-prefix has the whole depth are strings told apart by 128 bits of hashes.
+each task.  Strings are compared word by word, by 32 bits of each word's hash
+and 32 bits of a second hash of the whole string; where a prefix has the whole
+depth, by 128 bits of two hashes of the string.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -42,12 +44,12 @@ from .textcore import SPACED, U64, Slice, mix, ngrams, ngrams2, slices
 
 K = 6
 CHUNK_WORDS = 1_000_000
-PART_BYTES = 8 << 20
+PART_BYTES = 6 << 20
 #: An anchor that occurs so often has its prefixes lengthened; at most so many do, the most frequent of each part.
 GROUP, MOST_LONG = 1024, 2_000_000
 TREE, WHOLE, KNOWN = 0, 1, 2
-_ROWS = "part int, kind int, a binary, b binary, d binary, p binary"
-_SCHEMA = pa.schema([("part", pa.int32()), ("kind", pa.int32()), *((c, pa.binary()) for c in "abdp")])
+_ROWS = "part int, kind int, a binary, b binary, c binary, d binary, p binary"
+_SCHEMA = pa.schema([("part", pa.int32()), ("kind", pa.int32()), *((c, pa.binary()) for c in "abcdp")])
 _FOUND = pa.schema([("part", pa.int32()), ("d", pa.binary()), ("p", pa.binary())])
 _LONG = -1  # in place of a part: anchors to lengthen
 
@@ -83,17 +85,19 @@ def _ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return np.repeat(starts - (past - sizes), sizes) + np.arange(past[-1] if len(past) else 0)
 
 
-def _send(kind: int, parts: np.ndarray, columns: list[np.ndarray | None], sizes: np.ndarray | None = None) -> Iterator[pa.RecordBatch]:
+def _send(kind: int, parts: np.ndarray, columns: list[np.ndarray | None], sizes: dict[int, np.ndarray] | None = None) -> Iterator[pa.RecordBatch]:
     """One row a part of the columns' arrays; ``parts`` is sorted.  sizes: how
-    many elements of the first column belong to each of ``parts``."""
+    many elements of a column belong to each of ``parts``, where not one."""
     if len(parts):
         at = np.flatnonzero(np.diff(parts, prepend=-1))
         ends = np.append(at[1:], len(parts))
-        upto = None if sizes is None else np.concatenate([[0], np.cumsum(sizes)])
         rows = []
         for i, c in enumerate(columns):
-            cut = zip(at, ends, strict=True) if i or upto is None else zip(upto[at], upto[ends], strict=True)
-            rows.append([None if c is None else c[x:y].tobytes() for x, y in cut])
+            x, y = at, ends
+            if sizes and i in sizes:
+                upto = np.concatenate([[0], np.cumsum(sizes[i])])
+                x, y = upto[at], upto[ends]
+            rows.append([None if c is None else c[m:n].tobytes() for m, n in zip(x, y, strict=True)])
         yield pa.RecordBatch.from_arrays([pa.array(parts[at].astype(np.int32)), pa.array(np.full(len(at), kind, np.int32)), *(pa.array(r, pa.binary()) for r in rows)], schema=_SCHEMA)
 
 
@@ -107,24 +111,29 @@ def _by_doc(docs: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
 def _known(docs: np.ndarray, pos: np.ndarray, n: int) -> Iterator[pa.RecordBatch]:
     """What a task knows already goes through the parts by document."""
     order, parts = _by_doc(docs, n)
-    yield from _send(KNOWN, parts, [None, None, docs[order].astype(np.int64), pos[order].astype(np.int32)])
+    yield from _send(KNOWN, parts, [None, None, None, docs[order].astype(np.int64), pos[order].astype(np.int32)])
 
 
 def _told(docs: np.ndarray, pos: np.ndarray, n: int) -> Iterator[pa.RecordBatch]:
     """Positions found, as one row a part of documents."""
     order, parts = _by_doc(docs, n)
-    for batch in _send(KNOWN, parts, [None, None, docs[order].astype(np.int64), pos[order].astype(np.int32)]):
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(4), batch.column(5)], schema=_FOUND)
+    for batch in _send(KNOWN, parts, [None, None, None, docs[order].astype(np.int64), pos[order].astype(np.int32)]):
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(5), batch.column(6)], schema=_FOUND)
 
 
-def _gathered(batches: Iterator[pa.RecordBatch], kinds: dict[int, tuple]) -> dict[int, list[np.ndarray]]:
-    """{kind: its columns a, b, d, p}, by the element types of each kind."""
-    raw: dict[int, list[list[bytes]]] = {k: [[], [], [], []] for k in kinds}
-    for batch in batches:
-        for k, *cells in zip(*(batch.column(i).to_pylist() for i in range(1, 6)), strict=True):
+_NONE = (np.uint8,) * 3
+_POSITIONS = (np.int64, np.int32)
+
+
+def _gathered(batches: Iterator[pa.RecordBatch], kinds: dict[int, tuple]) -> Iterator[dict[int, list[np.ndarray]]]:
+    """{kind: its columns}, by the element types of each kind, part by part of
+    rows that are sorted by part."""
+    for _, rows in groupby((r for batch in batches for r in zip(*(batch.column(i).to_pylist() for i in range(batch.num_columns)), strict=True)), key=lambda r: r[0]):
+        raw: dict[int, list[list[bytes]]] = {k: [[] for _ in types] for k, types in kinds.items()}
+        for _, k, *cells in rows:
             for into, x in zip(raw[k], cells, strict=True):
                 into.append(x or b"")
-    return {k: [np.frombuffer(b"".join(x), t) for x, t in zip(raw[k], types, strict=True)] for k, types in kinds.items()}
+        yield {k: [np.frombuffer(b"".join(x), t) for x, t in zip(raw[k], types, strict=True)] for k, types in kinds.items()}
 
 
 def _later(same: np.ndarray, d: np.ndarray, p: np.ndarray) -> np.ndarray:
@@ -149,7 +158,7 @@ def _anchor_pass(length: int, n: int):
             often = np.diff(np.append(first, len(a)))
             local = np.repeat(often > 1, often)
             yield from _known(d[local], p[local], n)
-            yield from _send(TREE, _parts(a[first], n), [a[first], often.astype(np.uint32), d[first], p[first]])
+            yield from _send(TREE, _parts(a[first], n), [a[first], often.astype(np.uint32), None, d[first], p[first]])
 
         for batch in batches:
             ids = batch.column(0).fill_null(-1).to_numpy(zero_copy_only=False)
@@ -175,18 +184,18 @@ def _repeated_anchors(n: int):
     most = max(1, MOST_LONG // n)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        got = _gathered(batches, {TREE: (np.uint64, np.uint32, np.int64, np.int32), KNOWN: (np.uint8, np.uint8, np.int64, np.int32)})
-        a, often, d, p = got[TREE]
-        order = np.argsort(a, kind="stable")
-        a, often, d, p = a[order], often[order], d[order], p[order]
-        first = np.flatnonzero(np.append(True, a[1:] != a[:-1])) if len(a) else np.zeros(0, np.int64)
-        total = np.add.reduceat(often.astype(np.int64), first) if len(a) else first
-        hit = np.repeat(total > 1, np.diff(np.append(first, len(a))))
-        yield from _told(np.concatenate([d[hit], got[KNOWN][2]]), np.concatenate([p[hit], got[KNOWN][3]]), n)
-        long = np.flatnonzero(total >= GROUP)
-        long = long[np.argsort(-total[long], kind="stable")][:most]
-        if len(long):
-            yield pa.RecordBatch.from_arrays([pa.array([_LONG], pa.int32()), pa.array([a[first][long].tobytes()]), pa.array([b""])], schema=_FOUND)
+        for got in _gathered(batches, {TREE: (np.uint64, np.uint32, np.uint8, *_POSITIONS), KNOWN: (*_NONE, *_POSITIONS)}):
+            a, often, _, d, p = got[TREE]
+            order = np.argsort(a, kind="stable")
+            a, often, d, p = a[order], often[order], d[order], p[order]
+            first = np.flatnonzero(np.append(True, a[1:] != a[:-1])) if len(a) else np.zeros(0, np.int64)
+            total = np.add.reduceat(often.astype(np.int64), first) if len(a) else first
+            hit = np.repeat(total > 1, np.diff(np.append(first, len(a))))
+            yield from _told(np.concatenate([d[hit], got[KNOWN][3]]), np.concatenate([p[hit], got[KNOWN][4]]), n)
+            long = np.flatnonzero(total >= GROUP)
+            long = long[np.argsort(-total[long], kind="stable")][:most]
+            if len(long):
+                yield pa.RecordBatch.from_arrays([pa.array([_LONG], pa.int32()), pa.array([a[first][long].tobytes()]), pa.array([b""])], schema=_FOUND)
 
     return run
 
@@ -232,18 +241,19 @@ def _suffix_pass(length: int, n: int, long):
             parts = _parts(w[i], n)
             order = np.argsort(parts, kind="stable")
             i = i[order]
-            yield from _send(WHOLE, parts[order], [w[i], c[i], d[i], p[i]])
+            yield from _send(WHOLE, parts[order], [w[i], None, c[i], d[i], p[i]])
 
             i = np.flatnonzero(new & ~whole)  # in the order of the texts: runs of one anchor are strings
             if len(i):
                 first = np.flatnonzero(np.append(True, (start[i][1:] != start[i][:-1] + 1) | (anchor[i][1:] != anchor[i][:-1])))
                 often = np.diff(np.append(first, len(i)))
-                i = i[first]
-                parts = _parts(value[i], n)
+                parts = _parts(value[i[first]], n)
                 order = np.argsort(parts, kind="stable")
-                i, often = i[order], often[order]
-                sizes = often + length - 1
-                yield from _send(TREE, parts[order], [h[_ranges(start[i], sizes)], often.astype(np.uint32), d[i], p[i]], sizes)
+                first, often = first[order], often[order]
+                check = (c[i[_ranges(first, often)]] >> U64(32)).astype(np.uint32)
+                i, sizes = i[first], often + length - 1
+                word = (h[_ranges(start[i], sizes)] >> U64(32)).astype(np.uint32)
+                yield from _send(TREE, parts[order], [word, often.astype(np.uint32), check, d[i], p[i]], {0: sizes, 2: often})
 
         for batch in batches:
             pos, counts = _positions(batch.column(2))
@@ -289,31 +299,28 @@ def tree_names(words: np.ndarray, starts: np.ndarray, length: int) -> np.ndarray
 def _subtrees(length: int, n: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         release()
-        got = _gathered(batches, {TREE: (np.uint64, np.uint32, np.int64, np.int32), WHOLE: (np.uint64, np.uint64, np.int64, np.int32), KNOWN: (np.uint8, np.uint8, np.int64, np.int32)})
-        docs, pos = [got[KNOWN][2]], [got[KNOWN][3]]
-
-        words, often, d, p = got.pop(TREE)
-        if len(often):
-            often = often.astype(np.int64)
-            sizes = often + length - 1
-            starts = _ranges(np.cumsum(sizes) - sizes, often)
-            d, p = np.repeat(d, often), _ranges(p.astype(np.int64), often).astype(np.int32)
-            name = tree_names(words, starts, length)
-            del words
-            order = np.lexsort((p, d, name))
-            name, d, p = name[order], d[order], p[order]
-            later = _later(np.append(False, name[1:] == name[:-1]), d, p)
-            docs.append(d[later])
-            pos.append(p[later])
-
-        w, c, d, p = got[WHOLE]
-        if len(w):
-            order = np.lexsort((p, d, c, w))
-            w, c, d, p = w[order], c[order], d[order], p[order]
-            later = _later(np.append(False, (w[1:] == w[:-1]) & (c[1:] == c[:-1])), d, p)
-            docs.append(d[later])
-            pos.append(p[later])
-        yield from _told(np.concatenate(docs), np.concatenate(pos), n)
+        for got in _gathered(batches, {TREE: (np.uint32, np.uint32, np.uint32, *_POSITIONS), WHOLE: (np.uint64, np.uint8, np.uint64, *_POSITIONS), KNOWN: (*_NONE, *_POSITIONS)}):
+            docs, pos = [got[KNOWN][3]], [got[KNOWN][4]]
+            words, often, check, d, p = got.pop(TREE)
+            if len(often):
+                often = often.astype(np.int64)
+                sizes = often + length - 1
+                starts = _ranges(np.cumsum(sizes) - sizes, often)
+                d, p = np.repeat(d, often), _ranges(p.astype(np.int64), often).astype(np.int32)
+                name = tree_names(words, starts, length)
+                order = np.lexsort((p, d, check, name))
+                name, check, d, p = name[order], check[order], d[order], p[order]
+                later = _later(np.append(False, (name[1:] == name[:-1]) & (check[1:] == check[:-1])), d, p)
+                docs.append(d[later])
+                pos.append(p[later])
+            w, _, c, d, p = got[WHOLE]
+            if len(w):
+                order = np.lexsort((p, d, c, w))
+                w, c, d, p = w[order], c[order], d[order], p[order]
+                later = _later(np.append(False, (w[1:] == w[:-1]) & (c[1:] == c[:-1])), d, p)
+                docs.append(d[later])
+                pos.append(p[later])
+            yield from _told(np.concatenate(docs), np.concatenate(pos), n)
 
     return run
 
@@ -372,19 +379,20 @@ def remove_repeats(docs: DataFrame, length: int = 20, key: str = "doc_id", text:
         raise ValueError(f"length must be {K} at least")
     spark = docs.sparkSession
     bounded_batches(spark)
-    rows, names = ordered_ids(docs.select(F.col(key).alias("key"), F.col(text).alias("text")), "key", "doc")
-    rows = rows.select("doc", "text")
+    rows, names = ordered_ids(docs.select(F.col(key).alias("key"), F.col(text).alias("body")), "key", "doc")
+    rows = rows.select("doc", "body")
     n = n_parts(spark, docs.select(text), PART_BYTES)
-    dealt = lambda df: df.repartition(n, "part")
+    dealt = lambda df: df.repartition(n, "part").sortWithinPartitions("part")
     found = "part int, d binary, p binary"
-    by_doc = lambda df: dealt(df).mapInArrow(_documents, "doc long, p binary")
+    by_doc = lambda df: df.repartition(n, "part").mapInArrow(_documents, "doc long, p binary")
 
     anchors = written(dealt(rows.mapInArrow(_anchor_pass(length, n), _ROWS)).mapInArrow(_repeated_anchors(n), found), "anchors")
     long = [np.frombuffer(r["d"], np.uint64) for r in anchors.where(F.col("part") == _LONG).select("d").collect()]  # at most MOST_LONG
     long = spark.sparkContext.broadcast(np.sort(np.concatenate([np.zeros(0, np.uint64), *long])))
-    suffixes = rows.join(by_doc(anchors.where(F.col("part") != _LONG)), "doc").select("doc", "text", "p")
+    keyed = rows.where("doc is not null")  # alike on both joins, so that it is dealt by document once
+    suffixes = keyed.join(by_doc(anchors.where(F.col("part") != _LONG)), "doc").select("doc", "body", "p")
     repeats = by_doc(dealt(suffixes.mapInArrow(_suffix_pass(length, n, long), _ROWS)).mapInArrow(_subtrees(length, n), found))
-    cut = rows.join(repeats, "doc", "left").select("doc", "text", "p")
+    cut = keyed.join(repeats, "doc", "left").select("doc", "body", "p").unionByName(rows.where("doc is null").withColumn("p", F.lit(None).cast("binary")))
     out = cut.mapInArrow(_cut_pass(length), "doc long, kept_text string, n_words long, n_removed long")
     if names is not None:
         out = out.join(names, "doc", "left").select("key", "kept_text", "n_words", "n_removed")
