@@ -1,15 +1,19 @@
 """License scans: base phrases, and an exact set-similarity join with templates.
 
-Each line of a text is a block, and so is each run of consecutive words, over
-line ends too, of a template's number of words divided by ``threshold``: a
-notice wrapped over lines is whole in one of them.  A block matches a template when it holds at
-least ``threshold`` of the template's distinct words.  Template words are put
-in order of their frequency over all documents, rarest first; a block can only
-match if it has one of the template's first |T| - need + 1 words (prefix
-filter), at least ``need`` words of any template (length filter) and enough
-words left on both sides at the first shared one (positional filter).  What
-passes is verified exactly.  Runs of words are made only around places of the
-prefix filter's words.  DataFrame expressions only.
+A block of a text, for a template of n words, is any run of ceil(n / threshold)
+consecutive words, over line ends too.  It matches when it holds at least
+``threshold`` of the template's distinct words.  Each text is split once:
+
+1. A text keeps the template words that it holds.  Their counts over all texts
+   give the order of words, rarest first; a text without enough of a template's
+   words anywhere can't match it (length filter) and keeps no places of words.
+2. A matching block has one of the template's first |T| - need + 1 words
+   (prefix filter).  Around each place of one, the words that a block with it
+   can hold must be enough, on both sides of it in the order (positional
+   filter).
+3. What passes is verified: the distinct template words of every block there.
+
+DataFrame expressions only.
 """
 
 from __future__ import annotations
@@ -20,8 +24,10 @@ import re
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .state import written
+
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+_BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 PHRASES = {"gnu general public license": "gpl", "apache license": "apache", "cc by": "cc-by", "mit license": "mit"}
 TEMPLATES = {
     "apache-2.0": ["Licensed under the Apache License, Version 2.0"],
@@ -37,22 +43,29 @@ TEMPLATES = {
 }
 
 
-def _lower(text: Column) -> Column:
-    return F.translate(F.coalesce(text, F.lit("")), _UPPER, _LOWER)
+def template_sets(templates: dict[str, list[str]], threshold: float) -> list[tuple[str, list[str], int, int]]:
+    """(label, distinct words, words needed, words of a block) of each body."""
+    out = []
+    for label, bodies in templates.items():
+        for body in bodies:
+            words = re.findall(WORD, body.lower())
+            own = sorted(set(words))
+            out.append((label, own, max(1, math.ceil(len(own) * threshold - 1e-9)), math.ceil(len(words) / max(threshold, 0.1) - 1e-9)))
+    return out
 
 
 def _words(text: Column) -> Column:
-    return F.regexp_extract_all(text, F.lit(f"({WORD})"), 1)
+    """Words of a text with A-Z lower-cased.  lower() does more: of characters
+    beyond ASCII only the Kelvin sign would become an ASCII letter, so another
+    stands in for it."""
+    plain = F.lower(F.replace(F.coalesce(text, F.lit("")), F.lit("K"), F.lit("Å")))
+    return F.array_remove(F.split(plain, _BETWEEN), "")
 
 
 def _spaces(x: Column) -> Column:
     return F.length(x) - F.length(F.replace(x, F.lit(" "), F.lit("")))
 
 
-def _needed(n: int, threshold: float) -> int:
-    return max(1, math.ceil(n * threshold - 1e-9))
-
-
 def scan_licenses(docs: DataFrame, key: str = "doc_id", text: str = "text", threshold: float = 0.8, templates: dict[str, list[str]] = TEMPLATES) -> DataFrame:
     """key, n_words, n_base, first_word, last_word, base_labels, labels, score.
 
@@ -67,65 +80,62 @@ def scan_licenses(docs: DataFrame, key: str = "doc_id", text: str = "text", thre
     other columns are not read.
     """
     spark = docs.sparkSession
-    rows = docs.select(F.col(key).alias("k"), _lower(F.col(text)).alias("t")).withColumn("w", _words(F.col("t")))
-    bodies = [(label, re.findall(WORD, body.lower())) for label, found in templates.items() for body in found]
-    sets = [(label, sorted(set(words))) for label, words in bodies]
-    vocabulary = sorted({w for _, words in sets for w in words})
-    counted = rows.select(F.explode(F.array_intersect("w", F.array(*map(F.lit, vocabulary)))).alias("x")).groupBy("x").count()
-    frequency = {r["x"]: r["count"] for r in counted.collect()}  # at most the templates' words
-    ranked = {w: i for i, w in enumerate(sorted(vocabulary, key=lambda w: (frequency.get(w, 0), w)))}
-
-    index, first_words = [], set()
-    for i, (label, words) in enumerate(sets):
-        order = sorted(ranked[w] for w in words)
-        need = _needed(len(order), threshold)
-        for at, rank in enumerate(order[: len(order) - need + 1]):
-            index.append((rank, i, label, at, len(order), need, order, math.ceil(len(bodies[i][1]) / max(threshold, 0.1) - 1e-9)))
-        first_words |= {w for w in words if ranked[w] in order[: len(order) - need + 1]}
-    prefixes = spark.createDataFrame(index, "rank int, template int, label string, at int, n int, need int, words array<int>, wide int")
-    ranks = F.create_map(*(F.lit(x) for w, i in ranked.items() for x in (w, i)))
-    ordered = lambda w: F.array_sort(F.transform(F.array_intersect(w, F.array(*map(F.lit, vocabulary))), lambda x: F.element_at(ranks, x)))
-
-    some = rows.where(F.arrays_overlap("w", F.array(*map(F.lit, sorted(first_words))))).select("k", F.xxhash64("t").alias("h"), F.explode(F.split("t", "\n")).alias("line"))
-    blocks = some.select("k", "h", ordered(_words(F.col("line"))).alias("own")).where(F.size("own") >= min(x[5] for x in index))
-    blocks = blocks.distinct().select("k", "h", "own", F.posexplode("own").alias("pos", "rank"))
-    pairs = blocks.join(F.broadcast(prefixes), "rank")  # a few words a template
-    left = F.least(F.col("n") - F.col("at"), F.size("own") - F.col("pos"))
-    pairs = pairs.where((F.size("own") >= F.col("need")) & (left >= F.col("need") - F.least("at", "pos")))
-    shared = F.size(F.array_intersect("own", "words"))
-    in_lines = pairs.where(shared >= F.col("need")).select("k", "h", "label", (shared / F.col("n")).alias("share"))
-
-    # around each place of a prefix word: the ranks of the words that a run with it can hold, 0 for other words
-    most = max(x[7] for x in index)
-    wrapped = rows.where(F.contains("t", F.lit("\n")) & F.arrays_overlap("w", F.array(*map(F.lit, sorted(first_words)))))
-    spots = F.filter(F.transform("w", lambda x, i: F.when(F.array_contains(F.array(*map(F.lit, sorted(first_words))), x), i)), lambda i: i.isNotNull())
-    around = wrapped.select("k", F.xxhash64("t").alias("h"), "w", F.explode(spots).alias("i"))
-    start = F.greatest(F.col("i") - (most - 1), F.lit(0))
-    around = around.select("k", "h", (F.col("i") - start).alias("i"), F.element_at("w", F.col("i") + 1).alias("x"), F.slice("w", start + 1, F.col("i") - start + most).alias("near"))
-    near = F.transform("near", lambda x: F.coalesce(F.try_element_at(ranks, x), F.lit(-1)))
-    around = around.select("k", "h", "i", F.element_at(ranks, F.col("x")).alias("rank"), near.alias("near")).distinct()
-    there = around.join(F.broadcast(prefixes), "rank").where(F.size(F.array_intersect("near", "words")) >= F.col("need"))
-    runs = F.sequence(F.greatest(F.col("i") - F.col("wide") + 1, F.lit(0)), F.col("i"))
-    held = F.array_max(F.transform(runs, lambda a: F.size(F.array_intersect("words", F.slice("near", a + 1, F.col("wide"))))))
-    in_runs = there.select("k", "h", "label", "n", "need", held.alias("held")).where(F.col("held") >= F.col("need")).select("k", "h", "label", (F.col("held") / F.col("n")).alias("share"))
-    matched = in_lines.unionByName(in_runs).groupBy("k", "h").agg(F.collect_set("label").alias("found"), F.max("share").alias("share"))
-
-    alternatives = "|".join(PHRASES)
-    padded = F.concat(F.lit(" "), F.array_join("w", " "), F.lit(" "))
-    places = rows.select("k", F.xxhash64("t").alias("h"), F.size("w").cast("long").alias("n_words"), padded.alias("p"))
-    places = places.withColumn("n_base", F.regexp_count("p", F.lit(f"(?<= )(?:{alternatives})(?= )")).cast("long"))
-    there = F.col("n_base") > 0
-    first = F.regexp_extract("p", f"(?s)^(.*?)(?<= )(?:{alternatives})(?= )", 1)
-    last = F.regexp_extract("p", f"(?s)^(.*)(?<= )(?:{alternatives})(?= )", 1)
-    labels = F.array_compact(F.array(*(F.when(there & F.contains("p", F.lit(f" {p} ")), F.lit(x)) for p, x in PHRASES.items())))
-    base = places.select(
-        "k", "h", "n_words", "n_base",
-        F.when(there, _spaces(first) - 1).cast("long").alias("first_word"),
-        F.when(there, _spaces(last) - 1).cast("long").alias("last_word"),
-        labels.alias("base"),
+    sets = template_sets(templates, threshold)
+    vocabulary = sorted({w for _, own, _, _ in sets for w in own})
+    strings = lambda words: F.array(*map(F.lit, words))
+
+    rows = docs.select(F.col(key).alias("k"), F.xxhash64(F.coalesce(text, F.lit(""))).alias("h"), _words(F.col(text)).alias("w"))
+    rows = rows.select("k", "h", "w", F.concat(F.lit(" "), F.array_join("w", " "), F.lit(" ")).alias("p"), F.array_intersect(strings(vocabulary), "w").alias("own"))
+    enough = F.lit(False)
+    for _, words, need, _ in sets:
+        enough = enough | (F.size(F.array_intersect("own", strings(words))) >= need)
+    held = F.filter(F.transform("w", lambda x, i: F.struct(i.alias("at"), x.alias("word"))), lambda s: F.array_contains(F.col("own"), s["word"]))
+    there = F.lit(False)
+    for phrase in PHRASES:
+        there = there | F.contains("p", F.lit(f" {phrase} "))
+    rows = rows.select("k", "h", "p", F.size("w").cast("long").alias("n_words"), "own", F.when(enough, held).alias("held"), there.alias("there"))
+    any_phrase = "|".join(PHRASES)
+    first = F.regexp_extract("p", f"(?s)^(.*?)(?<= )(?:{any_phrase})(?= )", 1)
+    last = F.regexp_extract("p", f"(?s)^(.*)(?<= )(?:{any_phrase})(?= )", 1)
+    labels = F.array_compact(F.array(*(F.when(F.contains("p", F.lit(f" {p} ")), F.lit(x)) for p, x in PHRASES.items())))
+    rows = rows.select(
+        "k", "h", "n_words", "own", "held",
+        F.when(F.col("there"), F.regexp_count("p", F.lit(f"(?<= )(?:{any_phrase})(?= )"))).otherwise(0).cast("long").alias("n_base"),
+        F.when(F.col("there"), _spaces(first) - 1).cast("long").alias("first_word"),
+        F.when(F.col("there"), _spaces(last) - 1).cast("long").alias("last_word"),
+        F.when(F.col("there"), labels).otherwise(F.array().cast("array<string>")).alias("base"),
     )
+    rows = written(rows, "words")
+
+    counted = rows.select(F.explode("own").alias("x")).groupBy("x").count()
+    frequency = {r["x"]: r["count"] for r in counted.collect()}  # at most the templates' words
+    rank = {w: i for i, w in enumerate(sorted(vocabulary, key=lambda w: (frequency.get(w, 0), w)))}
+    index = []
+    for i, (label, words, need, wide) in enumerate(sets):
+        order = sorted(words, key=rank.__getitem__)
+        for at, word in enumerate(order[: len(order) - need + 1]):
+            index.append((word, i, label, at, len(order), need, order, wide))
+    prefixes = spark.createDataFrame(index, "word string, template int, label string, at int, n int, need int, words array<string>, wide int")
+    most = max(x[3] for x in sets)
+
+    some = rows.where("held is not null").select("k", "h", "held").distinct()
+    starts = F.filter("held", lambda s: F.array_contains(strings(sorted({x[0] for x in index})), s["word"]))
+    spots = some.select("k", "h", F.explode(F.transform(starts, lambda s: F.struct(s["at"].alias("at"), s["word"].alias("word"), F.filter("held", lambda x: F.abs(x["at"] - s["at"]) < most).alias("near")))).alias("s"))
+    pairs = spots.select("k", "h", F.col("s.at").alias("place"), "s.word", "s.near").join(F.broadcast(prefixes), "word")  # a few words a template
+    # the template's words that a block with this place can hold, in the order of rarity
+    near = F.filter("near", lambda x: (F.abs(x["at"] - F.col("place")) < F.col("wide")) & F.array_contains(F.col("words"), x["word"]))
+    pairs = pairs.withColumn("near", near)
+    pairs = pairs.withColumn("ordered", F.array_intersect("words", F.transform("near", lambda x: x["word"])))
+    before = F.array_position("ordered", F.col("word")) - 1
+    possible = F.least(F.col("n") - F.col("at"), F.size("ordered") - before) + F.least(F.col("at"), before)
+    pairs = pairs.where((F.size("ordered") >= F.col("need")) & (possible >= F.col("need")))
+    blocks = F.filter(F.transform("near", lambda x: x["at"]), lambda a: a <= F.col("place"))
+    in_block = lambda a: F.size(F.array_distinct(F.transform(F.filter("near", lambda x: (x["at"] >= a) & (x["at"] < a + F.col("wide"))), lambda x: x["word"])))
+    pairs = pairs.select("k", "h", "label", "n", "need", F.array_max(F.transform(blocks, in_block)).alias("most")).where(F.col("most") >= F.col("need"))
+    matched = pairs.groupBy("k", "h").agg(F.collect_set("label").alias("found"), F.max(F.col("most") / F.col("n")).alias("share"))
+
     m = matched.select(F.col("k").alias("mk"), F.col("h").alias("mh"), "found", "share")
-    out = base.join(m, F.col("k").eqNullSafe(F.col("mk")) & (F.col("h") == F.col("mh")), "left")
+    out = rows.join(m, F.col("k").eqNullSafe(F.col("mk")) & (F.col("h") == F.col("mh")), "left")
     return out.select(
         F.col("k").alias(key), "n_words", "n_base", "first_word", "last_word",
         F.array_join(F.array_sort(F.array_distinct("base")), ",").alias("base_labels"),

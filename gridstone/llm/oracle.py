@@ -50,9 +50,10 @@ def _license_scan() -> str:
 WITH d AS (SELECT doc_id, {_FOLD.format('text')} AS t, {_plain('text')} AS w FROM documents), p AS (SELECT * FROM (VALUES {phrases}) v(q, label)),
  ok AS (SELECT * FROM (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS k FROM d) JOIN p ON w[k] = q[1] AND w[k:k + len(q) - 1] = q),
  base AS (SELECT doc_id, count(*) AS n_base, min(k) - 1 AS first_word, max(k) - 1 AS last_word, string_agg(DISTINCT label, ',' ORDER BY label) AS base_labels FROM ok GROUP BY doc_id),
- tpl AS (SELECT label, list_distinct({_plain('body')}) AS s FROM (VALUES {templates}) v(label, body)),
- line AS (SELECT doc_id, list_distinct({_WORDS.format('line')}) AS own FROM (SELECT doc_id, unnest(string_split(t, chr(10))) AS line FROM d)),
- m AS (SELECT doc_id, label, len(list_intersect(s, own)) / len(s) AS share FROM line CROSS JOIN tpl WHERE len(list_intersect(s, own)) >= 0.8 * len(s) - 0.000000001),
+ tpl AS (SELECT label, list_distinct(tw) AS s, CAST(ceil(len(tw) / 0.8 - 0.000000001) AS BIGINT) AS wide FROM (SELECT label, {_plain('body')} AS tw FROM (VALUES {templates}) v(label, body))),
+ cand AS (SELECT doc_id, label, s, wide, w FROM d JOIN tpl ON len(list_intersect(s, w)) >= 0.8 * len(s) - 0.000000001),
+ block AS (SELECT doc_id, label, s, w[k:k + wide - 1] AS own FROM (SELECT *, unnest(range(1, len(w) + 1)) AS k FROM cand)),
+ m AS (SELECT doc_id, label, max(len(list_intersect(s, list_distinct(own))) / len(s)) AS share FROM block WHERE len(list_intersect(s, own)) >= 0.8 * len(s) - 0.000000001 GROUP BY doc_id, label),
  every AS (SELECT doc_id, label FROM m UNION SELECT doc_id, label FROM ok), names AS (SELECT doc_id, string_agg(label, ',' ORDER BY label) AS labels FROM every GROUP BY doc_id),
  best AS (SELECT doc_id, max(share) AS share FROM m GROUP BY doc_id)
 SELECT d.doc_id, len(w) AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word, coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels, CAST(CASE WHEN n_base > 0 THEN 1.0 ELSE coalesce(share, 0.0) END AS DOUBLE) AS score
