@@ -2,8 +2,10 @@
 
 The windows of the benchmark are hashed and broadcast; each task rolls the
 same hash over its documents, looks every window up, and compares the words of
-each hit before it counts.  No shuffle.  A benchmark above ``block_bytes`` goes
-in blocks of that size, each one further pass in the same stage.
+each hit before it counts.  No shuffle of documents.  Items are cut into
+segments, so that a long one is in several blocks, and repeated ones are taken
+once; a benchmark above ``block_bytes`` goes in blocks of about that size, each
+one further pass in the same stage.
 """
 
 from __future__ import annotations
@@ -16,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .state import bounded_batches
+from .state import bounded_batches, release, written
 from .textcore import PLAIN, U64, Slice, ngrams, slices
 
 _HITS = "hit_spans array<struct<start:int,end:int>>, hit_items array<string>"
@@ -76,6 +78,24 @@ def _merged(spans: list[tuple[int, int]]) -> list[dict[str, int]]:
     return out
 
 
+def _segments(n: int, words: int = 2048):
+    """id, t: runs of an item's words that begin ``words`` apart and share
+    n - 1 words, so each window is in one of them."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids, texts = [], []
+            for x, _, s in slices(batch.column(1), PLAIN):
+                for i in range(len(s.first) - 1):
+                    a, b = int(s.first[i]), int(s.first[i + 1])
+                    for start in range(a, max(a + 1, b - n + 1), words) if b > a else ():
+                        ids.append(batch.column(0)[x + i])
+                        texts.append(b" ".join(s.words(start, min(b, start + words + n - 1))).decode())
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.string()), pa.array(texts, pa.string())], ["id", "t"])
+
+    return run
+
+
 def find_contamination(docs: DataFrame, benchmark: DataFrame, n: int = 10, text: str = "text", item: str = "item_id", item_text: str = "text", block_bytes: int = 1 << 20) -> DataFrame:
     """``docs`` with n_words, hit_spans (merged, in words, end exclusive) and
     hit_items (distinct, sorted as strings).
@@ -90,9 +110,10 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, n: int = 10, text:
     """
     spark = docs.sparkSession
     bounded_batches(spark)
-    items = benchmark.select(F.col(item).cast("string").alias("id"), F.coalesce(F.col(item_text), F.lit("")).alias("t"))
-    size, longest = items.agg(F.coalesce(F.sum(F.octet_length("t")), F.lit(0)), F.coalesce(F.max(F.octet_length("t")), F.lit(0))).first()
-    blocks = max(1, -(-(size) // block_bytes))
+    items = benchmark.select(F.col(item).cast("string").alias("id"), F.col(item_text).alias("t")).mapInArrow(_segments(n), "id string, t string").distinct()
+    items = written(items, "benchmark")
+    size = items.agg(F.coalesce(F.sum(F.octet_length("t") + 1), F.lit(0))).first()[0]
+    blocks = max(1, -(-size // block_bytes))
     plain = docs.drop("n_words", "hit_spans", "hit_items")
     df = plain.select("*", F.lit(0).cast("long").alias("n_words"), F.lit(None).cast("array<struct<start:int,end:int>>").alias("hit_spans"), F.lit(None).cast("array<string>").alias("hit_items"))
     at = df.columns.index(text)
@@ -105,6 +126,7 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, n: int = 10, text:
 
 def _pass(sent, n: int, at: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         windows = Windows(sent.value, n)
         for batch in batches:
             for x, y, s in slices(batch.column(at), PLAIN):
