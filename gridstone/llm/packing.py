@@ -10,6 +10,7 @@ their length; rows never meet in one task.
 from __future__ import annotations
 
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,12 +27,12 @@ Bins = list[tuple[tuple[int, ...], int]]
 
 
 def dominance(counts: dict[int, int], capacity: int) -> tuple[Bins, dict[int, int]]:
-    """(bins fixed for good, what is left), by Martello and Toth's criterion.
+    """(bins fixed for good, what is left), by Martello and Toth's criterion:
+    an item is fixed with the set that dominates all it could stand with.
 
-    For the items in order of falling size, with k the most further items that
-    can join item j: k = 0 fixes {j}; with j* the largest item that fits
-    beside j, {j, j*} is fixed if it fills the bin or k = 1; for k = 2 also if
-    j* is at least as large as the best pair.  Repeated until nothing changes.
+    What makes a set dominate only gets stronger as items go, so as many equal
+    bins are fixed at once as the items last: each step uses up a size, and
+    there are as many steps as sizes, not as items.
     """
     left = {s: n for s, n in counts.items() if n}
     fixed: Bins = []
@@ -39,35 +40,52 @@ def dominance(counts: dict[int, int], capacity: int) -> tuple[Bins, dict[int, in
     while changed:
         changed = False
         for s in sorted(left, reverse=True):
-            while left.get(s):
-                room = capacity - s
-                own = [(t, left[t] - (t == s)) for t in sorted(left) if left[t] - (t == s) > 0 and t <= room]
-                if not own:
-                    fixed.append(((s,), left[s] if 2 * s > capacity or left[s] == 1 else 1))
-                    left[s] -= fixed[-1][1]
-                    changed = True
-                    continue
-                most, used = 0, 0
-                for t, n in own:
-                    take = min(n, (room - used) // t)
-                    most, used = most + take, used + take * t
-                    if take < n or most > 2:
-                        break
-                best = own[-1][0]
-                if not (best == room or most == 1 or most == 2 and best >= _best_pair(own, room)):
-                    break
-                # the smallest items decide k: fix one by one where they could run out
-                n = left[s] // 2 if best == s else min(left[s], left[best])
-                if best != room and n > 1 and (own[0][0] == best or own[0][1] <= n or len(own) < 3):
-                    n = 1
-                fixed.append(((s, best), n))
-                left[s] -= n
-                left[best] -= n
+            while left.get(s) and (chosen := _dominating(s, left, capacity)):
+                need = Counter(chosen)
+                n = min(left[t] // m for t, m in need.items())
+                fixed.append((chosen, n))
+                for t, m in need.items():
+                    left[t] -= n * m
                 changed = True
-            left = {t: n for t, n in left.items() if n}
+        left = {t: n for t, n in left.items() if n}
     return fixed, left
 
 
+def _dominating(s: int, left: dict[int, int], capacity: int) -> tuple[int, ...] | None:
+    """The items of the bin that dominates all bins with an item of size s.
+
+    k: the most further items that fit beside it; first: the largest that does.
+    k = 0: s alone.  s and first, if they fill the bin, if k = 1, or if k = 2
+    and first is as large as any two that fit.  s, first and second, if k = 2,
+    second is the largest that fits beside both, and no two that are larger
+    than second fit: then of any two one is at most first, the other at most
+    second.
+    """
+    room = capacity - s
+    own = [(t, left[t] - (t == s)) for t in sorted(left) if left[t] > (t == s) and t <= room]
+    if not own:
+        return (s,)
+    first = own[-1][0]
+    k, used = 0, 0
+    for t, n in own:
+        take = min(n, (room - used) // t)
+        k, used = k + take, used + take * t
+        if take < n or k > 2:
+            break
+    if first == room or k == 1:
+        return s, first
+    if k > 2:
+        return None
+    if first >= _best_pair(own, room):
+        return s, first
+    rest = [(t, n - (t == first)) for t, n in own if n > (t == first)]
+    second = max((t for t, _ in rest if t <= room - first), default=None)
+    if second is None:
+        return None
+    larger = [t for t, n in rest if t > second for _ in range(min(n, 2))][:2]
+    return (s, first, second) if len(larger) < 2 or sum(larger) > room else None
+
+
 def _best_pair(own: list[tuple[int, int]], room: int) -> int:
     """The largest sum of two of the items within ``room``; 0 if none fits."""
     best, have = 0, dict(own)
@@ -155,7 +173,7 @@ def pack_documents(docs: DataFrame, tokenizer: str, capacity: int = 1024, end_id
     bounded_batches(docs.sparkSession)
     pieces = written(cut_pieces(docs, tokenizer, capacity, end_id, key, text, with_ids), "pieces")
     counts = {r["length"]: r["count"] for r in pieces.groupBy("length").count().collect()}  # at most ``capacity`` rows
-    lanes = n_parts(docs.sparkSession)
+    lanes = n_parts(docs.sparkSession, pieces)
     numbered = gapless(pieces, "length", [key, "piece", "ids_crc32"], "rank", lanes)
     slots: dict[int, list[tuple[int, int, int, int]]] = {}
     used: dict[int, int] = {}
