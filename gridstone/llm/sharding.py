@@ -13,6 +13,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from .state import n_parts
+
 
 def rendezvous(key: Column, weights: Sequence[float]) -> Column:
     """Shard number (0 to len(weights)-1) that owns ``key``.
@@ -47,15 +49,17 @@ def gapless(df: DataFrame, group: str, order: Sequence[str], name: str, lanes: i
     return joined.withColumn(name, F.col(name) + F.col(shift)).drop(lane, shift, "__g", "__l")
 
 
-def shard_documents(docs: DataFrame, weights: Sequence[float], key: str = "doc_id", text: str = "text", lanes: int = 64) -> DataFrame:
+def shard_documents(docs: DataFrame, weights: Sequence[float], key: str = "doc_id", text: str = "text", lanes: int | None = None) -> DataFrame:
     """key, size, text_crc32, law, shard, slot, grown_shard of each row.
 
     size: UTF-8 bytes plus 8 (a null text has none); law: always ``key``;
     slot: gapless from 0 in each shard; grown_shard: the shard if one more, of
     the mean weight, stood beside the others.  Equal keys share a shard, rows
     repeated whole get slots of their own, an empty table gives no rows, and
-    other columns of ``docs`` are not read.
+    other columns of ``docs`` are not read.  lanes: how many tasks number a
+    shard's slots, by default as the bytes of the texts ask for.
     """
+    lanes = lanes or n_parts(docs.sparkSession, docs.select(key, text), 64 << 20)
     more = [*weights, sum(weights) / len(weights)]
     rows = docs.select(
         F.col(key),
