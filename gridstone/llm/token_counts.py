@@ -68,7 +68,7 @@ def _common(text: str, at: int, ids: list[int], starts: list[int], begin: int, n
     return None
 
 
-def count_tokens(docs: DataFrame, tokenizer: str, limit: int = 1024, key: str = "doc_id", text: str = "text", huge: int = 65536, chunk: int = 16384, overlap: int = 256) -> DataFrame:
+def count_tokens(docs: DataFrame, tokenizer: str, limit: int = 1024, key: str = "doc_id", text: str = "text", huge: int = 8192, chunk: int = 8192, overlap: int = 256) -> DataFrame:
     """key, n_bytes, n_tokens, over_limit of each row.
 
     Counts are the library's for the whole text, without added special tokens;
