@@ -393,6 +393,23 @@ def test_packing(docs, pairs, capacity, library):
     assert n <= 1.1 * sum(map(len, ids.values())) / capacity + 1
 
 
+def test_benchmark_segments_hold_every_window_once(spark):
+    rng = random.Random(2)
+    for n, size in ((10, 4), (3, 7), (1, 1)):
+        texts = [" ".join(f"w{rng.randint(0, 50)}" for _ in range(rng.choice([0, 1, n - 1, n, n + 1, 40]))) for _ in range(30)]
+        batch = pa.RecordBatch.from_arrays([pa.array([str(i) for i in range(30)]), pa.array(texts)], ["id", "t"])
+        got = collections.Counter()
+        for out in decontaminate._segments(n, size)([batch]):
+            for i, t in zip(*(c.to_pylist() for c in out.columns), strict=True):
+                w = t.split()
+                got.update((i, tuple(w[k : k + min(n, len(w))])) for k in range(max(1, len(w) - n + 1)))
+        want = collections.Counter()
+        for i, t in enumerate(texts):
+            w = t.split()
+            want.update((str(i), tuple(w[k : k + min(n, len(w))])) for k in range(max(1, len(w) - n + 1)) if w)
+        assert got == want
+
+
 def test_packing_odd_cases(odd, empty):
     got = packing.pack_documents(odd, BPE).collect()
     assert len(got) == 6 and packing.pack_documents(empty, BPE).count() == 0
@@ -422,19 +439,48 @@ def optimum(sizes, capacity):
 
 def test_dominance_never_costs_a_bin():
     rng = random.Random(7)
-    for _ in range(150):
+    triples = 0
+    for _ in range(1500):
         capacity = rng.randint(8, 20)
         sizes = sorted((rng.randint(1, capacity) for _ in range(rng.randint(1, 8))), reverse=True)
         counts = collections.Counter(sizes)
         fixed, left = packing.dominance(dict(counts), capacity)
         used = collections.Counter(s for c, n in fixed for s in c for _ in range(n))
         assert used + collections.Counter(left) == counts and all(sum(c) <= capacity for c, _ in fixed)
+        triples += any(len(c) == 3 for c, _ in fixed)
         rest = [s for s, n in sorted(left.items(), reverse=True) for _ in range(n)]
         assert sum(n for _, n in fixed) + optimum(rest, capacity) == optimum(sizes, capacity)
         plan = packing.plan(dict(counts), capacity)
         assert collections.Counter(s for c, n in plan for s in c for _ in range(n)) == counts and all(sum(c) <= capacity for c, _ in plan)
 
 
+    assert triples > 5
+
+
+def test_dominance_takes_as_many_steps_as_sizes():
+    for counts in ({1000: 10**9, 20: 10**9}, {1000: 10**9, 24: 10**9 + 1, 900: 7, 100: 3 * 10**9}, {s: 10**8 + s for s in range(1, 1025)}):
+        plan = packing.plan(dict(counts), 1024)
+        held = collections.Counter()
+        for c, n in plan:
+            assert sum(c) <= 1024
+            for s in c:
+                held[s] += n
+        assert held == counts and len(plan) <= 8 * len(counts)
+
+
+def test_vocabularies_without_provable_cuts_are_refused(tmp_path):
+    import json
+
+    with open(BPE, encoding="utf-8") as f:
+        made = json.load(f)
+    encoding.supported(BPE)
+    token = made["added_tokens"][0]
+    for change in ({"normalizer": {"type": "NFC"}}, {"pre_tokenizer": {"type": "Whitespace"}}, {"added_tokens": [token | {"content": "<a b>"}]}, {"added_tokens": [token | {"content": "a.b"}]}, {"added_tokens": [token | {"lstrip": True}]}):
+        (tmp_path / "v.json").write_text(json.dumps(made | change))
+        with pytest.raises(ValueError):
+            encoding.supported(str(tmp_path / "v.json"))
+
+
 def test_sharding(docs, pairs, odd, empty):
     got = {r["doc_id"]: r for r in sharding.shard_documents(docs, [1.0] * 24).collect()}
     for i, t in pairs:
