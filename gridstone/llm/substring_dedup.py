@@ -76,6 +76,8 @@ def _anchored(s: Slice, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray
 
 
 def _parts(hashes: np.ndarray, n: int) -> np.ndarray:
+    """Equal shares of evenly spread hashes; those of anchors are least ones of
+    many, and want mixing first."""
     return ((hashes >> U64(32)) * U64(n) >> U64(32)).astype(np.int32)
 
 
@@ -158,7 +160,10 @@ def _anchor_pass(length: int, n: int):
             often = np.diff(np.append(first, len(a)))
             local = np.repeat(often > 1, often)
             yield from _known(d[local], p[local], n)
-            yield from _send(TREE, _parts(a[first], n), [a[first], often.astype(np.uint32), None, d[first], p[first]])
+            parts = _parts(mix(a[first]), n)
+            order = np.argsort(parts, kind="stable")
+            first, often = first[order], often[order]
+            yield from _send(TREE, parts[order], [a[first], often.astype(np.uint32), None, d[first], p[first]])
 
         for batch in batches:
             ids = batch.column(0).fill_null(-1).to_numpy(zero_copy_only=False)
@@ -247,7 +252,7 @@ def _suffix_pass(length: int, n: int, long):
             if len(i):
                 first = np.flatnonzero(np.append(True, (start[i][1:] != start[i][:-1] + 1) | (anchor[i][1:] != anchor[i][:-1])))
                 often = np.diff(np.append(first, len(i)))
-                parts = _parts(value[i[first]], n)
+                parts = _parts(mix(value[i[first]]), n)
                 order = np.argsort(parts, kind="stable")
                 first, often = first[order], often[order]
                 check = (c[i[_ranges(first, often)]] >> U64(32)).astype(np.uint32)
