@@ -49,8 +49,9 @@ _GROUP = re.compile(r"[\s]+([0-9+().,/-]*[0-9][0-9+().,/-]*)(?=\s|$)")
 _TRIM = ".,;:!?\"'`()[]{}<>|*#$%&="
 #: Patterns that each task may hold as a broadcast table; more are joined instead, with equal results.
 BLOCK = 200_000
-#: Bits of the filter that stands for any number of patterns or instances; what passes is joined exactly.
-FILTER_BITS = 26
+#: Least and most bits (8 MiB) of the filter that stands for any number of
+#: patterns or instances; what passes is joined exactly.
+LEAST_BITS, MOST_BITS = 16, 26
 _SPAN = "array<struct<kind:string,start:int,end:int,base:boolean>>"
 Span = tuple[str, int, int]
 
@@ -189,7 +190,7 @@ def _flagged(s: Slice) -> np.ndarray:
 
 _EDGES = "pattern long, k int, instance long, first long, kind int, plain boolean"
 _EDGE_TYPES = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.bool_()]
-SOME_MENTIONS = 1 << 20
+SOME_MENTIONS = 1 << 18
 
 
 def _edges(docs: DataFrame, text: str, wanted: Callable[[_Lines], np.ndarray] | None) -> DataFrame:
@@ -230,13 +231,15 @@ def _edges(docs: DataFrame, text: str, wanted: Callable[[_Lines], np.ndarray] |
 
 
 def _filter(df: DataFrame, column: str) -> np.ndarray:
-    """A filter of 2**FILTER_BITS bits (8 MiB) over a column of longs, however
-    many: its words are made in Spark, at most 2**20 come to the driver."""
+    """A filter over a column of longs, however many: about 64 bits a value, up
+    to 2**MOST_BITS.  Its words are made in Spark; at most 2**20 of them come
+    to the driver."""
+    bits = min(MOST_BITS, max(LEAST_BITS, (64 * df.count()).bit_length()))
     spread = F.xxhash64(column)
-    word = spread.bitwiseAND(F.lit((1 << (FILTER_BITS - 6)) - 1)).alias("word")
+    word = spread.bitwiseAND(F.lit((1 << (bits - 6)) - 1)).alias("word")
     bit = F.expr("shiftleft(1L, cast(shiftrightunsigned(spread, 58) as int))")
     rows = df.select(spread.alias("spread"), word).groupBy("word").agg(F.bit_or(bit).alias("bits"))
-    out = np.zeros(1 << (FILTER_BITS - 6), np.int64)
+    out = np.zeros(1 << (bits - 6), np.int64)
     for r in rows.toLocalIterator():
         out[r["word"]] = r["bits"]
     return out

@@ -7,6 +7,7 @@ import tempfile
 import uuid
 from collections.abc import Callable
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -24,9 +25,21 @@ def held(name: object, make: Callable[[], object]) -> object:
     return _held[name]
 
 
+_small: list[dict] = []
+
+
+def kept_small(table: dict) -> dict:
+    """``table``, a cache that is quickly made anew, to be emptied by release()."""
+    _small.append(table)
+    return table
+
+
 def release() -> None:
     """Let go what another operator's task left in this worker."""
     _held.clear()
+    for table in _small:
+        table.clear()
+    pa.default_memory_pool().release_unused()
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -80,10 +93,11 @@ def n_parts(spark: SparkSession, df: DataFrame | None = None, bytes_each: int =
     return max(base, min(size // bytes_each, 1_000_000))
 
 
-def bounded_batches(spark: SparkSession, most: int = 512) -> None:
-    """Let Arrow batches hold at most ``most`` rows in this session: texts can
-    be long, and a batch is in memory whole, on either side."""
-    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    now = int(spark.conf.get(name))
-    if now <= 0 or now > most:
-        spark.conf.set(name, str(most))
+def bounded_batches(spark: SparkSession, most: int = 512, most_bytes: int = 8 << 20) -> None:
+    """Let Arrow batches hold at most ``most`` rows, and about ``most_bytes``,
+    in this session: texts can be long, and a batch is in memory whole, on
+    either side."""
+    for name, least in (("spark.sql.execution.arrow.maxRecordsPerBatch", most), ("spark.sql.execution.arrow.maxBytesPerBatch", most_bytes)):
+        now = int(spark.conf.get(name).rstrip("b"))
+        if now <= 0 or now > least:
+            spark.conf.set(name, str(least))

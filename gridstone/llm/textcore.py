@@ -11,11 +11,13 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
+from .state import kept_small
+
 U64 = np.uint64
 _B = U64(0x9E3779B97F4A7C15)
 _Q = U64(0xC2B2AE3D27D4EB4F)
 _Q2 = U64(0x165667B19E3779F9)
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 18
 
 
 def _table(word: list[tuple[int, int]], lower: bool) -> tuple[np.ndarray, np.ndarray]:
@@ -36,7 +38,7 @@ SPACED_LOWER = _table([(0, 8), (14, 31), (33, 255)], True)
 #: A-Z lower-cased, then [^\x00-\x2F\x3A-\x60\x7B-\x7F]+
 PLAIN = _table([(0x30, 0x39), (0x41, 0x5A), (0x61, 0x7A), (0x80, 0xFF)], True)
 
-_powers: dict[int, np.ndarray] = {}
+_powers: dict[int, np.ndarray] = kept_small({})
 
 
 def _pow(base: np.uint64, n: int) -> np.ndarray:
