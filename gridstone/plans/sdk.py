@@ -65,6 +65,58 @@ class Dataset:
             raise LookupError(f"{len(got)} records of {channel}")
         return got[0]
 
+    def check_keys(self) -> None:
+        """Raise unless every table's tokens are there and unique."""
+        for name, df in self._tables.items():
+            if "token" in df.columns:
+                require(df.groupBy("token").count(), F.col("token").isNotNull() & (F.col("count") == 1), f"tokens of {name}")
+
+    def ego_pose(self, sample_data_token: str) -> Row:
+        """The pose that one record refers to."""
+        return self.get("ego_pose", self.get("sample_data", sample_data_token)["ego_pose_token"])
+
+    def record_poses(self) -> DataFrame:
+        """Every record's token with its pose, as one join."""
+        pose = self.table("ego_pose")
+        return self.table("sample_data").select(F.col("token").alias("sample_data_token"), "ego_pose_token").join(pose.withColumnRenamed("token", "ego_pose_token"), "ego_pose_token")
+
+    def annotation(self, kind: str, token: str | None = None) -> DataFrame | Row:
+        """Annotation records, matches (by annotation_token), windows or
+        scenes; with a token its only row."""
+        name = f"annotation_{kind}"
+        return self.table(name) if token is None else self.one(name, F.col("annotation_token" if kind == "matches" else "token") == token)
+
+    def scene_evidence(self) -> tuple[DataFrame, DataFrame]:
+        """(scene, records, matches and window of each scene summary; findings).
+
+        Findings (code, subject): references given twice or not found, a window
+        whose tokens are not exactly the scene's, evidence of another source.
+        """
+        scenes = self.table("annotation_scenes")
+        refs = scenes.select("scene_token", "source_digest", F.posexplode("annotation_refs").alias("place", "token"))
+        rec = self.table("annotation_records").select("token", F.col("source_digest").alias("rd"), F.lit(True).alias("r"))
+        mat = self.table("annotation_matches").select(F.col("annotation_token").alias("token"), F.col("source_digest").alias("md"), F.lit(True).alias("m"))
+        seen = refs.join(rec, "token", "left").join(mat, "token", "left")
+        win = self.table("annotation_windows").select(F.col("token").alias("annotation_window_ref"), F.col("annotation_tokens"), F.col("source_digest").alias("wd"))
+        held = scenes.join(win, "annotation_window_ref", "left")
+        named = F.coalesce(F.col("annotation_window_ref"), F.lit("")) != ""
+        faults = [
+            (scenes, F.size(F.array_distinct("annotation_refs")) != F.size("annotation_refs"), "reference_repeated", "scene_token"),
+            (seen, F.col("r").isNull(), "record_missing", "token"),
+            (seen, F.col("m").isNull(), "match_missing", "token"),
+            (seen, (F.col("rd") != F.col("source_digest")) | (F.col("md") != F.col("source_digest")), "source_differs", "token"),
+            (held, named & F.col("annotation_tokens").isNull(), "window_missing", "scene_token"),
+            (held, named & (F.col("annotation_tokens") != F.col("annotation_refs")), "window_tokens_differ", "scene_token"),
+            (held, named & (F.col("wd") != F.col("source_digest")), "window_source_differs", "scene_token"),
+        ]
+        found: DataFrame | None = None
+        for df, wrong, code, subject in faults:
+            own = df.where(wrong).select(F.lit(code).alias("code"), F.col(subject).cast("string").alias("subject"))
+            found = own if found is None else found.unionByName(own)
+        members = seen.groupBy("scene_token").agg(F.count("r").alias("records"), F.count("m").alias("matches"))
+        out = held.select("scene_token", "source_digest", "annotation_window_ref").join(members, "scene_token", "left").na.fill(0, ["records", "matches"])
+        return out, found.distinct()
+
     def inspect(self) -> DataFrame:
         """name and n of each table."""
         out: DataFrame | None = None

@@ -95,6 +95,32 @@ def publish(spark: SparkSession, staging: str, target: str, manifest: DataFrame)
         raise OSError(f"could not rename {staging} to {target}")
 
 
+def write_export(tables: dict[str, DataFrame], root: str) -> None:
+    """Each table as a JSON array sorted by token, below ``root``."""
+    for name in sorted(tables):
+        write_json_table(tables[name], f"{root.rstrip('/')}/{name}.json", ["token"])
+
+
+def write_split(assignments: DataFrame, path: str, seed: int, fraction: str, order: Sequence[str]) -> None:
+    """The split of selected scenes as one JSON object with its parameters."""
+    rows = [r.asDict(recursive=True) for r in assignments.orderBy(*order).toLocalIterator()]  # selected scenes: bounded by the quotas
+    write_text(assignments.sparkSession, path, canonical_json({"assignments": rows, "fraction": fraction, "seed": seed}) + "\n")
+
+
+def finalize(spark: SparkSession, staging: str, target: str, findings: DataFrame, report: str = "validation.json") -> str:
+    """Publish a staged dataset: no findings, a report, a manifest of its files
+    that they still equal, and one rename.  Returns the manifest's hash."""
+    some = findings.limit(5).collect()
+    if some:
+        raise ValueError(f"findings: {[tuple(r) for r in some]}")
+    write_text(spark, f"{staging.rstrip('/')}/{report}", canonical_json({"findings": [], "valid": True}) + "\n")
+    manifest = content_manifest(spark, staging)
+    rows = [(r["path"], r["size"], r["sha256"]) for r in manifest.orderBy("path").collect()]  # one row a file
+    fixed = spark.createDataFrame(rows, "path string, size long, sha256 string")
+    publish(spark, staging, target, fixed)
+    return manifest_root(fixed)
+
+
 def recording_gate(outcomes: DataFrame, key: str, status: str) -> tuple[bool, DataFrame]:
     """(may it be published, the recordings that failed)."""
     failed = outcomes.where(F.col(status) != "ok").select(key, status)
