@@ -11,8 +11,9 @@ The sample is the pair (word, t) of the word with the least a.  Two documents
 agree in a sample with probability sum(min) / sum(max) of their weights, the
 generalised Jaccard similarity.  DataFrame expressions only.
 
-The next document is found without one task for all: ids are cut at bounded
-quantiles into buckets, each bucket also gets the last rows of the one before.
+The next document is found without one task for all: keys are cut at quantiles
+into buckets of a bounded size, each bucket also gets the last rows of the one
+before.
 """
 
 from __future__ import annotations
@@ -24,9 +25,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .state import n_parts
+from .state import n_parts, ordered_ids
 
 LANES = 4
+BUCKET_BYTES, MOST_BUCKETS = 2 << 20, 10_000
 LEVELS = 1024
 _BITS, _FINE = 28, 26
 
@@ -83,9 +85,16 @@ def _buckets(ids: DataFrame, n: int) -> tuple[list[float], dict[int, int]]:
 
 
 def _bucket(k: Column, bounds: list[float]) -> Column:
+    """How many bounds are at most k: first among every m-th, then among the m
+    behind that one, m the root of their number."""
     if not bounds:
         return F.lit(0)
-    return F.size(F.filter(F.array(*map(F.lit, bounds)), lambda b: b <= k))
+    m = math.isqrt(len(bounds)) + 1
+    groups = [bounds[i : i + m] for i in range(0, len(bounds), m)]
+    below = lambda array: F.size(F.filter(array, lambda b: b <= k))
+    group = below(_constant([g[0] for g in groups]))
+    inside = F.get(F.from_json(F.lit(json.dumps(groups)), "array<array<double>>"), group - 1)
+    return F.when(group == 0, 0).otherwise((group - 1) * m + below(inside))
 
 
 def fingerprint_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", samples: int = 32) -> DataFrame:
@@ -96,7 +105,8 @@ def fingerprint_documents(docs: DataFrame, key: str = "doc_id", text: str = "tex
     replaced by the first as many (or all) of the next document's, in falling
     order of key, after the last the first.  near_*: share of equal samples.
 
-    A null text is empty; texts without words are alike.  Rows with a null key
+    A key may be of any type that has an order.  A null text is empty; texts
+    without words are alike.  Rows with a null key
     have no place in the order and are left out.  Rows of one key stand in the
     order of a hash of their text; rows repeated whole get a row each.  One
     row alone is its own next.  An empty table gives no rows; other columns
@@ -104,8 +114,10 @@ def fingerprint_documents(docs: DataFrame, key: str = "doc_id", text: str = "tex
     """
     if samples % LANES:
         raise ValueError(f"samples must be a multiple of {LANES}")
-    rows = docs.select(F.col(key).cast("long").alias("k"), F.coalesce(F.col(text), F.lit("")).alias("t")).where(F.col("k").isNotNull())
-    bounds, last = _buckets(rows.select("k"), 4 * n_parts(docs.sparkSession))
+    spark = docs.sparkSession
+    rows, names = ordered_ids(docs.select(F.col(key).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("t")), "key", "k")
+    rows = rows.where(F.col("k").isNotNull())
+    bounds, last = _buckets(rows.select("k"), min(MOST_BUCKETS, n_parts(spark, docs.select(text), BUCKET_BYTES)))
     here = rows.withColumn("bucket", _bucket(F.col("k"), bounds)).withColumn("own", F.lit(True))
     order = sorted(last)
     before = {b: last[order[i - 1]] for i, b in enumerate(order)}  # the id just below a bucket, around the end
@@ -127,11 +139,12 @@ def fingerprint_documents(docs: DataFrame, key: str = "doc_id", text: str = "tex
     log_factor = _constant([math.log(x / math.sqrt((i + 0.5) / LEVELS)) for i, x in enumerate(quantiles)])
     drawn = rounds.select("bucket", "rn", "side", "round", *(_sample(F.col("word"), F.col("lw"), F.col("round") * LANES + j, gamma, log_factor).alias(f"s{j}") for j in range(LANES)))
     least = drawn.groupBy("bucket", "rn", "side", "round").agg(*(F.min(f"s{j}").alias(f"s{j}") for j in range(LANES)))
-    digits = F.concat(*(F.lpad(F.hex(F.col(f"s{j}").bitwiseAND(F.lit((1 << _BITS) - 1))), 7, "0") for j in range(LANES)))
-    pieces = least.select("bucket", "rn", "side", "round", digits.alias("d"))
+    hexed = lambda c: F.lpad(F.hex(c.bitwiseAND(F.lit((1 << _BITS) - 1))), 7, "0")
     size = 7 * LANES
-    joined = lambda side: F.concat(*(F.max(F.when((F.col("side") == side) & (F.col("round") == i), F.col("d"))) for i in range(samples // LANES)))
-    prints = pieces.groupBy("bucket", "rn").agg(joined(0).alias("fingerprint"), joined(1).alias("edited_fingerprint"))
+    places = [(side, i, j) for side in (0, 1) for i in range(samples // LANES) for j in range(LANES)]
+    prints = least.groupBy("bucket", "rn").agg(*(F.max(F.when((F.col("side") == side) & (F.col("round") == i), F.col(f"s{j}"))).alias(f"p{side}_{i}_{j}") for side, i, j in places))
+    joined = lambda side: F.concat(*(hexed(F.col(f"p{s}_{i}_{j}")) for s, i, j in places if s == side))
+    prints = prints.select("bucket", "rn", joined(0).alias("fingerprint"), joined(1).alias("edited_fingerprint"))
     prints = prints.withColumn("next_print", F.lag("fingerprint").over(Window.partitionBy("bucket").orderBy("rn")))
 
     def near(a: str, b: str) -> Column:
@@ -143,4 +156,6 @@ def fingerprint_documents(docs: DataFrame, key: str = "doc_id", text: str = "tex
 
     prints = prints.select("bucket", "rn", "fingerprint", "edited_fingerprint", near("fingerprint", "edited_fingerprint").alias("near_edited"), near("fingerprint", "next_print").alias("near_next"))
     facts = placed.where("own").select("bucket", "rn", "k", "n_chars", F.sha2("edited", 256).alias("edited_sha256"))
-    return facts.join(prints, ["bucket", "rn"]).select(F.col("k").alias(key), "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next")
+    facts = facts.join(prints, ["bucket", "rn"])
+    facts = facts.withColumn("key", F.col("k").cast(docs.schema[key].dataType)) if names is None else facts.join(names, "k")
+    return facts.select(F.col("key").alias(key), "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next")

@@ -207,6 +207,19 @@ def test_decontamination_odd_cases(spark, odd, empty):
     assert decontaminate.find_contamination(empty, none).count() == 0
 
 
+def test_fingerprints_take_any_ordered_key(spark, docs):
+    plain = rows(weighted_sampling.fingerprint_documents(docs))
+    named = docs.withColumn("doc_id", F.concat(F.lit("d"), F.lpad(F.col("doc_id").cast("string"), 9, "0")))
+    got = weighted_sampling.fingerprint_documents(named).withColumn("doc_id", F.substring("doc_id", 2, 9).cast("long"))
+    assert rows(got) == plain
+
+
+def test_buckets_are_counted_among_bounds(spark):
+    bounds = sorted(random.Random(3).sample(range(1000), 57))
+    df = spark.range(0, 1000).withColumn("b", weighted_sampling._bucket(F.col("id"), [float(b) for b in bounds]))
+    assert all(r["b"] == sum(x <= r["id"] for x in bounds) for r in df.collect())
+
+
 def brute_base(t):
     out = [("email", m.start(), m.end()) for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", t)]
     out += [("ip", m.start(), m.end()) for m in re.finditer(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", t) if all(int(p) <= 255 for p in m[0].split("."))]
