@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 
 from ..functions import identity
 from ..operators import graph, runs, selection, validity
-from ..sources import control
+from ..sinks import recordings as files_out
+from ..sources import control, recordings
 from . import config
 from .queries import _EV, _SELECT, DAY, HOUR, NAMESPACE, SEED, _rules, _selected, events, query, scene_rows, table
 from .sdk import Dataset
@@ -304,3 +305,21 @@ def source_fingerprints(spark, sf_dir):
     u = table(spark, sf_dir, "events").select("user_id").distinct()
     path = F.concat(F.lit("r/"), F.col("user_id").cast("string"))
     return u.select("user_id", config.source_digest(digest_kind="user", repo_path=path).alias("digest"), config.locator(F.when(F.col("user_id") % 2 == 0, path), F.col("user_id").cast("string")).alias("locator"))
+
+
+@query(f"""WITH {_EV} SELECT user_id, event_type AS topic, event_id AS sequence, ts_ns AS log_time, row_number() OVER (PARTITION BY user_id ORDER BY ts_ns, event_id) - 1 AS position, strlen(props) AS size FROM ev WHERE event_type <> 'view'""")
+def recording_index(spark, sf_dir):
+    """Events written as one container a user, and its index without payloads read back."""
+    ev = events(spark, sf_dir)
+    kinds = [r[0] for r in ev.select("event_type").distinct().orderBy("event_type").collect()]
+    rows = ev.select("user_id", F.col("event_type").alias("topic"), F.col("event_id").alias("sequence"), F.col("ts_ns").alias("time"), F.encode("props", "utf-8").alias("data"))
+    boxes = files_out.containers(rows, "user_id", {k: (f"kit.{k}", b"") for k in kinds})
+    found = recordings.read_messages(boxes, [k for k in kinds if k != "view"], key="user_id")
+    return found.select("user_id", "topic", "sequence", "log_time", "position", "size")
+
+
+@query("SELECT DISTINCT l_orderkey, l_linenumber, CASE WHEN l_orderkey % 3 = 0 THEN 'frame_missing' ELSE 'size_differs' END AS fault FROM lineitem WHERE l_orderkey % 3 = 0 OR l_linenumber = 2")
+def frame_evidence(spark, sf_dir):
+    labels = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", F.lit(4).alias("width"), F.lit(3).alias("height"))
+    frames = labels.where("l_orderkey % 3 <> 0").withColumn("width", F.when(F.col("l_linenumber") == 2, 5).otherwise(4)).distinct()
+    return recordings.frame_evidence(labels.distinct(), frames, ["l_orderkey", "l_linenumber"])
