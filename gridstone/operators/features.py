@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -30,8 +30,9 @@ def segments(df: DataFrame, scene: Sequence[str], ts: str, x: str, y: str, headi
     })
 
 
-def scene_features(segmented: DataFrame, scene: Sequence[str], ts: str) -> DataFrame:
-    """One row a scene; all metrics 0 where it has no segment.
+def scene_features(segmented: DataFrame, scene: Sequence[str], ts: str, extra: Mapping[str, Column] | None = None) -> DataFrame:
+    """One row a scene; all metrics 0 where it has no segment; ``extra``
+    aggregates beside them, in the same pass.
 
     mean_speed is the mean of the segments' speeds; time_weighted_speed is
     distance over duration.
@@ -46,6 +47,7 @@ def scene_features(segmented: DataFrame, scene: Sequence[str], ts: str) -> DataF
         F.count_if("stopping").alias("stopping_count"), F.count_if("starting").alias("starting_count"),
         zero(F.sum(F.when(F.col("stationary"), F.col("dt")))).alias("stationary_s"), F.count_if(~F.col("stationary")).alias("moving_segments"),
         zero(F.sum("turn")).alias("net_turn"), zero(F.sum(F.abs("turn"))).alias("total_turn"),
+        *(c.alias(n) for n, c in (extra or {}).items()),
     )
     weighted = F.when(F.col("duration_s") > 0, F.try_divide("total_distance", "duration_s")).otherwise(0.0)
     # a scene's share of valid samples is a declared feature that is 1 by definition

@@ -4,9 +4,11 @@ fingerprints, hashes and the schema of a configuration file."""
 from __future__ import annotations
 
 import hashlib
+import re
 from collections.abc import Mapping, Sequence
 from decimal import Decimal
 from typing import Any
+from urllib.parse import parse_qsl, urlsplit
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -19,6 +21,22 @@ TEMPLATES = (
     ("Straight", ("straight", "moving")), ("Stopping", ("stopping",)), ("Left Turn", ("left_turn",)), ("Right Turn", ("right_turn",)),
     ("Left Curvature", ("left_curvature",)), ("Right Curvature", ("right_curvature",)),
 )
+#: Names of fields that hold credentials, in letters and digits alone, endings
+#: that tell them, and marks of secret values: fixed values.
+SECRET_NAMES = (
+    "accesstoken", "accountkey", "apikey", "auth", "authentication", "authorization", "authtoken", "bearertoken", "clientsecret", "connectionstring",
+    "credential", "credentials", "idtoken", "key", "passwd", "password", "privatekey", "refreshtoken", "sastoken", "secret", "secretkey", "sharedaccesskey",
+    "signingkey", "storagekey", "token",
+)
+SECRET_ENDINGS = (
+    "accesskey", "accountkey", "apikey", "clientkey", "credential", "credentials", "encryptionkey", "passwd", "password", "privatekey", "secret", "secretkey",
+    "signingkey", "storagekey", "token",
+)
+SECRET_MARKS = ("accountkey=", "api_key=", "client_secret=", "sharedaccesssignature=", "-----begin private key-----")
+SECRET_QUERIES = (*SECRET_NAMES, "sig", "signature")
+_JWT = re.compile(r"(?<![\w-])eyJ[\w-]{5,}(?:\.[\w-]{5,}){2}(?![\w-])", re.ASCII)
+_OPAQUE = re.compile(r"bearer[ \t]+[\w.~+/-]{32,}=*", re.ASCII | re.IGNORECASE)
+_ISSUED = re.compile(r"sk-[\w-]{20,}", re.ASCII)
 _JSON_KINDS = {str: "string", int: "integer", float: "number", bool: "boolean", list: "array", dict: "object"}
 
 
@@ -46,6 +64,30 @@ def locator(repo_path: Column, recording_id: Column) -> Column:
     return F.coalesce(repo_path, recording_id)
 
 
+def _bare(name: object) -> str:
+    return "".join(c for c in str(name).lower() if c.isascii() and c.isalnum())
+
+
+def credential_findings(value: object, at: str = "config", paths: Sequence[str] = ()) -> list[str]:
+    """Places in a configuration where a key names a credential, or a text
+    looks like one: marked, in a URL's query, a web token or a bearer's.
+    paths: places of file paths, where a bearer's shape proves nothing."""
+    if isinstance(value, Mapping):
+        named = [f"{at}.{k}" for k in value if _bare(k) in SECRET_NAMES or _bare(k).endswith(SECRET_ENDINGS)]
+        return named + [f for k, v in value.items() if f"{at}.{k}" not in named for f in credential_findings(v, f"{at}.{k}", paths)]
+    if isinstance(value, list | tuple):
+        return [f for i, v in enumerate(value) for f in credential_findings(v, f"{at}[{i}]", paths)]
+    if not isinstance(value, str):
+        return []
+    told = any(m in value.lower() for m in SECRET_MARKS) or bool(_JWT.search(value)) or bool(_ISSUED.fullmatch(value))
+    if not told and value.lower().startswith(("http://", "https://")):
+        try:
+            told = any(v and _bare(k) in SECRET_QUERIES for k, v in parse_qsl(urlsplit(value).query))
+        except ValueError:
+            told = False
+    return [at] if told or at not in paths and _OPAQUE.fullmatch(value.strip()) else []
+
+
 def extraction_hash(config: Mapping[str, Any], relevant: Sequence[str]) -> str:
     """Hash of the parts of a configuration that extraction depends on."""
     return canonical_hash({k: config.get(k) for k in relevant})

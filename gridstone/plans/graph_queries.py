@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import identity
-from ..operators import graph, runs, selection, validity
+from ..operators import extensions, graph, runs, selection, validity
 from ..sinks import recordings as files_out
 from ..sources import control, recordings
 from . import config
@@ -58,6 +58,12 @@ def _graph(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, Data
     return *out, assigned
 
 
+def _kept_graph(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """The graph for queries that read it many times: cached, and made anew
+    where an executor that held some of it is lost."""
+    return tuple(d.persist() for d in _graph(spark, sf_dir))
+
+
 @query(f"""WITH {_GRAPH} SELECT sc.user_id, sc.token, substr(digest, 1, 12) || '-' || lpad(CAST(ordinal AS VARCHAR), 6, '0') AS name, ordinal, nbr_samples, first_ts, last_ts,
  (SELECT arg_min(sa.token, ts) FROM sa WHERE scene_token = sc.token) AS first_sample_token, (SELECT arg_max(sa.token, ts) FROM sa WHERE scene_token = sc.token) AS last_sample_token FROM sc""")
 def graph_scenes(spark, sf_dir):
@@ -82,7 +88,7 @@ UNION ALL SELECT 'scene_ends', token FROM sc WHERE ordinal = 1 UNION ALL SELECT
 UNION ALL SELECT 'assignment_unknown', user_id || '@' || ts FROM kept WHERE ts % {7 * HOUR} = 0""")
 def graph_validation(spark, sf_dir):
     """A graph with faults put in on purpose, of which each must be found."""
-    scenes, samples, data, assigned = _graph(spark, sf_dir)
+    scenes, samples, data, assigned = _kept_graph(spark, sf_dir)
     kinds = [r[0] for r in data.select("channel").distinct().collect()]
     scenes = scenes.withColumn("nbr_samples", F.col("nbr_samples") + (F.col("ordinal") == 1).cast("long"))
     samples = samples.withColumn("prev", F.when(F.substring("token", 1, 1) == "0", "").otherwise(F.col("prev")))
@@ -113,7 +119,7 @@ def scene_chronology(spark, sf_dir):
 SELECT 'scene' AS name, token FROM chosen UNION ALL SELECT 'sample', token FROM sa WHERE scene_token IN (FROM chosen) UNION ALL SELECT 'sample_data', token FROM da WHERE scene_token IN (FROM chosen)
 UNION ALL SELECT DISTINCT 'calibrated_sensor', digest || '-' || channel FROM da WHERE scene_token IN (FROM chosen) UNION ALL SELECT DISTINCT 'sensor', channel FROM da WHERE scene_token IN (FROM chosen) UNION ALL SELECT DISTINCT 'log', CAST(user_id AS VARCHAR) FROM sc WHERE ordinal = 0""")
 def export_tables(spark, sf_dir):
-    scenes, samples, data, _ = _graph(spark, sf_dir)
+    scenes, samples, data, _ = _kept_graph(spark, sf_dir)
     data = data.withColumn("calibrated_sensor_token", F.concat(F.element_at(F.split("filename", "/"), 2), F.lit("-"), "channel"))
     cal = data.select(F.col("calibrated_sensor_token").alias("token"), F.col("channel").alias("sensor_token")).distinct()
     logs = scenes.select(F.col("user_id").cast("string").alias("token")).distinct()
@@ -323,3 +329,72 @@ def frame_evidence(spark, sf_dir):
     labels = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", F.lit(4).alias("width"), F.lit(3).alias("height"))
     frames = labels.where("l_orderkey % 3 <> 0").withColumn("width", F.when(F.col("l_linenumber") == 2, 5).otherwise(4)).distinct()
     return recordings.frame_evidence(labels.distinct(), frames, ["l_orderkey", "l_linenumber"])
+
+
+@query(f"""WITH {_GRAPH} SELECT 'scene_ends' AS code, token AS subject FROM sc WHERE ordinal % 3 = 1 UNION ALL SELECT 'pose_unused', 'extra' UNION ALL SELECT 'ego_pose_geometry', token FROM da WHERE camera_index % 50 = 0
+UNION ALL SELECT 'sample_data_ego_pose_token_unknown', token FROM da WHERE camera_index % 41 = 0 UNION ALL SELECT 'sample_token_repeated', token FROM sa WHERE ts % {11 * HOUR} = 0
+UNION ALL SELECT code, token FROM (SELECT token, ts, lag(ts) OVER w AS p, lead(ts) OVER w AS n, unnest(['sample_prev_mismatch', 'sample_next_mismatch', 'sample_order_not_increasing']) AS code FROM sa WINDOW w AS (PARTITION BY scene_token ORDER BY ts)) WHERE ts % {11 * HOUR} = 0
+UNION SELECT 'scene_ends', scene_token FROM sa WHERE ts % {11 * HOUR} = 0""")
+def dataset_validation(spark, sf_dir):
+    """The published tables of a graph with faults put in on purpose."""
+    scenes, samples, data, _ = _kept_graph(spark, sf_dir)
+    scenes = scenes.withColumn("nbr_samples", F.col("nbr_samples") + (F.col("ordinal") % 3 == 1).cast("long"))
+    samples = samples.withColumnRenamed("ts", "timestamp")
+    samples = samples.unionAll(samples.where(F.col("timestamp") % (11 * HOUR) == 0))
+    i = F.col("camera_index")
+    data = data.withColumnRenamed("camera_ts", "timestamp").withColumn("ego_pose_token", F.col("token"))
+    turned = F.array(F.when(i % 50 == 0, 2.0).otherwise(1.0), F.lit(0.0), F.lit(0.0), F.lit(0.0))
+    poses = data.where(i % 41 != 0).select("token", F.array(*[F.lit(0.0)] * 3).alias("translation"), turned.alias("rotation"))
+    poses = poses.unionAll(spark.createDataFrame([("extra", [0.0] * 3, [1.0, 0.0, 0.0, 0.0])], poses.schema))
+    return extensions.dataset_findings({"scene": scenes, "sample": samples, "sample_data": data, "ego_pose": poses})
+
+
+@query("""WITH c AS (SELECT c_custkey AS k, CAST(c_custkey AS VARCHAR) AS t FROM customer)
+SELECT 'accepted_and_rejected' AS code, t AS subject FROM c WHERE k % 10 = 0 UNION ALL SELECT 'selection_missing', t FROM c WHERE k % 3 <> 0 AND k % 8 = 0 UNION ALL SELECT 'selection_shared', t FROM c WHERE k % 3 = 0 AND k % 7 = 0
+UNION ALL SELECT 'published_left_only', t FROM c WHERE k % 3 = 0 AND k % 4 = 0 UNION ALL SELECT 'split_right_only', t FROM c WHERE k % 3 = 1""")
+def audit_validation(spark, sf_dir):
+    k = F.col("c_custkey")
+    c = table(spark, sf_dir, "customer").select(k, k.cast("string").alias("token"))
+    selected = c.where(k % 3 == 0)
+    return extensions.audit_findings(c, c.where(k % 10 == 0), selected, c.where(((k % 3 != 0) & (k % 8 != 0)) | ((k % 3 == 0) & (k % 7 == 0))), selected.where(k % 4 != 0), c.where(k % 3 != 2))
+
+
+@query("""WITH p AS (SELECT p_partkey AS k, CAST(p_partkey AS VARCHAR) AS t FROM part)
+SELECT 'fraction_range' AS code, t AS subject FROM p WHERE k % 9 = 0 UNION ALL SELECT 'gap_range', t FROM p WHERE k % 11 = 0 UNION ALL SELECT 'rotation_norm', t FROM p WHERE k % 13 = 0
+UNION ALL SELECT 'local_coordinates', t FROM p WHERE k % 5 = 0 UNION ALL SELECT 'record_left_only', t FROM p WHERE k % 17 = 0""")
+def pose_extension(spark, sf_dir):
+    k = F.col("p_partkey")
+    p = table(spark, sf_dir, "part").select(k, k.cast("string").alias("sample_data_token"))
+    rows = p.select(
+        "sample_data_token", F.when(k % 9 == 0, 1.5).otherwise(0.5).alias("fraction"), F.when(k % 11 == 0, -1).alias("sync_gap_before_ns"), F.lit(3).alias("sync_gap_after_ns"),
+        F.array(F.when(k % 13 == 0, 0.5).otherwise(1.0), F.lit(0.0), F.lit(0.0), F.lit(0.0)).alias("rotation"), F.when(k % 5 == 0, 1.5).otherwise(2.0).alias("east_m"), F.lit(3.0).alias("north_m"), F.lit(0.1).alias("up_m"),
+    )
+    return extensions.pose_extension_findings(rows, p.where(k % 17 != 0).select(F.col("sample_data_token").alias("token")), True)
+
+
+@query("""WITH o AS (SELECT o_custkey AS c, CAST(o_custkey AS VARCHAR) AS s, o_orderkey AS k, CAST(o_orderkey AS VARCHAR) AS t FROM orders), g AS (SELECT DISTINCT c, s FROM o)
+SELECT 'ratio_range' AS code, s AS subject FROM g WHERE c % 7 = 0 UNION ALL SELECT 'sync_range', s FROM g WHERE c % 8 = 0 UNION ALL SELECT 'coverage_ratio', s FROM g WHERE c % 9 = 0 UNION ALL SELECT 'coverage_order', s FROM g WHERE c % 10 = 0
+UNION ALL SELECT 'sample_right_only', t FROM o WHERE k % 12 = 0 UNION ALL SELECT 'sample_time', t FROM o WHERE k % 12 <> 0 AND k % 5 = 0""")
+def validity_rows(spark, sf_dir):
+    o, c, k = table(spark, sf_dir, "orders"), F.col("o_custkey"), F.col("o_orderkey")
+    scene = c.cast("string").alias("scene_token")
+    samples = o.select(k.cast("string").alias("token"), scene, (k * 3).alias("timestamp"))
+    nested = F.collect_list(F.when(k % 12 != 0, F.struct(k.cast("string").alias("sample_token"), (k * 3000 + 999 + F.when(k % 5 == 0, 1).otherwise(0)).alias("timestamp_ns"))))
+    part = lambda name, ratio: F.struct(F.lit(name).alias("channel"), F.lit(1).alias("present"), F.lit(3).alias("expected"), ratio.alias("ratio"))
+    third = F.lit(1) / F.lit(3)
+    pair = F.array(part("a", F.when(c % 9 == 0, 0.5).otherwise(third)), part("b", third))
+    rows = o.groupBy("o_custkey").agg(nested.alias("samples")).select(
+        scene, F.lit(1.0).alias("scene_valid_ratio"), F.when(c % 7 == 0, 1.1).otherwise(1.0).alias("source_gnss_valid_ratio"), F.lit(0.0).alias("camera_coverage_ratio"),
+        F.when(c % 8 == 0, -1.0).otherwise(1.0).alias("max_abs_sync_error_ms"), F.lit(0.5).alias("mean_abs_sync_error_ms"), F.when(c % 10 == 0, F.reverse(pair)).otherwise(pair).alias("coverage"), "samples",
+    )
+    return extensions.validity_row_findings(rows, samples)
+
+
+@query("""WITH s AS (SELECT s_suppkey AS k, CAST(s_suppkey AS VARCHAR) AS t FROM supplier)
+SELECT 'scene_right_only' AS code, t AS subject FROM s WHERE k % 6 = 0 UNION ALL SELECT 'owner_differs', t FROM s WHERE k % 4 = 0 AND k % 6 <> 0 UNION ALL SELECT 'tags_unordered', t FROM s WHERE k % 5 = 0 AND k % 6 <> 0""")
+def scene_extension(spark, sf_dir):
+    k = F.col("s_suppkey")
+    s = table(spark, sf_dir, "supplier").select(k, k.cast("string").alias("token"), F.lit("d").alias("source_digest"))
+    tags = F.when(k % 5 == 0, F.array(F.lit("b"), F.lit("a"))).otherwise(F.array(F.lit("a"), F.lit("b")))
+    extension = s.where(k % 6 != 0).select(F.col("token").alias("scene_token"), F.when(k % 4 == 0, "e").otherwise("d").alias("source_digest"), tags.alias("tags"))
+    return extensions.scene_extension_findings(extension, s)

@@ -100,9 +100,8 @@ def featured(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row a run of events: features, ratios and tags."""
     s = sessions(spark, sf_dir).withColumns({"x": F.col("value"), "y": F.col("value") / 2, "heading": F.col("value") / 10})
     segmented = features.segments(s, ["user_id", "run_id"], "ts_ns", "x", "y", "heading", STATIONARY)
-    f = features.scene_features(segmented, ["user_id", "run_id"], "ts_ns")
-    ratios = s.groupBy("user_id", "run_id").agg(F.avg((F.col("value") > 20).cast("int")).alias("gnss_ratio"), (F.countDistinct("event_type") / 5).alias("coverage_ratio"))
-    f = f.join(ratios, ["user_id", "run_id"])
+    shares = {"gnss_ratio": F.avg((F.col("value") > 20).cast("int")), "coverage_ratio": F.size(F.collect_set("event_type")) / 5}  # a rig has few channels
+    f = features.scene_features(segmented, ["user_id", "run_id"], "ts_ns", shares)
     c = F.col
     tags = features.computed_tags(c("total_distance"), c("moving_segments"), c("net_turn"), c("stopping_count"), c("starting_count"), c("gnss_ratio"), c("coverage_ratio"), minimum_movement=50.0)
     return f.withColumn("tags", tags)

@@ -162,6 +162,15 @@ def test_configuration(spark):
     assert json.loads(config.config_schema({"a": str, "b": bool}, "t"))["properties"]["b"] == {"type": ["boolean", "null"]}
 
 
+def test_credentials_are_found_by_name_and_by_shape():
+    good = {"paths": {"work_dir": "bearer " + "x" * 40}, "keys": ["k"], "tokenizer": "t", "url": "https://h/p?page=2", "n": 3, "text": "bearer short", "monkey": 1}
+    assert config.credential_findings(good, paths=["config.paths.work_dir"]) == []
+    bad = {
+        "api_key": 1, "a": {"DB-Password": "x", "list": [{"my.secret": None}]}, "b": "https://h/p?sig=abc", "c": "Bearer " + "a" * 32 + "==", "d": "eyJhbGciOi.eyJzdWIiOi.c2lnbmF0", "e": "sk-" + "z" * 20, "f": "x;AccountKey=1", "g": "https://h/?sig=",
+    }
+    assert config.credential_findings(bad) == ["config.api_key", "config.a.DB-Password", "config.a.list[0].my.secret", "config.b", "config.c", "config.d", "config.e", "config.f"]
+
+
 def test_published_view_accessors(spark):
     d = Dataset({
         "sample_data": spark.createDataFrame([("d1", "p1")], "token string, ego_pose_token string"), "ego_pose": spark.createDataFrame([("p1", 2.0)], "token string, x double"),
