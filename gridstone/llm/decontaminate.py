@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .state import bounded_batches, release, written
+from .state import bounded_batches, in_turn, release, written
 from .textcore import PLAIN, U64, Slice, ngrams, slices
 
 _HITS = "hit_spans array<struct<start:int,end:int>>, hit_items array<string>"
@@ -96,7 +96,7 @@ def _segments(n: int, words: int = 2048):
     return run
 
 
-def find_contamination(docs: DataFrame, benchmark: DataFrame, n: int = 10, text: str = "text", item: str = "item_id", item_text: str = "text", block_bytes: int = 1 << 20) -> DataFrame:
+def find_contamination(docs: DataFrame, benchmark: DataFrame, n: int = 10, text: str = "text", item: str = "item_id", item_text: str = "text", block_bytes: int = 1 << 20, cut: bool = False) -> DataFrame:
     """``docs`` with n_words, hit_spans (merged, in words, end exclusive) and
     hit_items (distinct, sorted as strings).
 
@@ -107,6 +107,7 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, n: int = 10, text:
     listed; equal ids are one item; an empty benchmark hits nothing; an empty
     table gives no rows; repeated rows are judged each.  Columns of ``docs``
     named like the new ones are replaced; all others are kept as they are.
+    With ``cut`` the spans are cut out of the text, as :func:`cut_spans` does.
     """
     spark = docs.sparkSession
     bounded_batches(spark)
@@ -117,11 +118,14 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, n: int = 10, text:
     plain = docs.drop("n_words", "hit_spans", "hit_items")
     df = plain.select("*", F.lit(0).cast("long").alias("n_words"), F.lit(None).cast("array<struct<start:int,end:int>>").alias("hit_spans"), F.lit(None).cast("array<string>").alias("hit_items"))
     at = df.columns.index(text)
+    steps = []
     for block in range(blocks):
         own = items if blocks == 1 else items.where(F.pmod(F.xxhash64("id", "t"), F.lit(blocks)) == block)
         sent = spark.sparkContext.broadcast([(r["id"], r["t"]) for r in own.collect()])
-        df = df.mapInArrow(_pass(sent, n, at), df.schema)
-    return df
+        steps.append(_pass(sent, n, at))
+    if cut:
+        steps.append(_cutter(at, len(df.columns) - 2))
+    return df.mapInArrow(in_turn(*steps), df.schema)
 
 
 def _pass(sent, n: int, at: int):
@@ -158,8 +162,10 @@ def cut_spans(docs: DataFrame, text: str = "text", spans: str = "hit_spans") ->
     either side left as it is and a line feed between.  Rows without spans are
     unchanged.
     """
-    at, by = docs.columns.index(text), docs.columns.index(spans)
+    return docs.mapInArrow(_cutter(docs.columns.index(text), docs.columns.index(spans)), docs.schema)
 
+
+def _cutter(at: int, by: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = batch.column(by).to_pylist()
@@ -179,4 +185,4 @@ def cut_spans(docs: DataFrame, text: str = "text", spans: str = "hit_spans") ->
             columns[at] = pa.array(texts, batch.column(at).type)
             yield pa.RecordBatch.from_arrays(columns, schema=batch.schema)
 
-    return docs.mapInArrow(run, docs.schema)
+    return run

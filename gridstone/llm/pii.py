@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .state import bounded_batches, release, written
+from .state import bounded_batches, in_turn, release, written
 from .textcore import SPACED_LOWER, U64, Slice, mix, slices
 
 KINDS = ("email", "ip", "card", "phone")
@@ -375,7 +375,7 @@ def _marked(plain: DataFrame, text: str, best: DataFrame, name: str) -> DataFram
     return keyed.join(spans, by, "left").select(*(F.col(f"`{c}`") for c in plain.columns), name)
 
 
-def find_pii(docs: DataFrame, text: str = "text", rounds: int = 3, confidence: float = 0.7, support: int = 3) -> DataFrame:
+def find_pii(docs: DataFrame, text: str = "text", rounds: int = 3, confidence: float = 0.7, support: int = 3, replace: bool = False) -> DataFrame:
     """``docs`` with ``pii``: spans (kind, start, end, base) in code points,
     end exclusive, sorted by kind as in LEARNT, start and end.
 
@@ -383,7 +383,8 @@ def find_pii(docs: DataFrame, text: str = "text", rounds: int = 3, confidence: f
     the method added (secrets that are seeds, and mentions behind trusted
     patterns), which never touches a base span.  A null text is empty.  Equal
     texts get equal spans, repeated rows are judged each, an empty table gives
-    no rows; a column called ``pii`` is replaced, all others are kept.
+    no rows; a column called ``pii`` is replaced, all others are kept.  With
+    ``replace`` the text is redacted by them, as :func:`redact` does.
     """
     bounded_batches(docs.sparkSession)
     patterns = trusted_patterns(docs, text, rounds, confidence, support)
@@ -432,14 +433,17 @@ def find_pii(docs: DataFrame, text: str = "text", rounds: int = 3, confidence: f
                 kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32()), ("base", pa.bool_())]))
                 yield pa.RecordBatch.from_arrays([*rows.columns[:last], pa.array(out, kind)], [*rows.schema.names[:last], "pii"])
 
-    return given.mapInArrow(run, plain.withColumn("pii", F.lit(None).cast(_SPAN)).schema)
+    whole = in_turn(run, _redactor(at, last)) if replace else run
+    return given.mapInArrow(whole, plain.withColumn("pii", F.lit(None).cast(_SPAN)).schema)
 
 
 def redact(docs: DataFrame, text: str = "text", spans: str = "pii") -> DataFrame:
     """``docs`` with each span of ``spans`` in ``text`` replaced by its kind in
     brackets; spans that overlap become one, named by the first."""
-    at, by = docs.columns.index(text), docs.columns.index(spans)
+    return docs.mapInArrow(_redactor(docs.columns.index(text), docs.columns.index(spans)), docs.schema)
 
+
+def _redactor(at: int, by: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = batch.column(by).to_pylist()
@@ -459,4 +463,4 @@ def redact(docs: DataFrame, text: str = "text", spans: str = "pii") -> DataFrame
             columns[at] = pa.array(texts, batch.column(at).type)
             yield pa.RecordBatch.from_arrays(columns, schema=batch.schema)
 
-    return docs.mapInArrow(run, docs.schema)
+    return run

@@ -101,3 +101,15 @@ def bounded_batches(spark: SparkSession, most: int = 512, most_bytes: int = 8 <<
         now = int(spark.conf.get(name).rstrip("b"))
         if now <= 0 or now > least:
             spark.conf.set(name, str(least))
+
+
+def in_turn(*steps: Callable) -> Callable:
+    """One function over batches for several, so that a task needs one Python
+    worker for all of them."""
+
+    def run(batches):
+        for step in steps:
+            batches = step(batches)
+        yield from batches
+
+    return run
