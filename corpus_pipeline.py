@@ -13,10 +13,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridstone.llm.decontaminate import cut_spans, find_contamination
+from gridstone.llm.decontaminate import find_contamination
 from gridstone.llm.near_join import first_of_class, near_classes
 from gridstone.llm.packing import pack_documents
-from gridstone.llm.pii import find_pii, redact
+from gridstone.llm.pii import find_pii
 from gridstone.llm.quality import score_quality, train
 from gridstone.llm.queries import _byte_bpe
 from gridstone.llm.state import written
@@ -46,14 +46,14 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Benchmark passages are cut out; a document more than MOST_HIT of whose
     words stand in them goes whole."""
-    found = find_contamination(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), n=10)
+    found = find_contamination(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), n=10, cut=True)
     n_hit = F.aggregate("hit_spans", F.lit(0).cast("long"), lambda n, s: n + (s["end"] - s["start"]))
-    return _like(docs, cut_spans(found.where(n_hit <= F.col("n_words") * MOST_HIT)))
+    return _like(docs, found.where(n_hit <= F.col("n_words") * MOST_HIT))
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each span of personal data gives way to its kind in brackets."""
-    return _like(docs, redact(find_pii(docs)))
+    return _like(docs, find_pii(docs, replace=True))
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
