@@ -47,6 +47,22 @@ def nearest(ts: Column, before: Column, after: Column) -> Column:
     return F.when(after.isNull() | (ts - before["ts"] <= after["ts"] - ts), before).otherwise(after)
 
 
+def barrier_interpolate(queries: DataFrame, samples: DataFrame, key: Sequence[str], ts: str, valid: str, values: Sequence[str], slice_width: int | None = None) -> DataFrame:
+    """``queries`` with status and the interpolated ``values``.
+
+    Samples that aren't ``valid`` stay as barriers: a query between two samples
+    is ``available`` if both are valid, else ``invalid_endpoint``; with a side
+    missing it is ``no_bracket``.  Only available ones have values.
+    """
+    found = bracket(queries, samples, key, ts, [valid, *values], slice_width)
+    both = F.col("before").isNotNull() & F.col("after").isNotNull()
+    good = both & F.coalesce(F.col("before")[valid] & F.col("after")[valid], F.lit(False))
+    t = fraction(F.col(ts), F.col("before"), F.col("after"))
+    blend = lambda v: F.col("before")[v] + (F.col("after")[v] - F.col("before")[v]) * t
+    out = found.withColumn("status", F.when(good, "available").when(both, "invalid_endpoint").otherwise("no_bracket"))
+    return out.select(*queries.columns, "status", *(F.when(good, blend(v)).alias(v) for v in values))
+
+
 def interval_overlap(a_first: Column, a_last: Column, b_first: Column, b_end: Column) -> Column:
     """Closed interval a against half-open b."""
     return (b_first <= a_last) & (b_end > a_first)

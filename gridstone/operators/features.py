@@ -61,12 +61,16 @@ def channel_coverage(samples: DataFrame, scene: Sequence[str], expected: str, pr
     return out.withColumn("ratio", F.col("present") / F.col("expected"))
 
 
-def reference_observation(data: DataFrame, sample: Sequence[str], channel: str, camera_index: str, reference: str | None) -> DataFrame:
+def reference_observation(data: DataFrame, sample: Sequence[str], channel: str, camera_index: str, reference: str | None, required: bool = False) -> DataFrame:
     """One row a sample: of the reference channel where it is there, else the
-    least (channel, camera index); ``fallback`` says which."""
+    least (channel, camera index); ``fallback`` says which.  Where the channel
+    is ``required``, a sample without it raises when it is read."""
     rank = F.struct((F.col(channel) != F.lit(reference)).alias("a") if reference else F.lit(True).alias("a"), channel, camera_index)
     w = Window.partitionBy(*sample).orderBy(rank)
-    return data.withColumn("__r", F.row_number().over(w)).where("__r = 1").drop("__r").withColumn("fallback", F.col(channel) != F.lit(reference) if reference else F.lit(True))
+    out = data.withColumn("__r", F.row_number().over(w)).where("__r = 1").drop("__r").withColumn("fallback", F.col(channel) != F.lit(reference) if reference else F.lit(True))
+    if not required:
+        return out
+    return out.where(F.when(F.col("fallback"), F.raise_error(F.concat(F.lit(f"no {reference} in sample "), F.concat_ws("/", *sample)))).otherwise(F.lit(True)))
 
 
 def computed_tags(

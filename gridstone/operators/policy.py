@@ -104,3 +104,10 @@ def sanity_findings(df: DataFrame, key: Sequence[str], checks: Mapping[str, tupl
     flags = df.groupBy(*key).agg(*(F.coalesce(c, F.lit(False)).alias(n) for n, (c, _) in on.items()))
     found = F.array_compact(F.array(*(F.when(F.col(n), F.struct(F.lit(n).alias("code"), F.lit(s).alias("severity"))) for n, (_, s) in on.items())))
     return flags.select(*key, F.explode(found).alias("f")).select(*key, "f.*")
+
+
+def require_sane(findings: DataFrame) -> None:
+    """Raise where a finding's severity is error; warnings pass."""
+    some = findings.where("severity = 'error'").limit(5).collect()
+    if some:
+        raise ValueError(f"sanity errors: {[tuple(r) for r in some]}")

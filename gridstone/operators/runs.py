@@ -42,13 +42,27 @@ def gap_runs(df: DataFrame, key: Sequence[str], ts: str, max_gap: int, slice_wid
     return sliced.join(edges, [*key, "__slice"]).withColumn(name, (F.col("__in") + F.col("__before")).cast("long")).drop("__slice", "__new", "__in", "__before")
 
 
-def merge_intervals(df: DataFrame, key: Sequence[str], first: str, last: str, tie: Sequence[str], name: str = "island") -> DataFrame:
+def merge_intervals(df: DataFrame, key: Sequence[str], first: str, last: str, tie: Sequence[str], name: str = "island", slice_width: int | None = None) -> DataFrame:
     """``df`` with the number, from 0 within ``key``, of the island of intervals
-    that overlap or touch."""
+    that overlap or touch.
+
+    With ``slice_width`` intervals are dealt by their first time into slices of
+    that width; a slice learns how far those before it reach, and how many
+    islands they began, from a table of one row a slice.
+    """
     order = Window.partitionBy(*key).orderBy(first, last, *tie)
-    reach = F.max(last).over(order.rowsBetween(Window.unboundedPreceding, -1))
-    out = df.withColumn("__new", F.when(F.col(first) > reach, 1).otherwise(0))
-    return out.withColumn(name, F.sum("__new").over(order.rowsBetween(Window.unboundedPreceding, 0)).cast("long")).drop("__new")
+    before = lambda w: w.rowsBetween(Window.unboundedPreceding, -1)
+    if slice_width is None:
+        out = df.withColumn("__new", F.when(F.col(first) > F.max(last).over(before(order)), 1).otherwise(0))
+        return out.withColumn(name, F.sum("__new").over(order.rowsBetween(Window.unboundedPreceding, 0)).cast("long")).drop("__new")
+    sliced = df.withColumn("__slice", F.floor(F.col(first) / slice_width))
+    line = Window.partitionBy(*key).orderBy("__slice")
+    reach = sliced.groupBy(*key, "__slice").agg(F.max(last).alias("__r")).withColumn("__reach", F.max("__r").over(before(line))).drop("__r")
+    own = Window.partitionBy(*key, "__slice").orderBy(first, last, *tie)
+    sliced = sliced.join(reach, [*key, "__slice"]).withColumn("__new", F.when(F.col(first) > F.greatest("__reach", F.max(last).over(before(own))), 1).otherwise(0))
+    sliced = sliced.withColumn("__in", F.sum("__new").over(own.rowsBetween(Window.unboundedPreceding, 0)))
+    begun = sliced.groupBy(*key, "__slice").agg(F.sum("__new").alias("__n")).withColumn("__begun", F.coalesce(F.sum("__n").over(before(line)), F.lit(0))).drop("__n")
+    return sliced.join(begun, [*key, "__slice"]).withColumn(name, (F.col("__in") + F.col("__begun")).cast("long")).drop("__slice", "__reach", "__new", "__in", "__begun")
 
 
 def chain_links(df: DataFrame, key: Sequence[str], order: Sequence[str], token: str) -> DataFrame:

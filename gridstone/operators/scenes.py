@@ -104,16 +104,17 @@ def partition_runs(df: DataFrame, run: Sequence[str], ts: str, longest: int, sho
     return dealt.mapInArrow(work, f"{kinds}, scene long, unassigned string")
 
 
-def match_annotations(annotations: DataFrame, samples: DataFrame, locator: str, ts: str, tolerance: int, values: Sequence[str] = ()) -> DataFrame:
+def match_annotations(annotations: DataFrame, samples: DataFrame, locator: str, ts: str, tolerance: int, values: Sequence[str] = (), slice_width: int | None = None) -> DataFrame:
     """``annotations`` with the nearest sample of their recording (ts and
     ``values``), error and decision: different_recording (no such recording),
     no_valid_samples, outside_tolerance or matched; ties go to the earlier
     sample, the tolerance is inclusive.
 
-    ``samples`` needs a boolean ``valid``; only valid ones are matched.
+    ``samples`` needs a boolean ``valid``; only valid ones are matched.  With
+    ``slice_width`` a recording's time is many tasks, as in ``bracket``.
     """
     known = samples.select(locator).distinct().withColumn("__known", F.lit(True))
-    found = bracket(annotations, samples.where("valid"), [locator], ts, values)
+    found = bracket(annotations, samples.where("valid"), [locator], ts, values, slice_width)
     near = found.withColumn("nearest", nearest(F.col(ts), F.col("before"), F.col("after"))).drop("before", "after").join(known, locator, "left")
     error = F.col("nearest.ts") - F.col(ts)
     decision = (
@@ -123,12 +124,12 @@ def match_annotations(annotations: DataFrame, samples: DataFrame, locator: str,
     return near.withColumn("error", error).withColumn("decision", decision).drop("__known")
 
 
-def annotation_windows(matched: DataFrame, runs: DataFrame, run: Sequence[str], anchor: str, line: str, labels: str, before: int, after: int) -> DataFrame:
+def annotation_windows(matched: DataFrame, runs: DataFrame, run: Sequence[str], anchor: str, line: str, labels: str, before: int, after: int, slice_width: int | None = None) -> DataFrame:
     """run, window, first, last, labels, lines: windows around anchors, clipped
     to their run (``runs``: run, run_first, run_last), merged where they
     overlap or touch; labels in order of first appearance by line."""
     cut = matched.join(runs, list(run)).withColumns({"first": F.greatest(F.col(anchor) - before, F.col("run_first")), "last": F.least(F.col(anchor) + after, F.col("run_last"))})
-    merged = merge_intervals(cut, run, "first", "last", [line], "window")
+    merged = merge_intervals(cut, run, "first", "last", [line], "window", slice_width)
     by_line = F.collect_list(F.struct(F.col(line).alias("line"), F.col(labels).alias("labels")))
     out = merged.groupBy(*run, "window").agg(F.min("first").alias("first"), F.max("last").alias("last"), by_line.alias("__l"))
     return out.select(*run, "window", "first", "last", first_appearance_union(F.col("__l")).alias("labels"), F.transform(F.array_sort("__l"), lambda s: s["line"]).alias("lines"))
@@ -141,7 +142,7 @@ def window_samples(samples: DataFrame, windows: DataFrame, run: Sequence[str], t
     return bucketed_range_join(samples, windows, run, ts, "first", "last", width, closed=True)
 
 
-def build_scenes(samples: DataFrame, key: str, ts: str, mode: str, max_gap: int, longest: int, shortest: int, least: int, skip: int = 0, windows: DataFrame | None = None) -> DataFrame:
+def build_scenes(samples: DataFrame, key: str, ts: str, mode: str, max_gap: int, longest: int, shortest: int, least: int, skip: int = 0, windows: DataFrame | None = None, slice_width: int | None = None) -> DataFrame:
     """samples with run_id, kind (automatic or annotation), scene_first (ts of
     the scene's first sample) and unassigned.
 
@@ -152,7 +153,7 @@ def build_scenes(samples: DataFrame, key: str, ts: str, mode: str, max_gap: int,
     """
     if mode not in ("automatic", "annotation_only", "hybrid"):
         raise ValueError(f"unknown mode {mode}")
-    runs = gap_runs(samples, [key], ts, max_gap)
+    runs = gap_runs(samples, [key], ts, max_gap, slice_width)
     if mode == "automatic" or windows is None:
         taken = runs.withColumn("window", F.lit(None).cast("long"))
     else:

@@ -6,15 +6,17 @@ first event of a channel in it; a scene a run of samples without a day's gap.
 
 from __future__ import annotations
 
+from fractions import Fraction
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import identity
-from ..operators import extensions, graph, runs, selection, validity
+from ..functions import identity, scalar
+from ..operators import extensions, graph, policy, runs, selection, timegrid, validity
 from ..sinks import recordings as files_out
 from ..sources import control, recordings
 from . import config
-from .queries import _EV, _SELECT, DAY, HOUR, NAMESPACE, SEED, _rules, _selected, events, query, scene_rows, table
+from .queries import _EV, _SELECT, DAY, HOUR, NAMESPACE, SEED, SQL, _rules, _selected, events, query, scene_rows, table
 from .sdk import Dataset
 
 _SETTINGS = '{"gap":86400}'
@@ -398,3 +400,39 @@ def scene_extension(spark, sf_dir):
     tags = F.when(k % 5 == 0, F.array(F.lit("b"), F.lit("a"))).otherwise(F.array(F.lit("a"), F.lit("b")))
     extension = s.where(k % 6 != 0).select(F.col("token").alias("scene_token"), F.when(k % 4 == 0, "e").otherwise("d").alias("source_digest"), tags.alias("tags"))
     return extensions.scene_extension_findings(extension, s)
+
+
+@query(f"SELECT ev.user_id, ev.ts_ns FROM (SELECT user_id, epoch_us(ts) * 1000 AS ts_ns FROM events) ev ANTI JOIN (SELECT user_id, batch_ts AS ts_ns FROM ({SQL['grid_match']}) g WHERE batch_ts IS NOT NULL) used USING (user_id, ts_ns)")
+def unused_batches(spark, sf_dir):
+    ev = events(spark, sf_dir)
+    grid = timegrid.match_grid(ev, "user_id", "ts_ns", ["event_id"], Fraction(1, 86400), 6 * HOUR)
+    return timegrid.unused_batches(ev, grid, "user_id", "ts_ns")
+
+
+@query("""WITH c AS (SELECT c_custkey AS k, CASE WHEN c_custkey % 4 = 0 THEN NULL ELSE (c_custkey % 10) / 10 END AS a, (c_custkey % 7) / 10 AS b, c_acctbal / 100 AS e FROM customer)
+SELECT k, concat_ws(',', CASE WHEN coalesce(a, 0) < 0.5 THEN 'channel_coverage_below_minimum' END, CASE WHEN b > 0.5 THEN 'channel_coverage_above_maximum' END, CASE WHEN e > 50 THEN 'sync_error_above_maximum' END) AS reasons FROM c""")
+def coverage_filter(spark, sf_dir):
+    k = F.col("c_custkey")
+    a = F.when(k % 4 != 0, F.create_map(F.lit("a"), (k % 10) / 10)).otherwise(F.create_map().cast("map<string,double>"))
+    c = table(spark, sf_dir, "customer").select(k.alias("k"), F.map_concat(a, F.create_map(F.lit("b"), (k % 7) / 10)).alias("coverage"), (F.col("c_acctbal") / 100).alias("e"))
+    f = policy.SceneFilter(min_channel_coverage={"a": 0.5}, max_channel_coverage={"b": 0.5}, max_sync_error=("e", 50.0))
+    return c.select("k", F.array_join(F.transform(policy.rejection_reasons(f), lambda r: r["code"]), ",").alias("reasons"))
+
+
+@query("""WITH v AS (SELECT event_id, value / 40 AS x, value / 70 AS y, -value / 90 AS z FROM events), n AS (SELECT *, sqrt(x * x + y * y + z * z) AS a FROM v)
+SELECT event_id, round(cos(a / 2), 9) AS w, round(CASE WHEN a > 0 THEN x * sin(a / 2) / a ELSE 0 END, 9) AS i, round(CASE WHEN a > 0 THEN y * sin(a / 2) / a ELSE 0 END, 9) AS j, CAST(floor(event_id * 0.3::DECIMAL(4,1) + 0.5) AS BIGINT) AS target,
+ CASE WHEN event_id % 3 = 0 THEN event_id::DOUBLE END AS leaf FROM n""")
+def rotations_and_leaves(spark, sf_dir):
+    ev = events(spark, sf_dir).select("event_id", (F.col("value") / 40).alias("x"), (F.col("value") / 70).alias("y"), (-F.col("value") / 90).alias("z"))
+    q = scalar.axis_angle_quaternion(F.col("x"), F.col("y"), F.col("z"))
+    text = F.when(F.col("event_id") % 3 == 0, F.col("event_id").cast("string")).otherwise(F.concat(F.lit("0"), F.col("event_id").cast("string"), F.lit(".0")))
+    return ev.withColumn("q", q).select("event_id", *(F.round(F.get("q", i), 9).alias(n) for i, n in enumerate("wij")), scalar.half_up_target(F.col("event_id"), "0.3").alias("target"), scalar.numeric_leaf(text).alias("leaf"))
+
+
+@query("""SELECT c_custkey, CAST(c_custkey + 0.25 * 2 AS DOUBLE) AS n, 'up' AS same, CASE WHEN c_custkey % 2 = 0 THEN 'left' ELSE 'right' END AS far FROM customer""")
+def quality_blend(spark, sf_dir):
+    k = F.col("c_custkey")
+    pair = lambda n, far, own: F.create_map(F.lit("n"), n.cast("string"), F.lit("same"), F.lit("up"), F.lit("far"), F.lit(far), F.lit(own), F.lit("x"))
+    c = table(spark, sf_dir, "customer").select(k, pair(k, "left", "a").alias("a"), pair(k + 2, "right", "b").alias("b"))
+    near = c.withColumns({"m": scalar.mapped_blend(F.col("a"), F.col("b"), F.lit(0.25)), "f": scalar.mapped_blend(F.col("a"), F.col("b"), F.when(k % 2 == 0, 0.25).otherwise(0.5))})
+    return near.select("c_custkey", F.element_at("m", "n").cast("double").alias("n"), F.element_at("m", "same").alias("same"), F.element_at("f", "far").alias("far"))

@@ -191,14 +191,17 @@ def _bracketed(spark, sf_dir, slice_width):
  a AS (SELECT b.*, c.ts_ns AS aft, c.value AS av FROM b ASOF LEFT JOIN c ON b.user_id = c.user_id AND b.ts_ns <= c.ts_ns)
 SELECT event_id, CASE WHEN bt IS NOT NULL AND aft IS NOT NULL AND bv > 5 AND av > 5 THEN 'available' WHEN bt IS NOT NULL AND aft IS NOT NULL THEN 'invalid_endpoint' ELSE 'no_bracket' END AS status,
  CASE WHEN bt IS NOT NULL AND aft IS NOT NULL AND bv > 5 AND av > 5 THEN round(bv + (av - bv) * ((ts_ns - bt) / (aft - bt)), 6) END AS value FROM a""")
-def barrier_interpolate(spark, sf_dir):
+def barrier_interpolate(spark, sf_dir, slice_width=None):
     """Invalid samples are kept as barriers: no interpolation across one."""
     ev = events(spark, sf_dir).withColumn("ok", F.col("value") > 5)
-    found = asof.bracket(ev.where("event_type = 'purchase'").select("event_id", "user_id", "ts_ns"), ev.where("event_type = 'click'"), ["user_id"], "ts_ns", ["value", "ok"])
-    t = asof.fraction(F.col("ts_ns"), F.col("before"), F.col("after"))
-    both = F.col("before").isNotNull() & F.col("after").isNotNull()
-    good = both & F.col("before.ok") & F.col("after.ok")
-    return found.select("event_id", F.when(good, "available").when(both, "invalid_endpoint").otherwise("no_bracket").alias("status"), F.when(good, F.round(scalar.lerp(F.col("before.value"), F.col("after.value"), t), 6)).alias("value"))
+    asked = ev.where("event_type = 'purchase'").select("event_id", "user_id", "ts_ns")
+    found = asof.barrier_interpolate(asked, ev.where("event_type = 'click'"), ["user_id"], "ts_ns", "ok", ["value"], slice_width)
+    return found.select("event_id", "status", F.round("value", 6).alias("value"))
+
+
+@query(SQL["barrier_interpolate"])
+def barrier_interpolate_sliced(spark, sf_dir):
+    return barrier_interpolate(spark, sf_dir, 3 * DAY)
 
 
 @query(f"""WITH {_EV}, p AS (SELECT *, CASE WHEN event_id % 50 = 0 THEN user_id + 100000 ELSE user_id END AS rec FROM ev WHERE event_type = 'purchase'),
@@ -208,11 +211,16 @@ def barrier_interpolate(spark, sf_dir):
  n AS (SELECT *, CASE WHEN aft IS NULL OR ts_ns - bt <= aft - ts_ns THEN bt ELSE aft END AS nearest_ts FROM a)
 SELECT event_id, nearest_ts, nearest_ts - ts_ns AS error, CASE WHEN rec NOT IN (SELECT rec FROM c) THEN 'different_recording' WHEN nearest_ts IS NULL THEN 'no_valid_samples'
  WHEN abs(nearest_ts - ts_ns) > {6 * HOUR} THEN 'outside_tolerance' ELSE 'matched' END AS decision FROM n""")
-def annotation_match(spark, sf_dir):
+def annotation_match(spark, sf_dir, slice_width=None):
     ev = events(spark, sf_dir)
     notes = ev.where("event_type = 'purchase'").select("event_id", F.when(F.col("event_id") % 50 == 0, F.col("user_id") + 100000).otherwise(F.col("user_id")).alias("rec"), "ts_ns")
     samples = ev.where("event_type = 'click'").select(F.col("user_id").alias("rec"), "ts_ns", (F.col("event_id") % 7 != 0).alias("valid"))
-    return scenes.match_annotations(notes, samples, "rec", "ts_ns", 6 * HOUR).select("event_id", F.col("nearest.ts").alias("nearest_ts"), "error", "decision")
+    return scenes.match_annotations(notes, samples, "rec", "ts_ns", 6 * HOUR, slice_width=slice_width).select("event_id", F.col("nearest.ts").alias("nearest_ts"), "error", "decision")
+
+
+@query(SQL["annotation_match"])
+def annotation_match_sliced(spark, sf_dir):
+    return annotation_match(spark, sf_dir, 3 * DAY)
 
 
 @query(f"""WITH RECURSIVE {_RUNS},
@@ -239,16 +247,21 @@ _WIN = f"""{_RUNS}, span AS (SELECT user_id, run_id, min(ts_ns) AS rf, max(ts_ns
  win AS (SELECT user_id, run_id, win, min(first) AS first, max(last) AS last, count(*) AS n_lines FROM isl2 GROUP BY user_id, run_id, win)"""
 
 
-def windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+def windows(spark: SparkSession, sf_dir: str, slice_width: int | None = None) -> DataFrame:
     s = sessions(spark, sf_dir)
     spans = s.groupBy("user_id", "run_id").agg(F.min("ts_ns").alias("run_first"), F.max("ts_ns").alias("run_last"))
     notes = s.where("event_id % 4 = 0").select("user_id", "run_id", F.col("ts_ns").alias("anchor"), F.col("event_id").alias("line"), F.array("event_type").alias("names"))
-    return scenes.annotation_windows(notes, spans, ["user_id", "run_id"], "anchor", "line", "names", 3 * HOUR, 5 * HOUR)
+    return scenes.annotation_windows(notes, spans, ["user_id", "run_id"], "anchor", "line", "names", 3 * HOUR, 5 * HOUR, slice_width)
 
 
 @query(f"""WITH {_WIN} SELECT w.user_id, w.run_id, w.win AS "window", w.first, w.last, w.n_lines, (SELECT string_agg(event_type, ',' ORDER BY line0) FROM lab l WHERE l.user_id = w.user_id AND l.run_id = w.run_id AND l.win = w.win) AS labels FROM win w""")
-def annotation_windows(spark, sf_dir):
-    return windows(spark, sf_dir).select("user_id", "run_id", "window", "first", "last", F.size("lines").cast("long").alias("n_lines"), F.array_join("labels", ",").alias("labels"))
+def annotation_windows(spark, sf_dir, slice_width=None):
+    return windows(spark, sf_dir, slice_width).select("user_id", "run_id", "window", "first", "last", F.size("lines").cast("long").alias("n_lines"), F.array_join("labels", ",").alias("labels"))
+
+
+@query(SQL["annotation_windows"])
+def annotation_windows_sliced(spark, sf_dir):
+    return annotation_windows(spark, sf_dir, 2 * DAY)
 
 
 @query(f"""WITH {_WIN} SELECT run.event_id, w.win AS "window" FROM run JOIN win w ON run.user_id = w.user_id AND run.run_id = w.run_id AND run.ts_ns BETWEEN w.first AND w.last""")

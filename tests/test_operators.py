@@ -160,6 +160,26 @@ def test_partition_takes_null_runs_and_long_ones(spark, monkeypatch):
     assert all(rows_ == list(zip(stamps, scene, why, strict=True)) for rows_ in seen.values()) and max(x or 0 for x in scene) > 50
 
 
+def test_islands_are_the_same_in_slices(spark):
+    rng = random.Random(17)
+    data = [(k, a, a + rng.randint(0, 60), i) for k in range(3) for i in range(200) for a in [rng.randint(0, 5000)]]
+    df = spark.createDataFrame(data, "k int, a long, b long, i int")
+    whole = rows(runs.merge_intervals(df, ["k"], "a", "b", ["i"]), "k", "i", "island")
+    for width in (7, 400, 100_000):
+        assert rows(runs.merge_intervals(df, ["k"], "a", "b", ["i"], slice_width=width), "k", "i", "island") == whole
+
+
+def test_required_reference_and_sanity_errors_raise(spark):
+    df = spark.createDataFrame([(1, "a", 0), (1, "b", 1), (2, "b", 0)], "s int, c string, i int")
+    assert rows(features.reference_observation(df.where("s = 1"), ["s"], "c", "i", "b", True), "s", "c", "fallback") == [(1, "b", False)]
+    with pytest.raises(Exception, match="no a in sample 2"):
+        features.reference_observation(df, ["s"], "c", "i", "a", True).collect()
+    found = spark.createDataFrame([(1, "x", "warn")], "s int, code string, severity string")
+    policy.require_sane(found)
+    with pytest.raises(ValueError, match="sanity errors"):
+        policy.require_sane(found.withColumn("severity", F.lit("error")))
+
+
 def test_labels_with_a_key_twice_raise(spark):
     two = spark.createDataFrame([(1, "a"), (2, "b"), (2, "c")], "k long, v string")
     frames = spark.createDataFrame([(1,), (2,)], "k long")
