@@ -43,7 +43,7 @@ def greedy_scenes(stamps: Sequence[int], longest: int, shortest: int, least: int
     return scene, why
 
 
-def _stretches(batches: Iterator[pa.RecordBatch], key: int) -> Iterator[pa.Table]:
+def stretches(batches: Iterator[pa.RecordBatch], key: int) -> Iterator[pa.Table]:
     """Tables of whole stretches of rows that agree in the first ``key``
     columns (null equals null), from batches sorted by them."""
     waiting: list[pa.RecordBatch] = []
@@ -89,7 +89,7 @@ def partition_runs(df: DataFrame, run: Sequence[str], ts: str, longest: int, sho
     kinds = ", ".join(f"`{c}` {df.schema[c].dataType.simpleString()}" for c in columns)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in _stretches(batches, len(run)):
+        for rows in stretches(batches, len(run)):
             stamps = rows.column(len(run)).to_pylist()
             edge = starts(rows, len(run)).tolist()
             scene, why = [], []
@@ -164,7 +164,7 @@ def build_scenes(samples: DataFrame, key: str, ts: str, mode: str, max_gap: int,
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # windows of a run are apart, so their samples, and those between, are stretches of sorted rows
-        for rows in _stretches(batches, 2):
+        for rows in stretches(batches, 2):
             stamps, edge, number = rows.column(3).to_pylist(), starts(rows, 3).tolist(), np.asarray(pc.is_valid(rows.column(2)))
             kind, first, why = [], [], []
             for a, b in zip(edge, [*edge[1:], len(stamps)], strict=True):

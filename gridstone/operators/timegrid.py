@@ -3,14 +3,17 @@
 from __future__ import annotations
 
 from bisect import bisect_left
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from fractions import Fraction
 
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from .scenes import starts, stretches
+
 MOST_TARGETS = 10_000_000
 _NS = 1_000_000_000
 
@@ -105,16 +108,19 @@ def greedy_grid(stamps: list[int], fps: Fraction, tolerance: int) -> list[tuple[
 def _greedy(df: DataFrame, key: str, ts: str, order: Sequence[str], fps: Fraction, tolerance: int) -> DataFrame:
     kind = df.schema[key].dataType.simpleString()
 
-    def one(pdf: pd.DataFrame) -> pd.DataFrame:
-        got = greedy_grid(pdf.sort_values(list(order))[ts].astype("int64").tolist(), fps, tolerance)
-        out = pd.DataFrame(got, columns=["target_index", "target_ts", "batch_ts"])
-        out.insert(0, key, pdf[key].iloc[0])
-        out["batch_ts"] = out["batch_ts"].astype("Int64")
-        out["error"] = (out["batch_ts"] - out["target_ts"]).astype("Int64")
-        return out
-
-    columns = list(dict.fromkeys([key, ts, *order]))
-    return df.select(*columns).groupBy(key).applyInPandas(one, f"`{key}` {kind}, target_index long, target_ts long, batch_ts long, error long")
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # rows sorted by recording and source order; integers stay integers beside nulls
+        for rows in stretches(batches, 1):
+            stamps, edge = rows.column(1).to_pylist(), starts(rows, 1).tolist()
+            for a, b in zip(edge, [*edge[1:], len(stamps)], strict=True):
+                found = greedy_grid(stamps[a:b], fps, tolerance)
+                index, target, batch = (pa.array(c, pa.int64()) for c in zip(*found, strict=True))
+                owner = pa.array([rows.column(0)[a].as_py()] * len(found), rows.schema.field(0).type)
+                yield pa.RecordBatch.from_arrays([owner, index, target, batch, pc.subtract(batch, target)], [key, "target_index", "target_ts", "batch_ts", "error"])
+
+    place = F.struct(*order)
+    dealt = df.select(key, ts, place.alias("__o")).repartition(key).sortWithinPartitions(key, "__o").drop("__o")
+    return dealt.mapInArrow(work, f"`{key}` {kind}, target_index long, target_ts long, batch_ts long, error long")
 
 
 def unused_batches(df: DataFrame, grid: DataFrame, key: str, ts: str) -> DataFrame:

@@ -157,7 +157,12 @@ def grid_match(spark, sf_dir):
     return timegrid.match_grid(events(spark, sf_dir), "user_id", "ts_ns", ["event_id"], Fraction(1, 86400), 6 * HOUR)
 
 
-@query()
+@query(f"""WITH RECURSIVE {_EV}, span AS (SELECT user_id, arg_min(ts_ns, event_id) AS anchor, max(ts_ns) AS fin, list(ts_ns) AS bs FROM ev GROUP BY user_id),
+ w AS (SELECT user_id, CAST(-1 AS BIGINT) AS i, CAST(NULL AS BIGINT) AS target_ts, CAST(NULL AS BIGINT) AS batch_ts, bs AS free, anchor, fin FROM span UNION ALL
+  SELECT user_id, i + 1, t, pick, CASE WHEN pick IS NULL THEN free ELSE list_filter(free, lambda x: x <> pick) END, anchor, fin
+  FROM (SELECT *, list_sort(list_transform(list_filter(free, lambda x: abs(x - t) <= {18 * HOUR}), lambda x: struct_pack(d := abs(x - t), x := x)))[1].x AS pick FROM (SELECT *, anchor + (i + 1) * {DAY} AS t FROM w) y) z
+  WHERE t <= fin + {18 * HOUR})
+SELECT user_id, i AS target_index, target_ts, batch_ts, batch_ts - target_ts AS error FROM w WHERE i >= 0""")
 def grid_match_greedy(spark, sf_dir):
     return timegrid.match_grid(events(spark, sf_dir), "user_id", "ts_ns", ["event_id"], Fraction(1, 86400), 18 * HOUR)
 

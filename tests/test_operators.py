@@ -22,7 +22,7 @@ def grid(spark, stamps, fps, tolerance):
 
 @pytest.mark.parametrize("stamps, fps, tolerance", [
     ([70 * MS, 260 * MS, 333 * MS, 480 * MS, 911 * MS], Fraction(5), 90 * MS), ([0, 7 * S, 13 * S], Fraction(1, 3), S), ([5, 3, 11, 8, 21, 34], Fraction(S, 4), 1),
-    ([900, 100, 1300, 1777], Fraction(S, 250), 60), ([42], Fraction(7, 3), 0), ([11, 11 + 41_708_333, 11 + 83_416_667], Fraction(24000, 1001), 1),
+    ([900, 100, 1300, 1777], Fraction(S, 250), 60), ([1_704_433_195_189_486_123 + i * 3 * S + i % 7 for i in range(9)], Fraction(1), S), ([42], Fraction(7, 3), 0), ([11, 11 + 41_708_333, 11 + 83_416_667], Fraction(24000, 1001), 1),
 ])
 def test_grid_equals_the_loop(spark, stamps, fps, tolerance):
     want = [(target, batch, None if batch is None else batch - target) for _, target, batch in brute_grid(stamps, fps, tolerance)]
