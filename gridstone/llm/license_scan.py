@@ -55,10 +55,10 @@ def template_sets(templates: dict[str, list[str]], threshold: float) -> list[tup
 
 
 def _words(text: Column) -> Column:
-    """Words of a text with A-Z lower-cased.  lower() does more: of characters
-    beyond ASCII only the Kelvin sign would become an ASCII letter, so another
-    stands in for it."""
-    plain = F.lower(F.replace(F.coalesce(text, F.lit("")), F.lit("K"), F.lit("Å")))
+    """Words of a text with A-Z lower-cased.  lower() does more, which no
+    result shows: of characters beyond ASCII only the Kelvin sign would become
+    an ASCII letter by itself, so another stands in for it."""
+    plain = F.lower(F.replace(F.coalesce(text, F.lit("")), F.lit("\u212a"), F.lit("\u212b")))
     return F.array_remove(F.split(plain, _BETWEEN), "")
 
 

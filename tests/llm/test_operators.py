@@ -652,7 +652,7 @@ def test_license_scan(spark, odd, empty):
     data = [
         (1, "Licensed under the Apache License, Version 2.0.\nx"), (2, "MIT  license and the mit-License; cc by cc by-nc"), (3, "licensed under apache license version 2\nfoo"),
         (4, None), (5, ""), (6, "under the license"), (7, "This program is licensed under the GNU Public License, version 2"), (10, "Redistribution and use\nin source and binary forms, with or\n without MODIFICATION, are permitted\nprovided that the following conditions are met"),
-        (11, "the of and " * 3000 + "Source Code Form is subject to the terms of the Mozilla Public License"), (12, "licensed far from the " * 400 + "apache version 2 0"), (8, "w " * 5000 + "GNU general\npublic license"), (9, "ccby cc  by"),
+        (11, "the of and " * 3000 + "Source Code Form is subject to the terms of the Mozilla Public License"), (12, "licensed far from the " * 400 + "apache version 2 0"), (13, "M\u0130T license MIT l\u0130cense MIT L\u0130CENSE mit LICENSE\u212a MIT LICENSE THIS WOR\u212a IS LICENSED UNDER THE GNU GENERAL PUBLIC \u00c4 version 3"), (8, "w " * 5000 + "GNU general\npublic license"), (9, "ccby cc  by"),
     ]
     got = {r["doc_id"]: r for r in license_scan.scan_licenses(spark.createDataFrame(data, "doc_id long, text string").repartition(2)).collect()}
     for i, t in data:
