@@ -160,7 +160,8 @@ def cut_spans(docs: DataFrame, text: str = "text", spans: str = "hit_spans") ->
 
     What stands from a span's first word to its last goes, with the text on
     either side left as it is and a line feed between.  Rows without spans are
-    unchanged.
+    unchanged, a null text with them; rows that share a key are cut each by
+    their own spans.
     """
     return docs.mapInArrow(_cutter(docs.columns.index(text), docs.columns.index(spans)), docs.schema)
 

@@ -375,9 +375,15 @@ def near_classes(docs: DataFrame, n: int = 5, threshold: float = 0.8, trees: int
 
 def first_of_class(docs: DataFrame, classes: DataFrame, key: str = "doc_id") -> DataFrame:
     """The rows of ``docs`` that are the first of their class; rows with a null
-    key stay.  Of rows repeated whole one stays."""
+    key stay.
+
+    Rows that share a key are one document: of those of a class with links one
+    stays, that of the least hash of its columns, so of rows repeated whole one;
+    those without links stay all.  An empty table gives no rows.
+    """
     heads = classes.where(F.col(key) == F.col("class_id")).groupBy(key).agg(F.max("n_links").alias("__links"))
-    kept = docs.join(heads, key)
-    linked = kept.where("__links > 0").drop("__links").dropDuplicates([key])
+    kept = docs.join(heads, key).select(*docs.columns, "__links")
+    row = F.struct(*docs.columns)
+    linked = kept.where("__links > 0").groupBy(F.col(key).alias("__k")).agg(F.min_by(row, F.xxhash64(F.to_json(row))).alias("__r")).select("__r.*")
     alone = kept.where("__links = 0").drop("__links")
     return alone.unionByName(linked).unionByName(docs.where(F.col(key).isNull())).select(*docs.columns)

@@ -439,7 +439,8 @@ def find_pii(docs: DataFrame, text: str = "text", rounds: int = 3, confidence: f
 
 def redact(docs: DataFrame, text: str = "text", spans: str = "pii") -> DataFrame:
     """``docs`` with each span of ``spans`` in ``text`` replaced by its kind in
-    brackets; spans that overlap become one, named by the first."""
+    brackets; spans that overlap become one, named by the first.  Rows without
+    spans, and null texts, are unchanged; rows that share a key are redacted each."""
     return docs.mapInArrow(_redactor(docs.columns.index(text), docs.columns.index(spans)), docs.schema)
 
 

@@ -597,6 +597,14 @@ def test_near_join_odd_cases(odd, empty):
     assert sorted((r["doc_id"] for r in near_join.first_of_class(odd, near_join.near_classes(odd)).collect()), key=str) == [5, 7, None, None]
 
 
+def test_first_of_class_is_defined_for_shared_keys(spark):
+    a, b = " ".join(f"a{i}" for i in range(30)), " ".join(f"b{i}" for i in range(30))
+    data = [(5, a), (5, b), (6, a), (7, "alone one"), (7, "alone two"), (None, a), (8, None)]
+    df = spark.createDataFrame(data, "doc_id long, text string")
+    got = [rows(near_join.first_of_class(d, near_join.near_classes(d))) for d in (df, df.orderBy(F.desc("text")).repartition(3))]
+    assert got[0] == got[1] and [r[0] for r in got[0]] == [5, 7, 7, 8, None]
+
+
 def test_links_counted_densely_and_sparsely_agree():
     from fractions import Fraction
 
