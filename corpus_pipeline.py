@@ -1,7 +1,9 @@
 """From raw documents to packed training sequences, in five stages.
 
 Every stage works on all that its predecessor kept; all but the last return
-the columns of ``documents``.  No stage can be said in SQL throughout (trees,
+the columns of ``documents``.  Rows that share a doc_id but not the text are
+scored, cut and redacted each; of a class of near copies one row stays
+(``first_of_class``); packing packs each.  No stage can be said in SQL throughout (trees,
 MinHash, tokenizers), so ORACLE_SQL is None and tests compare each stage with
 a brute-force version.
 """
