@@ -133,9 +133,23 @@ class PieceEncoder:
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts in a row, how many each text has); text i is the
         UTF-8 bytes ``data[offsets[i]:offsets[i+1]]``."""
+        ids, start, upto = self._pieces(data, offsets)
+        return ids, np.diff(upto[np.searchsorted(start, offsets)])
+
+    def offsets(self, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(ids of ``text``, places in it where a token provably begins, the
+        numbers of those tokens); places in code points."""
+        data = np.frombuffer(text.encode(), np.uint8)
+        ids, start, upto = self._pieces(data, np.array([0, len(data)], np.int64))
+        chars = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])
+        return ids, chars[start], upto[:-1]
+
+    def _pieces(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(ids, first byte of each piece, number of ids before each piece and
+        before the end)."""
         n = len(data)
         if n == 0:
-            return np.zeros(0, np.uint32), np.zeros(len(offsets) - 1, np.int64)
+            return np.zeros(0, self.kind), np.zeros(0, np.int64), np.zeros(1, np.int64)
         cut = _cuts(data)
         edge = offsets[1:-1]
         edge = edge[(edge > 0) & (edge < n)]
@@ -170,8 +184,7 @@ class PieceEncoder:
             begin[miss] = begins[inverse]
         past = np.cumsum(size)
         ids = self.pool[np.repeat(begin - (past - size), size) + np.arange(past[-1])]
-        upto = np.concatenate([[0], past])[np.searchsorted(start, offsets)]
-        return ids, np.diff(upto)
+        return ids, start, np.concatenate([[0], past])
 
 
 def encoder(path: str) -> PieceEncoder:

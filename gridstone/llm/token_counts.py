@@ -1,6 +1,7 @@
 """Token counts of whole texts, huge ones by overlap resynchronisation.
 
-A huge text is encoded in overlapping chunks with offsets.  Two neighbouring
+A huge text is encoded in overlapping chunks, with the offsets of the tokens
+that begin where the pre-tokeniser provably cuts.  Two neighbouring
 chunks are spliced at a boundary that both have, that the pre-tokeniser cuts
 at in any context, and behind which both give the same ids up to the next such
 cut.  Where the overlap holds none, it is widened, in the end to the chunk,
@@ -24,47 +25,55 @@ from .textcore import SPACED, slices
 #: pre-tokeniser cuts there whatever stands further off, and no special token
 #: holds a space.
 STABLE = re.compile(r"(?<=[0-9A-Za-z]) (?=[0-9A-Za-z])")
-Encoded = tuple[list[int], list[int]]
+#: ids, places in the text where tokens begin (all or some, rising), numbers of those tokens.
+Encoded = tuple[np.ndarray, np.ndarray, np.ndarray]
 
 
-def splice(text: str, encode: Callable[[str], Encoded], chunk: int = 16384, overlap: int = 256) -> Iterator[list[int]]:
-    """Ids of ``text`` in order, chunk by chunk.  encode: (ids, start of each)."""
-    at = 0
-    size = chunk
-    ids, starts = encode(text[:size])
+def splice(text: str, encode: Callable[[str], Encoded], chunk: int = 16384, overlap: int = 256) -> Iterator[np.ndarray]:
+    """Ids of ``text`` in order, chunk by chunk."""
+    at, size = 0, chunk
+    left = encode(text[:size])
     end = min(len(text), size)
     while end < len(text):
         wide, found = overlap, None
         while found is None:
             begin = max(at, end - wide)
             if begin > at:
-                nxt, nxt_starts = encode(text[begin : begin + chunk + wide])
-                found = _common(text, at, ids, starts, begin, nxt, nxt_starts, end)
+                right = encode(text[begin : begin + chunk + wide])
+                found = _common(text, left, at, right, begin, end)
             if found is None:
                 if begin == at:
                     break
                 wide *= 2
         if found is None:  # no boundary in the whole chunk: the chunk grows
             size *= 2
-            ids, starts = encode(text[at : at + size])
+            left = encode(text[at : at + size])
             end = min(len(text), at + size)
             continue
         p, i, j = found
-        yield ids[:i]
+        yield left[0][:i]
         end = min(len(text), begin + chunk + wide)
-        ids, starts = nxt[j:], [s + begin - p for s in nxt_starts[j:]]
-        at, size = p, chunk
-    yield ids
+        ids, places, numbers = right
+        rest = np.searchsorted(places, p - begin)
+        left, at, size = (ids[j:], places[rest:] + (begin - p), numbers[rest:] - j), p, chunk
+    yield left[0]
 
 
-def _common(text: str, at: int, ids: list[int], starts: list[int], begin: int, nxt: list[int], nxt_starts: list[int], end: int) -> tuple[int, int, int] | None:
+def _common(text: str, left: Encoded, at: int, right: Encoded, begin: int, end: int) -> tuple[int, int, int] | None:
     """(position, token in the left chunk, token in the right) of a proven boundary."""
-    cuts = [m.start() for m in STABLE.finditer(text, begin, end)]
-    left = {s + at: i for i, s in reversed(list(enumerate(starts))) if s + at >= begin}
-    right = {s + begin: j for j, s in reversed(list(enumerate(nxt_starts)))}
-    for p, q in zip(cuts, cuts[1:], strict=False):
-        if p in left and p in right and q in left and q in right and ids[left[p] : left[q]] == nxt[right[p] : right[q]]:
-            return p, left[p], right[p]
+    cuts = np.array([m.start() for m in STABLE.finditer(text, begin, end)], np.int64)
+    tokens = []
+    for (_, places, numbers), base in ((left, at), (right, begin)):
+        where = np.searchsorted(places, cuts - base)
+        there = np.zeros(len(cuts), bool)
+        inside = where < len(places)
+        there[inside] = places[where[inside]] == (cuts - base)[inside]
+        tokens.append(np.where(there, numbers[np.minimum(where, len(numbers) - 1)], -1) if len(numbers) else np.full(len(cuts), -1))
+    both = (tokens[0] >= 0) & (tokens[1] >= 0)
+    for k in np.flatnonzero(both[:-1] & both[1:]).tolist():
+        (a, b), (c, d) = (x[k : k + 2].tolist() for x in tokens)
+        if np.array_equal(left[0][a:b], right[0][c:d]):
+            return int(cuts[k]), a, c
     return None
 
 
@@ -83,10 +92,6 @@ def count_tokens(docs: DataFrame, tokenizer: str, limit: int = 1024, key: str =
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(tokenizer)
 
-        def whole(x: str) -> Encoded:
-            e = enc.tokenizer.encode(x, add_special_tokens=False)
-            return e.ids, [s for s, _ in e.offsets]
-
         for batch in batches:
             texts = batch.column(1).cast(pa.large_string()).fill_null("")
             off = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
@@ -94,7 +99,7 @@ def count_tokens(docs: DataFrame, tokenizer: str, limit: int = 1024, key: str =
             n_tokens = np.zeros(len(texts), np.int64)
             long = np.flatnonzero(n_bytes > huge)
             for i in long.tolist():
-                n_tokens[i] = sum(map(len, splice(texts[i].as_py(), whole, chunk, overlap)))
+                n_tokens[i] = sum(map(len, splice(texts[i].as_py(), enc.offsets, chunk, overlap)))
             rest = np.flatnonzero(n_bytes <= huge)
             for a, b, s in slices(texts.take(pa.array(rest)) if len(long) else texts, SPACED):
                 n_tokens[rest[a:b]] = enc.encode(s.data, s.offsets)[1]

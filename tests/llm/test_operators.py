@@ -356,14 +356,19 @@ def test_piece_encoder_equals_the_library(library):
 def test_splicing_is_exact(library, texts):
     def whole(t):
         e = library.encode(t, add_special_tokens=False)
-        return e.ids, [a for a, _ in e.offsets]
+        return np.array(e.ids), np.array([a for a, _ in e.offsets], np.int64), np.arange(len(e.ids))
 
-    rng = random.Random(6)
+    enc = encoding.PieceEncoder(BPE)
     joined = " ".join(t or "" for t in texts)
-    for t in (joined[:20000], joined[:6000].replace(" ", ""), "a" * 5000, "  " * 900 + "é" * 400):
+    for t in (joined[:20000], joined[:6000].replace(" ", ""), "a" * 5000, "  " * 900 + "é" * 400, joined[20000:50000].replace("e", "é"), "x <|endoftext|> y\n" * 300):
+        want = whole(t)[0].tolist()
         for chunk, overlap in ((200, 4), (1000, 64)):
-            assert [i for p in token_counts.splice(t, whole, chunk, overlap) for i in p] == whole(t)[0]
-    assert list(token_counts.splice("", whole)) == [[]] and rng
+            for encode in (whole, enc.offsets):
+                assert [i for p in token_counts.splice(t, encode, chunk, overlap) for i in p.tolist()] == want
+        ids, places, numbers = enc.offsets(t)
+        starts = whole(t)[1]
+        assert ids.tolist() == want and (starts[numbers] == places).all() and (np.diff(places) > 0).all()
+    assert [p.tolist() for p in token_counts.splice("", enc.offsets)] == [[]]
 
 
 def test_token_counts(docs, pairs, odd, empty, library):
