@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ..operators.graph import TABLES
 from ..operators.labels import require
 
 
@@ -19,7 +22,22 @@ class Dataset:
     def read(cls, spark: SparkSession, root: str, names: list[str]) -> Dataset:
         return cls({n: spark.read.parquet(f"{root}/{n}") for n in names})
 
+    @classmethod
+    def read_json(cls, spark: SparkSession, root: str, names: Sequence[str] = TABLES) -> Dataset:
+        """The published JSON arrays below ``root``; an empty array is a table
+        of tokens without rows."""
+        found = {n: spark.read.option("multiLine", True).json(f"{root.rstrip('/')}/{n}.json") for n in names}
+        return cls({n: df if df.columns else spark.createDataFrame([], "token string") for n, df in found.items()})
+
+    def check_channels(self) -> None:
+        """Raise unless each sample has at most one record a channel."""
+        cal, sensor = self.table("calibrated_sensor"), self.table("sensor")
+        of = cal.select(F.col("token").alias("calibrated_sensor_token"), "sensor_token").join(sensor.select(F.col("token").alias("sensor_token"), "channel"), "sensor_token")
+        seen = self.table("sample_data").select("sample_token", "calibrated_sensor_token").join(of, "calibrated_sensor_token")
+        require(seen.groupBy("sample_token", "channel").count(), F.col("count") == 1, "records of one sample and channel")
+
     def table(self, name: str) -> DataFrame:
+        """One table; an unknown name is an error."""
         if name not in self._tables:
             raise KeyError(name)
         return self._tables[name]

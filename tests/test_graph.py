@@ -86,6 +86,9 @@ def test_export_keeps_what_is_reached_and_round_trips(spark, made, tmp_path):
     assert len(publish.finalize(spark, stage, target, nothing)) == 64
     written = json.loads((tmp_path / "done" / "sample.json").read_text())
     assert [r["token"] for r in written] == sorted(r["token"] for r in out["sample"].collect())
+    back = Dataset.read_json(spark, target)
+    back.check_keys()
+    assert rows(back.table("sample"), "token", "prev", "next") == rows(out["sample"], "token", "prev", "next") and back.table("visibility").count() == 0
     assert json.loads((tmp_path / "done" / "split.json").read_text())["seed"] == 3 and json.loads((tmp_path / "done" / "visibility.json").read_text()) == []
 
 
@@ -182,5 +185,10 @@ def test_published_view_accessors(spark):
     assert d.ego_pose("d1")["x"] == 2.0 and d.annotation("matches", "b")["source_digest"] == "g" and d.annotation("records").count() == 2
     evidence, found = d.scene_evidence()
     assert tuple(evidence.first()) == ("s", "g", "w", 2, 2) and found.count() == 0
+    rig = {"calibrated_sensor": spark.createDataFrame([("c", "s"), ("d", "s")], "token string, sensor_token string"), "sensor": spark.createDataFrame([("s", "A")], "token string, channel string")}
+    two = [("1", "x", "c"), ("2", "y", "c")]
+    Dataset(rig | {"sample_data": spark.createDataFrame(two, "token string, sample_token string, calibrated_sensor_token string")}).check_channels()
+    with pytest.raises(ValueError, match="one sample and channel"):
+        Dataset(rig | {"sample_data": spark.createDataFrame([*two, ("3", "x", "d")], "token string, sample_token string, calibrated_sensor_token string")}).check_channels()
     with pytest.raises(ValueError, match="tokens of ego_pose"):
         Dataset({"ego_pose": spark.createDataFrame([("p",), ("p",)], "token string")}).check_keys()
