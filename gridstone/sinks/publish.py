@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -127,19 +127,38 @@ def recording_gate(outcomes: DataFrame, key: str, status: str) -> tuple[bool, Da
     return not failed.limit(1).count(), failed
 
 
-def load_config(text: str, fields: dict[str, type]) -> dict:
-    """A JSON object with these fields only; missing ones are None."""
+def load_config(text: str, fields: Mapping[str, object]) -> dict:
+    """A JSON object with these fields only; missing ones are None.
 
-    def pairs(items):
+    A field is a type, a mapping (a section of fields, empty if missing), or a
+    list of one of these (a list of such).  Keys given twice, numbers that are
+    not finite and booleans in place of numbers are errors.
+    """
+
+    def pairs(items: list[tuple[str, object]]) -> dict:
         out = dict(items)
         if len(out) != len(items):
             raise ValueError("duplicate key")
         return out
 
-    got = json.loads(text, object_pairs_hook=pairs)
-    if not isinstance(got, dict) or set(got) - set(fields):
-        raise ValueError(f"unknown fields: {sorted(set(got) - set(fields))}")
-    for name, kind in fields.items():
-        if got.get(name) is not None and (not isinstance(got[name], kind) or isinstance(got[name], bool) and kind is not bool):
-            raise ValueError(f"{name} must be {kind.__name__}")
-    return {n: got.get(n) for n in fields}
+    def constant(name: str) -> None:
+        raise ValueError(f"{name} is not JSON")
+
+    def read(value: object, kind: object, at: str) -> object:
+        if isinstance(kind, Mapping):
+            value = {} if value is None else value
+            if not isinstance(value, dict) or set(value) - set(kind):
+                raise ValueError(f"unknown fields in {at}: {sorted(set(value) - set(kind)) if isinstance(value, dict) else value!r}")
+            return {n: read(value.get(n), k, f"{at}.{n}") for n, k in kind.items()}
+        if value is None:
+            return None
+        if isinstance(kind, list):
+            if not isinstance(value, list):
+                raise ValueError(f"{at} must be a list")
+            return [read(v, kind[0], f"{at}[{i}]") for i, v in enumerate(value)]
+        whole = int if kind is float else kind  # a number without a point is one too
+        if not isinstance(value, (kind, whole)) or isinstance(value, bool) and kind is not bool:
+            raise ValueError(f"{at} must be {kind.__name__}")
+        return value
+
+    return read(json.loads(text, object_pairs_hook=pairs, parse_constant=constant), fields, "config")

@@ -137,3 +137,9 @@ def test_gate_and_config(spark):
     for bad in ('{"a": 1, "a": 2}', '{"c": 1}', '{"a": "x"}'):
         with pytest.raises(ValueError):
             publish.load_config(bad, {"a": int, "b": str})
+    nested = {"grid": {"fps": float, "cameras": [str]}, "rules": [{"name": str, "quota": int}]}
+    got = publish.load_config('{"rules": [{"name": "x"}], "grid": {"fps": 2}}', nested)
+    assert got == {"grid": {"fps": 2, "cameras": None}, "rules": [{"name": "x", "quota": None}]} and publish.load_config("{}", nested)["grid"] == {"fps": None, "cameras": None}
+    for bad in ('{"grid": {"x": 1}}', '{"grid": []}', '{"rules": {}}', '{"rules": [{"quota": true}]}', '{"grid": {"fps": NaN}}', '{"grid": {"cameras": [1]}}', "[]"):
+        with pytest.raises(ValueError):
+            publish.load_config(bad, nested)
