@@ -2,13 +2,16 @@
 
 import collections
 import hashlib
+import math
 import random
 import re
+import struct
 import zlib
 
 import numpy as np
 import pyarrow as pa
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from gridstone.llm import decontaminate, encoding, license_scan, near_join, packing, pii, quality, sharding, substring_dedup, textcore, token_counts, weighted_sampling
@@ -174,6 +177,56 @@ def test_fingerprint_odd_cases(odd, empty, spark):
         weighted_sampling.fingerprint_documents(odd, samples=3)
 
 
+def plain_print(text, samples):
+    """Each sample by its definition, no table and no sharing."""
+    known = lambda x, seed: xxhash.xxh64(x, seed=seed).intdigest()
+    gamma, best = weighted_sampling._gamma_quantiles(), [(float("inf"), 0)] * samples
+    for word, n in (collections.Counter(w for w in re.split("[ \t\n\r\x0b\x0c]+", text.lower()) if w) or {None: 1}).items():
+        word = 42 if word is None else known(word.encode(), 42)
+        for j in range(samples):
+            h = known(struct.pack("<i", j), known(struct.pack("<Q", word), 42))
+            r, b, p = gamma[h & 1023], (h >> 10 & (1 << 22) - 1) / (1 << 22), ((h >> 32) + 0.5) / (1 << 32)
+            t = math.floor(math.log(n) / r + b)
+            ln_a = math.log(p) / 2 + math.log(gamma[h >> 54] / math.sqrt(((h >> 54) + 0.5) / 1024)) - r * (t - b) - r
+            best[j] = min(best[j], (ln_a, (h >> 28 ^ t * 2654435761) & (1 << 28) - 1))
+    return "".join(f"{x:07X}" for _, x in best)
+
+
+@pytest.mark.parametrize("samples", [32, 12])
+def test_fingerprints_are_the_samples_of_whole_texts(spark, samples):
+    rng = random.Random(7)
+    blanks = [" ", "  ", "\t", "\n", "\r\n", "\x0b", "\x0c", " \u00a0"]
+    some = ["the", "The", "ΟΔΟΣ", "İx", "ß", "a.b", "😀", "ΑΣ", *(f"w{i}" for i in range(30))]
+    texts = ["".join(rng.choice(some) + rng.choice(blanks) for _ in range(rng.randrange(1, 90))) for _ in range(30)]
+    texts += ["", "x", " ", "\t\n", "onewordonly", "ΑΣΑΣΑΣ", " x", "x ", "x  y", "", "abc def", "abcdef gh", "a" * 9 + " ", "the " * 70]
+    got = {r["doc_id"]: r for r in weighted_sampling.fingerprint_documents(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), samples=samples).collect()}
+    own = [plain_print(t, samples) for t in texts]
+    for i, t in enumerate(texts):
+        edited = t[: len(t) - len(t) // 2] + texts[i - 1][: len(t) // 2]
+        assert (got[i]["fingerprint"], got[i]["edited_fingerprint"]) == (own[i], plain_print(edited, samples))
+        assert got[i]["near_next"] == sum(own[i][k : k + 7] == own[i - 1][k : k + 7] for k in range(0, 7 * samples, 7)) / samples
+
+
+def test_fingerprints_draw_shared_words_once(spark):
+    """Rows out of all Generate nodes: words of the common part are split,
+    counted and drawn once for both sides, eight samples of a word a row."""
+    docs = spark.createDataFrame([(i, " ".join(f"w{i}_{j}" for j in range(100))) for i in range(40)], "doc_id long, text string")
+    df = weighted_sampling.fingerprint_documents(docs)
+    assert len(df.collect()) == 40
+    made, todo = 0, [df._jdf.queryExecution().executedPlan()]
+    while todo:
+        node = todo.pop()
+        name, inner = node.nodeName(), []
+        if name == "AdaptiveSparkPlan":
+            inner = [node.executedPlan()]
+        elif name.endswith("QueryStage"):
+            inner = [node.plan()]
+        if name == "Generate":
+            made += node.metrics().apply("numOutputRows").value()
+        todo += inner or [node.children().apply(i) for i in range(node.children().size())]
+    assert 0 < made < 40 * 1100  # about 1,800 a text without sharing, in rounds of four
+
+
 @pytest.mark.parametrize("block", [1 << 20, 200])
 def test_decontamination(spark, docs, pairs, block):
     texts = dict(pairs)
